@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from textsieve import patterns as P
 from textsieve.functions.text import _c, contains_any, has_script, is_label, py_lstrip, py_strip
 
-EMPTY_STRINGS = F.array().cast("array<string>")
+
+def _empty_strings() -> Column:
+    return F.array().cast("array<string>")
 
 
 def split_lines(col) -> Column:
@@ -22,7 +24,7 @@ def split_lines(col) -> Column:
     parts = F.split(c, P.LINE_BREAK.java, -1)
     ends_with_break = c.rlike(f"(?:{P.LINE_BREAK.java})\\z")
     return (
-        F.when(c == "", EMPTY_STRINGS)
+        F.when(c == "", _empty_strings())
         .when(ends_with_break, F.slice(parts, F.lit(1), F.size(parts) - 1))
         .otherwise(parts)
     )
@@ -64,21 +66,42 @@ def clean_lines_v2(col) -> Column:
     return clean_lines(col, P.STOP_WORDS_V2, None)
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element ``transform``).
+
+    Without it an index computed by one higher-order function and used inside
+    another one's lambda is re-evaluated for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _first(arr: Column) -> Column:
+    return F.try_element_at(arr, F.lit(1))
+
+
 def parse_song(col) -> Column:
     """struct<song_name, lyrics>: the name is the first non-empty line without
     ':'; the lyrics are everything after the first blank line that follows the
     name, stripped ('' without such a blank line; NULL name without a name)."""
-    lines = split_lines(py_strip(_c(col)))
-    recs = F.transform(
-        lines, lambda l, i: F.struct(py_strip(l).alias("s"), (i + 1).alias("p"))
-    )
-    name = F.try_element_at(F.filter(recs, lambda r: (r["s"] != "") & ~F.contains(r["s"], F.lit(":"))), F.lit(1))
-    blank = F.try_element_at(F.filter(recs, lambda r: (r["p"] > name["p"]) & (r["s"] == "")), F.lit(1))
-    body = py_strip(F.array_join(F.slice(lines, blank["p"] + 1, F.size(lines)), "\n"))
-    return F.struct(
-        name["s"].alias("song_name"),
-        F.when(blank.isNull(), F.lit("")).otherwise(body).alias("lyrics"),
-    )
+
+    def with_lines(lines):
+        recs = F.transform(lines, lambda l, i: F.struct(py_strip(l).alias("s"), (i + 1).alias("p")))
+
+        def with_recs(rs):
+            name = _first(F.filter(rs, lambda r: (r["s"] != "") & ~F.contains(r["s"], F.lit(":"))))
+
+            def with_name(nm):
+                blank = _first(F.filter(rs, lambda r: (r["p"] > nm["p"]) & (r["s"] == "")))
+                body = py_strip(F.array_join(F.slice(lines, blank["p"] + 1, F.size(lines)), "\n"))
+                return F.struct(
+                    nm["s"].alias("song_name"),
+                    F.when(blank.isNull(), F.lit("")).otherwise(body).alias("lyrics"),
+                )
+
+            return let(name, with_name)
+
+        return let(recs, with_recs)
+
+    return let(split_lines(py_strip(_c(col))), with_lines)
 
 
 def extract_song(col, script: P.Script = P.TELUGU, header: str = "telugu", name_tag: str = "song:") -> Column:
@@ -91,37 +114,55 @@ def extract_song(col, script: P.Script = P.TELUGU, header: str = "telugu", name_
     script or that is a label.  Name-tag and header lines never start or stop
     collection.  Collected lines are joined with '\\n'.
     """
-    lines = F.filter(F.transform(split_lines(_c(col)), lambda l: py_strip(l)), lambda l: l != "")
-    n = F.size(lines)
-    recs = F.transform(
-        lines,
-        lambda l, i: F.struct(
-            l.alias("l"),
-            (i + 1).alias("p"),
-            ((F.lower(l) == name_tag) & (i + 1 < n)).alias("tag"),
-            (F.lower(l) == header).alias("hdr"),
-            has_script(l, script).alias("scr"),
-            is_label(l).alias("lab"),
-        ),
-    )
 
     def plain(r):
         return ~r["tag"] & ~r["hdr"]
 
-    armed = F.try_element_at(F.filter(recs, lambda r: r["hdr"]), F.lit(1))["p"]
-    start = F.try_element_at(F.filter(recs, lambda r: (r["p"] > armed) & plain(r) & r["scr"]), F.lit(1))["p"]
-    stop = F.coalesce(
-        F.try_element_at(
-            F.filter(recs, lambda r: (r["p"] >= start) & plain(r) & (~r["scr"] | r["lab"])), F.lit(1)
-        )["p"],
-        n + 1,
-    )
-    body = F.array_join(
-        F.transform(F.filter(recs, lambda r: (r["p"] >= start) & (r["p"] < stop) & plain(r)), lambda r: r["l"]),
-        "\n",
-    )
-    tag_pos = F.try_element_at(F.filter(recs, lambda r: r["tag"] & (r["p"] < stop)), F.lit(-1))["p"]
-    return F.struct(
-        F.try_element_at(lines, tag_pos + 1).alias("song_name"),
-        F.coalesce(body, F.lit("")).alias("lyrics"),
-    )
+    def with_lines(lines):
+        n = F.size(lines)
+        recs = F.transform(
+            lines,
+            lambda l, i: F.struct(
+                l.alias("l"),
+                (i + 1).alias("p"),
+                ((F.lower(l) == name_tag) & (i + 1 < n)).alias("tag"),
+                (F.lower(l) == header).alias("hdr"),
+                has_script(l, script).alias("scr"),
+                is_label(l).alias("lab"),
+            ),
+        )
+
+        def with_recs(rs):
+            armed = _first(F.filter(rs, lambda r: r["hdr"]))["p"]
+
+            def with_armed(a):
+                start = _first(F.filter(rs, lambda r: (r["p"] > a) & plain(r) & r["scr"]))["p"]
+
+                def with_start(st):
+                    stop = F.coalesce(
+                        _first(F.filter(rs, lambda r: (r["p"] >= st) & plain(r) & (~r["scr"] | r["lab"])))["p"],
+                        n + 1,
+                    )
+
+                    def with_stop(sp):
+                        body = F.array_join(
+                            F.transform(F.filter(rs, lambda r: (r["p"] >= st) & (r["p"] < sp) & plain(r)),
+                                        lambda r: r["l"]),
+                            "\n",
+                        )
+                        tag_pos = F.try_element_at(F.filter(rs, lambda r: r["tag"] & (r["p"] < sp)), F.lit(-1))["p"]
+                        return F.struct(
+                            F.try_element_at(lines, tag_pos + 1).alias("song_name"),
+                            F.coalesce(body, F.lit("")).alias("lyrics"),
+                        )
+
+                    return let(stop, with_stop)
+
+                return let(start, with_start)
+
+            return let(armed, with_armed)
+
+        return let(recs, with_recs)
+
+    lines = F.filter(F.transform(split_lines(_c(col)), lambda l: py_strip(l)), lambda l: l != "")
+    return let(lines, with_lines)

@@ -71,6 +71,7 @@ SEARCH_DOMAIN = "lyricstape.com"
 QUERY_TEMPLATE_V1 = "site:{domain} {song} {movie} lyrics"
 QUERY_TEMPLATE_V2 = "{domain} {song} {movie} lyrics"
 QUERY_TEMPLATE_AUDIO = "{song} {movie} telugu song high quality audio"
+SEARCH_URL_V2 = "https://duckduckgo.com/?q={q}&t=h_&ia=web"
 SEARCH_GL = "in"
 SEARCH_HL = "en"
 

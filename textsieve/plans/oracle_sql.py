@@ -155,4 +155,155 @@ FROM pts, clean GROUP BY j, x, n, bw"""
         f"WITH {SCORED}, {GATED} SELECT doc_id, complexity FROM clean "
         f"ORDER BY complexity DESC, doc_id ASC LIMIT {P.TOP_COMPLEX}"
     )
+    q.update(set_and_structure_queries())
+    return q
+
+
+TITLED = "titled AS (SELECT doc_id, text, lang, source, split_part(text, chr(10), 1) AS title FROM documents)"
+SLUG_RE = "[^\\p{L}\\p{N}_\\-]"
+
+
+def slug(expr: str) -> str:
+    return f"regexp_replace(replace({expr}, ' ', '_'), '{SLUG_RE}', '', 'g')"
+
+
+def norm_key(expr: str) -> str:
+    return f"replace({strip(f'lower(coalesce({expr}, {chr(39)}nan{chr(39)}))')}, '_', ' ')"
+
+
+def contains_any(expr: str, words) -> str:
+    return "(" + " OR ".join(f"contains(lower({expr}), '{w}')" for w in words) + ")"
+
+
+def splitlines(expr: str) -> str:
+    """Python str.splitlines(): no pieces for '', no trailing empty piece."""
+    return (f"CASE WHEN {expr} = '' THEN []::VARCHAR[] "
+            f"WHEN regexp_matches({expr}, '(?:{LB})\\z') THEN string_split_regex({expr}, '{LB}')[:-2] "
+            f"ELSE string_split_regex({expr}, '{LB}') END")
+
+
+def clean_lines(expr: str, words, script: bool) -> str:
+    cond = f"l <> '' AND NOT {contains_any('l', words)}"
+    if script:
+        cond += f" AND regexp_matches(l, '{SCR}')"
+    return (f"CASE WHEN {expr} IS NULL OR {expr} = '' THEN '' ELSE array_to_string(list_filter("
+            f"list_transform(string_split({expr}, chr(10)), lambda l: {strip('l')}), lambda l: {cond}), chr(10)) END")
+
+
+def set_and_structure_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    done = f"""done AS (SELECT {slug('title')} AS song_name FROM titled WHERE doc_id IN (SELECT doc_id FROM labels))"""
+    q["pending_by_name"] = f"""WITH {TITLED}, {done},
+dk AS (SELECT DISTINCT {norm_key('song_name')} AS k FROM done)
+SELECT doc_id, title FROM titled t
+WHERE NOT EXISTS (SELECT 1 FROM dk WHERE dk.k = {norm_key('t.title')})"""
+    q["pending_by_slug"] = f"""WITH {TITLED}, {done},
+dk AS (SELECT DISTINCT {norm_key(slug('song_name'))} AS k FROM done)
+SELECT doc_id, title FROM titled t
+WHERE NOT EXISTS (SELECT 1 FROM dk WHERE dk.k = {norm_key(slug('t.title'))})"""
+    semi = ("matched AS (SELECT DISTINCT p_type AS value FROM part "
+            "WHERE lower(p_type) IN (SELECT split_part(p_name, ' ', 1) FROM part))")
+    q["semi_lower"] = f"WITH {semi} SELECT value FROM matched"
+    q["anti_lower"] = f"""WITH {semi}
+SELECT p_partkey, split_part(p_name, ' ', 1) AS first_word FROM part
+WHERE NOT EXISTS (SELECT 1 FROM matched WHERE lower(matched.value) = split_part(part.p_name, ' ', 1))"""
+    q["dedupe_keep_first"] = """SELECT doc_id, lang, source FROM (
+  SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lower(text) ORDER BY doc_id) AS rn
+  FROM documents WHERE text IS NOT NULL AND lower(text) <> '') WHERE rn = 1"""
+    q["union_all"] = """SELECT doc_id AS id, 'documents' AS origin, text FROM documents
+UNION ALL SELECT item_id AS id, 'benchmark' AS origin, text FROM benchmark"""
+    q["catalog_fallback"] = f"""WITH {TITLED},
+prim AS (SELECT split_part(text, chr(10), 1) AS song_name, 'benchmark' AS origin, item_id AS seq, 0 AS part
+         FROM benchmark),
+fb0 AS (SELECT title AS song_name, 'documents' AS origin, doc_id AS seq, 1 AS part FROM titled
+        WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+fb1 AS (SELECT * FROM fb0 WHERE song_name IS NOT NULL AND song_name <> ''
+        AND NOT EXISTS (SELECT 1 FROM prim WHERE prim.song_name = fb0.song_name)),
+fb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY song_name ORDER BY seq) AS rn FROM fb1) WHERE rn = 1),
+u AS (SELECT song_name, origin, seq, part FROM prim
+      UNION ALL SELECT song_name, origin, seq, part FROM fb WHERE (SELECT count(*) FROM prim) < {P.FALLBACK_MIN_ROWS}),
+d AS (SELECT *, row_number() OVER (PARTITION BY lower(song_name) ORDER BY part, seq) AS rn FROM u
+      WHERE song_name IS NOT NULL AND lower(song_name) <> '')
+SELECT song_name, origin, seq FROM d WHERE rn = 1"""
+    q["lang_filter"] = "SELECT doc_id, source FROM documents WHERE lang = 'fr' AND source IN ('src1', 'src2', 'src3')"
+    q["distinct_sources"] = "SELECT DISTINCT source FROM documents"
+    body_v1 = ("'Song: ' || title || chr(10) || 'Movie: ' || source || chr(10) || 'Source: ' || lang || chr(10) || "
+               "'URL: u' || chr(10) || chr(10) || CASE WHEN lang = 'en' THEN '...' || chr(10) ELSE '' END || text")
+    q["after_marker"] = f"""WITH {TITLED}, b AS (SELECT doc_id, {body_v1} AS body FROM titled)
+SELECT doc_id, CASE WHEN contains(body, '...') THEN {lstrip("regexp_extract(body, '(?s)^.*[.][.][.](.*)$', 1)")}
+                    ELSE {strip('body')} END AS lyrics FROM b"""
+    q["clean_lines_v1"] = f"SELECT doc_id, {clean_lines('text', P.STOP_WORDS_V1, True)} AS lyrics FROM documents"
+    q["clean_lines_v2"] = f"SELECT doc_id, {clean_lines('text', P.STOP_WORDS_V2, False)} AS lyrics FROM documents"
+    q["slug"] = f"WITH {TITLED} SELECT doc_id, {slug('title')} AS slug FROM titled"
+    body_p2 = ("title || chr(10) || 'Lyricist: ' || source || chr(10) || "
+               "CASE WHEN lang <> 'de' THEN chr(10) ELSE '' END || text")
+    q["parse_song"] = f"""WITH {TITLED},
+l AS (SELECT doc_id, {splitlines(strip(body_p2))} AS lines FROM titled),
+n AS (SELECT doc_id, lines, list_filter(generate_series(1, len(lines)),
+        lambda i: {strip('lines[i]')} <> '' AND NOT contains({strip('lines[i]')}, ':'))[1] AS np FROM l),
+k AS (SELECT doc_id, lines, np, list_filter(generate_series(1, len(lines)),
+        lambda i: i > np AND {strip('lines[i]')} = '')[1] AS bp FROM n)
+SELECT doc_id, {strip('lines[np]')} AS song_name,
+       CASE WHEN bp IS NULL THEN '' ELSE {strip("array_to_string(lines[bp + 1:], chr(10))")} END AS lyrics
+FROM k"""
+    body_p3 = ("'song:' || chr(10) || title || chr(10) || CASE WHEN lang <> 'fr' THEN 'telugu' || chr(10) ELSE '' END "
+               "|| text || chr(10) || '---' || chr(10) || 'End: x'")
+    tag = "(lower(lines[i]) = 'song:' AND i < n)"
+    hdr = "(lower(lines[i]) = 'telugu')"
+    scr = f"regexp_matches(lines[i], '{SCR}')"
+    lab = f"(contains(lines[i], ':') AND len(regexp_extract_all(lines[i], '{TOK}')) <= 3)"
+    plain = f"(NOT {tag} AND NOT {hdr})"
+    q["extract_song"] = f"""WITH {TITLED},
+l AS (SELECT doc_id, list_filter(list_transform({splitlines(body_p3)}, lambda x: {strip('x')}),
+                                 lambda x: x <> '') AS lines FROM titled),
+a AS (SELECT doc_id, lines, len(lines) AS n, generate_series(1, len(lines)) AS idx FROM l),
+b AS (SELECT *, list_filter(idx, lambda i: {hdr})[1] AS armed FROM a),
+c AS (SELECT *, list_filter(idx, lambda i: i > armed AND {plain} AND {scr})[1] AS st FROM b),
+d AS (SELECT *, coalesce(list_filter(idx, lambda i: i >= st AND {plain} AND (NOT {scr} OR {lab}))[1], n + 1) AS sp
+      FROM c),
+e AS (SELECT *, list_filter(idx, lambda i: {tag} AND i < sp)[-1] AS tp FROM d)
+SELECT doc_id, lines[tp + 1] AS song_name,
+       coalesce(array_to_string(list_transform(list_filter(idx, lambda i: i >= st AND i < sp AND {plain}),
+                                               lambda i: lines[i]), chr(10)), '') AS lyrics
+FROM e"""
+    anchor = 'href="/[^"]+">([^<]+)</a>'
+    q["anchor_texts"] = f"""SELECT * FROM (
+  SELECT page_id, {strip(f"regexp_extract(html, '{anchor}', 1)")} AS first_link,
+         array_to_string(regexp_extract_all(html, '{anchor}', 1), ', ') AS all_links FROM pages)
+WHERE first_link IS NOT NULL AND first_link <> ''"""
+    q["json_field"] = "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events"
+
+    def qtext(tpl):
+        tpl = tpl.replace("{domain}", P.SEARCH_DOMAIN)
+        parts = []
+        for piece in __import__("re").split(r"(\{song\}|\{movie\})", tpl):
+            if piece == "{song}":
+                parts.append("coalesce(title, '')")
+            elif piece == "{movie}":
+                parts.append("coalesce(source, '')")
+            elif piece:
+                parts.append("'" + piece + "'")
+        return " || ".join(parts)
+
+    url_pre, url_post = P.SEARCH_URL_V2.split("{q}")
+    q["search_request"] = f"""WITH {TITLED}
+SELECT doc_id, {qtext(P.QUERY_TEMPLATE_V1)} AS query,
+       '{url_pre}' || replace(url_encode({qtext(P.QUERY_TEMPLATE_V2)}), '%20', '+') || '{url_post}' AS search_url,
+       json_object('q', {qtext(P.QUERY_TEMPLATE_V1)}, 'gl', '{P.SEARCH_GL}', 'hl', '{P.SEARCH_HL}',
+                   'num', {P.V1_SEARCH_RESULTS})::VARCHAR AS payload,
+       {qtext(P.QUERY_TEMPLATE_AUDIO)} AS audio_query
+FROM titled"""
+    q["derived_path"] = """SELECT p_partkey,
+       replace(replace(p_brand || ' / ' || p_type, ' ', '_'), '/', '-') AS category_folder,
+       replace(p_name, ' ', '_') || '.wav' AS file_name,
+       'audio/' || replace(replace(p_brand || ' / ' || p_type, ' ', '_'), '/', '-') || '/'
+         || replace(p_name, ' ', '_') || '.wav' AS path
+FROM part"""
+    q["first_candidate"] = f"""WITH c AS (
+  SELECT TRY_CAST(regexp_extract(url, '/[a-z]{{2}}/([0-9]+)', 1) AS BIGINT) AS doc_id, page_id, url FROM pages
+  WHERE regexp_extract(url, '/[a-z]{{2}}/([0-9]+)', 1) <> ''),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_id) AS rk FROM c),
+m AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_id) AS rn FROM r
+      WHERE rk <= {P.V2_MAX_RESULTS} AND contains(url, 'example.net'))
+SELECT doc_id, page_id, url FROM m WHERE rn = 1"""
     return q

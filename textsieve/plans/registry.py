@@ -113,3 +113,238 @@ QUERIES: dict[str, Query] = {
     "kde_richness": q_kde_richness,
     "top_complex": q_top_complex,
 }
+
+
+# --- set logic -------------------------------------------------------------
+
+from textsieve.functions import html as H  # noqa: E402
+from textsieve.functions import structure as STR  # noqa: E402
+from textsieve.functions import text as TX  # noqa: E402
+from textsieve.operators import blocks as B  # noqa: E402
+from textsieve.operators import candidates as C  # noqa: E402
+from textsieve.operators import sets as SETS  # noqa: E402
+
+CANDIDATE_DOMAIN = "example.net"
+
+
+def titled_documents(spark, sf, extra=()):
+    """Documents with their first line as title (the song-name stand-in)."""
+    d = table(spark, sf, "documents", ["doc_id", "text", "lang", "source", *extra])
+    return d.withColumn("title", F.substring_index("text", "\n", 1))
+
+
+def processed_names(spark, sf):
+    """File-name form (slug) of the titles of already-processed (labelled) docs."""
+    docs = titled_documents(spark, sf).join(table(spark, sf, "labels", ["doc_id"]), "doc_id", "left_semi")
+    return docs.select(TX.slug("title").alias("song_name"))
+
+
+def q_pending_by_name(spark, sf):
+    cat = titled_documents(spark, sf).select("doc_id", "title")
+    return SETS.pending(cat, processed_names(spark, sf), "title", "song_name", key="compat")
+
+
+def q_pending_by_slug(spark, sf):
+    cat = titled_documents(spark, sf).select("doc_id", "title")
+    return SETS.pending(cat, processed_names(spark, sf), "title", "song_name", key="slug")
+
+
+def _part_words(spark, sf):
+    return table(spark, sf, "part", ["p_partkey", "p_name", "p_type"]).withColumn(
+        "first_word", F.split_part("p_name", F.lit(" "), F.lit(1))
+    )
+
+
+def q_semi_lower(spark, sf):
+    part = _part_words(spark, sf)
+    return SETS.semi_lower(part, "p_type", part, "first_word")
+
+
+def q_anti_lower(spark, sf):
+    part = _part_words(spark, sf)
+    matched = SETS.semi_lower(part, "p_type", part, "first_word")
+    return SETS.anti_lower(part, "first_word", matched).select("p_partkey", "first_word")
+
+
+def q_dedupe_keep_first(spark, sf):
+    d = table(spark, sf, "documents", ["doc_id", "lang", "source", "text"])
+    return SETS.keep_first(d, "text", "doc_id").select("doc_id", "lang", "source")
+
+
+def q_union_all(spark, sf):
+    d = table(spark, sf, "documents", ["doc_id", "text"]).select(
+        F.col("doc_id").alias("id"), F.lit("documents").alias("origin"), "text")
+    b = table(spark, sf, "benchmark", ["item_id", "text"]).select(
+        F.col("item_id").alias("id"), F.lit("benchmark").alias("origin"), "text")
+    return SETS.union_all(d, b)
+
+
+def q_catalog_fallback(spark, sf):
+    """Primary catalog (benchmark items) plus, when it has fewer than 50 rows,
+    fallback rows (titles of toxic-labelled documents) not already present;
+    then keep-first by lower-case name."""
+    prim = table(spark, sf, "benchmark", ["item_id", "text"]).select(
+        F.substring_index("text", "\n", 1).alias("song_name"), F.lit("benchmark").alias("origin"),
+        F.col("item_id").alias("seq"), F.lit(0).alias("part"))
+    toxic = table(spark, sf, "labels", ["doc_id", "toxic"]).where("toxic = 1")
+    fb = titled_documents(spark, sf).join(toxic, "doc_id", "left_semi").select(
+        F.col("title").alias("song_name"), F.lit("documents").alias("origin"),
+        F.col("doc_id").alias("seq"), F.lit(1).alias("part"))
+    fb = SETS.fallback_rows(prim, fb, "song_name", "seq")
+    both = SETS.fallback_union(prim, fb, P.FALLBACK_MIN_ROWS).withColumn("_ord", F.struct("part", "seq"))
+    return SETS.keep_first(both, "song_name", "_ord").select("song_name", "origin", "seq")
+
+
+def q_lang_filter(spark, sf):
+    d = table(spark, sf, "documents", ["doc_id", "lang", "source"])
+    return d.filter(F.col("lang") == "fr").filter(F.col("source").isin("src1", "src2", "src3")).select(
+        "doc_id", "source")
+
+
+def q_distinct_sources(spark, sf):
+    return SETS.distinct_values(table(spark, sf, "documents", ["source"]), "source")
+
+
+# --- document structure ------------------------------------------------------
+
+def q_after_marker(spark, sf):
+    d = titled_documents(spark, sf)
+    body = F.concat(F.lit("Song: "), "title", F.lit("\nMovie: "), "source", F.lit("\nSource: "), "lang",
+                    F.lit("\nURL: u\n\n"), F.when(F.col("lang") == "en", "...\n").otherwise(""), "text")
+    return d.select("doc_id", STR.after_marker(body).alias("lyrics"))
+
+
+def q_clean_lines_v1(spark, sf):
+    return documents(spark, sf).select("doc_id", STR.clean_lines_v1("text", SCRIPT).alias("lyrics"))
+
+
+def q_clean_lines_v2(spark, sf):
+    return documents(spark, sf).select("doc_id", STR.clean_lines_v2("text").alias("lyrics"))
+
+
+def q_slug(spark, sf):
+    return titled_documents(spark, sf).select("doc_id", TX.slug("title").alias("slug"))
+
+
+def q_parse_song(spark, sf):
+    d = titled_documents(spark, sf)
+    body = F.concat("title", F.lit("\nLyricist: "), "source", F.lit("\n"),
+                    F.when(F.col("lang") != "de", "\n").otherwise(""), "text")
+    return d.select("doc_id", STR.parse_song(body).alias("s")).select("doc_id", "s.song_name", "s.lyrics")
+
+
+def q_extract_song(spark, sf):
+    d = titled_documents(spark, sf)
+    body = F.concat(F.lit("song:\n"), "title", F.lit("\n"), F.when(F.col("lang") != "fr", "telugu\n").otherwise(""),
+                    "text", F.lit("\n---\nEnd: x"))
+    return d.select("doc_id", STR.extract_song(body, SCRIPT).alias("s")).select("doc_id", "s.song_name", "s.lyrics")
+
+
+# --- pages, links, requests ----------------------------------------------------
+
+def q_anchor_texts(spark, sf):
+    p = table(spark, sf, "pages", ["page_id", "html"])
+    out = p.select("page_id", H.anchor_text("html", "/").alias("first_link"),
+                   H.anchor_texts("html", "/").alias("all_links"))
+    return out.where(TX.non_empty("first_link"))
+
+
+def q_json_field(spark, sf):
+    e = table(spark, sf, "events", ["event_id", "props"])
+    return e.select("event_id", F.from_json("props", "k BIGINT")["k"].alias("k"))
+
+
+def q_search_request(spark, sf):
+    d = titled_documents(spark, sf)
+    q1 = C.search_query("title", "source", P.QUERY_TEMPLATE_V1)
+    q2 = C.search_query("title", "source", P.QUERY_TEMPLATE_V2)
+    url = F.replace(F.lit(P.SEARCH_URL_V2), F.lit("{q}"), C.quote_plus(q2))
+    return d.select(
+        "doc_id", q1.alias("query"), url.alias("search_url"),
+        C.search_payload(q1).alias("payload"),
+        C.search_query("title", "source", P.QUERY_TEMPLATE_AUDIO).alias("audio_query"),
+    )
+
+
+def q_derived_path(spark, sf):
+    p = table(spark, sf, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
+    cat = F.concat("p_brand", F.lit(" / "), "p_type")
+    return p.select(
+        "p_partkey",
+        F.replace(F.replace(cat, F.lit(" "), F.lit("_")), F.lit("/"), F.lit("-")).alias("category_folder"),
+        F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit(".wav")).alias("file_name"),
+        C.derived_audio_path(cat, "p_name", "audio").alias("path"),
+    )
+
+
+def candidate_pages(spark, sf):
+    """Search candidates per document: pages whose URL path names the doc id,
+    ranked by page_id."""
+    p = table(spark, sf, "pages", ["page_id", "url", "html"])
+    did = F.regexp_extract("url", "/[a-z]{2}/([0-9]+)", 1)
+    return p.where(did != "").withColumn("doc_id", did.try_cast("long"))
+
+
+def q_first_candidate(spark, sf):
+    c = candidate_pages(spark, sf).select("doc_id", "page_id", "url")
+    return C.first_within_top(c, "doc_id", "page_id", F.contains("url", F.lit(CANDIDATE_DOMAIN)),
+                              P.V2_MAX_RESULTS, payload=["url"])
+
+
+def q_best_block(spark, sf):
+    p = table(spark, sf, "pages", ["page_id", "html"], balanced=True)
+    return B.extract_main_text(p, "html", "v1", SCRIPT).select("page_id", "score", "main_text")
+
+
+def q_page_lyrics(spark, sf):
+    """V1 lifecycle: first candidate page (top 3, domain match) whose main
+    text is found, per document."""
+    c = B.extract_main_text(candidate_pages(spark, sf), "html", "v1", SCRIPT).drop("html")
+    ok = F.contains("url", F.lit(CANDIDATE_DOMAIN)) & B.found("main_text")
+    return C.first_within_top(c, "doc_id", "page_id", ok, P.V1_SEARCH_RESULTS, payload=["url", "main_text"])
+
+
+def q_outcome_counts(spark, sf):
+    """V2 lifecycle outcome per document, counted."""
+    docs = table(spark, sf, "documents", ["doc_id"])
+    cands = candidate_pages(spark, sf)
+    has = cands.select("doc_id").distinct().withColumn("has_results", F.lit(True))
+    first = C.first_within_top(cands.select("doc_id", "page_id", "url"), "doc_id", "page_id",
+                               F.contains("url", F.lit(CANDIDATE_DOMAIN)), P.V2_MAX_RESULTS)
+    pages = B.extract_main_text(cands.select("page_id", "html"), "html", "v2", SCRIPT).select("page_id", "main_text")
+    target = first.join(pages, "page_id", "left")
+    res = docs.join(has, "doc_id", "left").join(target, "doc_id", "left")
+    outcome = (
+        F.when(F.col("has_results").isNull(), F.lit(P.REASON_NO_RESULTS))
+        .when(F.col("page_id").isNull(), F.lit(P.REASON_NOT_IN_TOP.format(n=P.V2_MAX_RESULTS)))
+        .when(~B.found("main_text"), F.lit(P.REASON_NO_SCRIPT))
+        .otherwise(F.lit("found"))
+    )
+    return res.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES.update({
+    "pending_by_name": q_pending_by_name,
+    "pending_by_slug": q_pending_by_slug,
+    "semi_lower": q_semi_lower,
+    "anti_lower": q_anti_lower,
+    "dedupe_keep_first": q_dedupe_keep_first,
+    "union_all": q_union_all,
+    "catalog_fallback": q_catalog_fallback,
+    "lang_filter": q_lang_filter,
+    "distinct_sources": q_distinct_sources,
+    "after_marker": q_after_marker,
+    "clean_lines_v1": q_clean_lines_v1,
+    "clean_lines_v2": q_clean_lines_v2,
+    "slug": q_slug,
+    "parse_song": q_parse_song,
+    "extract_song": q_extract_song,
+    "anchor_texts": q_anchor_texts,
+    "json_field": q_json_field,
+    "search_request": q_search_request,
+    "derived_path": q_derived_path,
+    "first_candidate": q_first_candidate,
+    "best_block": q_best_block,
+    "page_lyrics": q_page_lyrics,
+    "outcome_counts": q_outcome_counts,
+})
