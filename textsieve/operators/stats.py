@@ -192,8 +192,10 @@ def histogram_from_counts(vc: DataFrame, nbins: int) -> DataFrame:
 
 
 def auto_bin_count(df: DataFrame, col: str) -> int:
-    """numpy ``bins='auto'``: width = min(Freedman-Diaconis, Sturges) (Sturges
-    when FD is 0); bins = ceil(range / width), 1 for a zero width.
+    """numpy ``bins='auto'`` (numpy >= 2.1): width = min(max(FD, sqrt / 2), Sturges)
+    with FD = 2 IQR n^(-1/3), Sturges = range / (log2 n + 1), sqrt = range / sqrt n;
+    bins = ceil(range / width), 1 for a zero width.  The sqrt floor bounds the
+    bin count by 2 sqrt(n).
 
     Returns a single number (an aggregate of bounded size) to the driver.
     """
@@ -212,7 +214,8 @@ def _auto_bins(vc: DataFrame) -> int:
     lo, hi = (mn - 0.5, mx + 0.5) if mn == mx else (mn, mx)
     sturges = (mx - mn) / (math.log2(n) + 1.0)
     fd = 2.0 * iqr * n ** (-1.0 / 3.0)
-    width = min(fd, sturges) if fd else sturges
+    sqrt_w = (mx - mn) / math.sqrt(n)
+    width = min(max(fd, sqrt_w / 2), sturges)
     return int(math.ceil((hi - lo) / width)) if width else 1
 
 

@@ -92,8 +92,7 @@ def pages_to_lyrics(catalog: DataFrame, candidates: DataFrame, pages: DataFrame,
             .when(~B.found("main_text"), F.lit(P.REASON_NO_SCRIPT))
             .otherwise(F.lit("found"))
         )
-        out = out.drop("_has")
-    return out.withColumn("outcome", outcome).withColumnRenamed("main_text", "lyrics")
+    return out.withColumn("outcome", outcome).drop("_has").withColumnRenamed("main_text", "lyrics")
 
 
 def outcome_counts(results: DataFrame) -> DataFrame:

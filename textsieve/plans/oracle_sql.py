@@ -91,12 +91,10 @@ FROM scaffold s LEFT JOIN cnts c ON s.bin = c.bin"""
 AUTO_NB = """,
 iq AS (SELECT quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS iqr FROM hv),
 auto AS (
-  SELECT lo, hi,
-         CASE WHEN w > 0 THEN ceil((hi - lo) / w) ELSE 1 END AS nb
+  SELECT lo, hi, CASE WHEN w > 0 THEN ceil((hi - lo) / w) ELSE 1 END AS nb
   FROM (SELECT lo, hi,
-               CASE WHEN 2.0 * iqr * pow(cnt, -1.0 / 3.0) > 0
-                    THEN least(2.0 * iqr * pow(cnt, -1.0 / 3.0), (mx - mn) / (log2(cnt) + 1.0))
-                    ELSE (mx - mn) / (log2(cnt) + 1.0) END AS w
+               least(greatest(2.0 * iqr * pow(cnt, -1.0 / 3.0), (mx - mn) / sqrt(cnt) / 2),
+                     (mx - mn) / (log2(cnt) + 1.0)) AS w
         FROM rng, iq))"""
 
 

@@ -53,8 +53,8 @@ def read_text_tree(spark: SparkSession, base: str, suffix: str = ".txt") -> Data
 
     Contents are read whole; '\\r\\n' and lone '\\r' become '\\n' (text-mode reads)."""
     raw = (
-        spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{suffix}").text(base)
+        spark.read.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", f"*{suffix}").text(base, wholetext=True)
         .select(decode_spark_path(F.col("_metadata.file_path")).alias("path"), F.col("value"))
     )
     parts = F.split("path", "/")
@@ -78,7 +78,9 @@ def write_text_tree(df: DataFrame, base: str, movie_col: str, song_col: str, bod
     """One text file per record under ``movie_slug=<m>/song_slug=<s>/``.
 
     Records whose slugs collide keep the last one by ``order_col`` (the
-    behaviour of repeated writes to the same file)."""
+    behaviour of repeated writes to the same file).  The text writer ends each
+    file with one '\\n' (Spark does not allow an empty record separator); the
+    parsers strip trailing whitespace, so re-reading is unaffected."""
     keyed = df.select(
         TX.slug(movie_col).alias("movie_slug"), TX.slug(song_col).alias("song_slug"),
         body.alias("value"), F.col(order_col).alias("_o"),

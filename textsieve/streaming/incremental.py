@@ -25,8 +25,8 @@ from textsieve.sources import files as IO
 
 def _parsed_tree_stream(spark: SparkSession, landing_dir: str, parser: str, script: P.Script) -> DataFrame:
     raw = (
-        spark.readStream.option("wholetext", "true").option("maxFilesPerTrigger", 1000)
-        .text(f"{landing_dir.rstrip('/')}/*/*.txt")
+        spark.readStream.option("maxFilesPerTrigger", 1000)
+        .text(f"{landing_dir.rstrip('/')}/*/*.txt", wholetext=True)
         .select(IO.decode_spark_path(F.col("_metadata.file_path")).alias("path"), "value")
     )
     parts = F.split("path", "/")
