@@ -48,6 +48,23 @@ def count_matches(col, pattern: str) -> Column:
     return F.regexp_count(_c(col), F.lit(pattern))
 
 
+def count_chars(col, chars: str) -> Column:
+    """Occurrences of characters from the set ``chars``: the length lost when
+    they are deleted with ``translate`` (about 3x cheaper than a regex count)."""
+    c = _c(col)
+    return F.length(c) - F.length(F.translate(c, chars, ""))
+
+
+def delete_except(col, keep: str) -> Column:
+    """Delete every character not in the set ``keep``.
+
+    The first ``translate`` deletes the kept characters, leaving exactly the
+    foreign characters present in this value; the second deletes those.  Two
+    linear passes instead of a negated-class regex replace."""
+    c = _c(col)
+    return F.call_function("translate", c, F.translate(c, keep, ""), F.lit(""))
+
+
 def _ratio(num: Column, den: Column) -> Column:
     """num / den as double, 0.0 when den is 0 or null."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
@@ -63,7 +80,7 @@ def script_ratio(col, script: P.Script = P.TELUGU, tok: Column | None = None) ->
     ``tok`` (the token array of the same text) lets the denominator reuse it."""
     c = _c(col)
     den = token_chars(tok) if tok is not None else non_ws_length(c)
-    return _ratio(count_matches(c, script.any_char.java), den)
+    return _ratio(count_chars(c, script.chars), den)
 
 
 def uniqueness_ratio(tok: Column) -> Column:
@@ -76,7 +93,7 @@ def has_script(col, script: P.Script = P.TELUGU) -> Column:
 
 
 def count_script(col, script: P.Script = P.TELUGU) -> Column:
-    return count_matches(col, script.any_char.java)
+    return count_chars(col, script.chars)
 
 
 def strip_foreign(col, script: P.Script = P.TELUGU, keep: str = P.KEPT_PUNCTUATION) -> Column:
@@ -84,7 +101,7 @@ def strip_foreign(col, script: P.Script = P.TELUGU, keep: str = P.KEPT_PUNCTUATI
 
     Whitespace is not collapsed.
     """
-    return F.regexp_replace(_c(col), script.keep_only(keep).java, "")
+    return delete_except(col, script.chars + P.WS_CHARS + keep)
 
 
 def richness(tok: Column, min_tokens: int = P.RICHNESS_MIN_TOKENS) -> Column:
@@ -100,7 +117,7 @@ def mean_token_length(tok: Column, chars: Column | None = None) -> Column:
 def char_density(col, chars: str = P.TELUGU_DENSITY_CHARS, non_ws: Column | None = None) -> Column:
     """Characters from the set ``chars`` over non-whitespace characters."""
     c = _c(col)
-    return _ratio(count_matches(c, P.density_class(chars).java), non_ws_length(c) if non_ws is None else non_ws)
+    return _ratio(count_chars(c, "".join(sorted(set(chars)))), non_ws_length(c) if non_ws is None else non_ws)
 
 
 def ngram_tokens(col, mode: str = "compat") -> Column:

@@ -152,11 +152,22 @@ class Script:
     def any_char(self) -> Pattern:
         return char_class(self.ranges)
 
+    @property
+    def chars(self) -> str:
+        """Every code point of the script as a string (surrogates excluded)."""
+        return code_points(self.ranges)
+
     def keep_only(self, extra: str = KEPT_PUNCTUATION) -> Pattern:
         """Class of characters that are neither script, whitespace nor extra."""
         return char_class(list(self.ranges) + WHITESPACE_RANGES, extra=extra, negate=True)
 
 
+def code_points(ranges) -> str:
+    return "".join(chr(c) for lo, hi in ranges for c in range(lo, hi + 1) if not 0xD800 <= c <= 0xDFFF)
+
+
+WS_CHARS = code_points(WHITESPACE_RANGES)
+
 TELUGU = Script("telugu", tuple(TELUGU_RANGES))
 LATIN = Script("latin", tuple(LATIN_RANGES))
 

@@ -49,7 +49,7 @@ def q_quality_gate(spark, sf):
 
 def q_strip_script(spark, sf):
     return Q.quality_gate(scored_documents(spark, sf)).select(
-        "doc_id", F.regexp_replace("text", SCRIPT.keep_only().java, "").alias("final_text")
+        "doc_id", TX.strip_foreign("text", SCRIPT).alias("final_text")
     )
 
 
