@@ -17,12 +17,13 @@ def _c(col) -> Column:
 
 
 def py_strip(col) -> Column:
-    """Python ``str.strip()``: remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(_c(col), P.STRIP.java, "")
+    """Python ``str.strip()``: remove leading and trailing Unicode whitespace
+    (``trim`` with the whitespace set; several times cheaper than a regex)."""
+    return F.trim(_c(col), F.lit(P.WS_CHARS))
 
 
 def py_lstrip(col) -> Column:
-    return F.regexp_replace(_c(col), P.LSTRIP.java, "")
+    return F.ltrim(_c(col), F.lit(P.WS_CHARS))
 
 
 def tokens(col) -> Column:

@@ -129,7 +129,7 @@ CANDIDATE_DOMAIN = "example.net"
 
 def titled_documents(spark, sf, extra=()):
     """Documents with their first line as title (the song-name stand-in)."""
-    d = table(spark, sf, "documents", ["doc_id", "text", "lang", "source", *extra])
+    d = table(spark, sf, "documents", ["doc_id", "text", "lang", "source", *extra], balanced=True)
     return d.withColumn("title", F.substring_index("text", "\n", 1))
 
 
