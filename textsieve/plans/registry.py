@@ -280,7 +280,7 @@ def q_derived_path(spark, sf):
 def candidate_pages(spark, sf):
     """Search candidates per document: pages whose URL path names the doc id,
     ranked by page_id."""
-    p = table(spark, sf, "pages", ["page_id", "url", "html"])
+    p = table(spark, sf, "pages", ["page_id", "url", "html"], balanced=True)
     did = F.regexp_extract("url", "/[a-z]{2}/([0-9]+)", 1)
     return p.where(did != "").withColumn("doc_id", did.try_cast("long"))
 
