@@ -53,6 +53,12 @@ def quantiles_from_counts(vc: DataFrame, probs, buckets: int = 128, accuracy: in
     """(name, p, value) linear-interpolated quantiles from a value-count table.
 
     Position h = (n-1)*p, value = x[floor h] + (x[ceil h] - x[floor h]) * (h - floor h).
+
+    Plan: sketch bounds per column (bounded: ``buckets`` values) -> bucket id per
+    distinct value -> bucket totals -> one window gives each bucket its rank
+    offset and the column total -> target ranks attached to the buckets that
+    contain them (at most 2 per probability) -> values of those buckets ordered
+    per target -> the value covering each target rank.
     """
     fractions = [i / buckets for i in range(1, buckets)]
     bounds = vc.groupBy("name").agg(F.percentile_approx("v", fractions, accuracy).alias("bounds"))
@@ -60,27 +66,28 @@ def quantiles_from_counts(vc: DataFrame, probs, buckets: int = 128, accuracy: in
         "name", "v", "cnt", F.size(F.filter("bounds", lambda b: b < F.col("v"))).alias("b")
     )
     btot = vb.groupBy("name", "b").agg(F.sum("cnt").alias("tot"))
-    boff = btot.withColumn("off", F.sum("tot").over(Window.partitionBy("name").orderBy("b")) - F.col("tot"))
+    by_name = Window.partitionBy("name")
+    boff = (
+        btot.withColumn("off", F.sum("tot").over(by_name.orderBy("b")) - F.col("tot"))
+        .withColumn("n", F.sum("tot").over(by_name))
+    )
     targets = (
-        btot.groupBy("name").agg(F.sum("tot").alias("n"))
-        .select("name", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"), "n")
+        boff.select("name", "b", "off", "tot", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
         .withColumn("h", (F.col("n") - 1).cast("double") * F.col("p"))
         .withColumn("k_lo", F.floor("h"))
-        .withColumn("k_hi", F.ceil("h"))
+        .select("*", F.explode(F.array_distinct(F.array(F.col("k_lo"), F.ceil("h")))).alias("k"))
+        .where((F.col("k") >= F.col("off")) & (F.col("k") < F.col("off") + F.col("tot")))
+        .select("name", "b", "off", "p", "h", "k_lo", "k")
     )
-    ranks = targets.select("name", "p", F.explode(F.array("k_lo", "k_hi")).alias("k")).distinct()
-    rb = ranks.join(boff, "name").where((F.col("k") >= F.col("off")) & (F.col("k") < F.col("off") + F.col("tot")))
-    rb = rb.select("name", "p", "k", "b", "off")
-    cand = vb.join(F.broadcast(rb.select("name", "b", "off").distinct()), ["name", "b"])
-    cand = cand.withColumn("end", F.col("off") + F.sum("cnt").over(Window.partitionBy("name", "b").orderBy("v")))
-    cand = cand.withColumn("start", F.col("end") - F.col("cnt"))
+    per_target = Window.partitionBy("name", "b", "p", "k").orderBy("v")
     picked = (
-        F.broadcast(rb.drop("off")).join(cand.drop("off"), ["name", "b"])
-        .where((F.col("k") >= F.col("start")) & (F.col("k") < F.col("end")))
-        .groupBy("name", "p")
+        vb.join(F.broadcast(targets), ["name", "b"])
+        .withColumn("end", F.col("off") + F.sum("cnt").over(per_target))
+        .where((F.col("k") >= F.col("end") - F.col("cnt")) & (F.col("k") < F.col("end")))
+        .groupBy("name", "p", "h", "k_lo")
         .agg(F.min_by("v", "k").alias("v_lo"), F.max_by("v", "k").alias("v_hi"))
     )
-    return targets.join(picked, ["name", "p"]).select(
+    return picked.select(
         "name", "p",
         (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("k_lo"))).alias("value"),
     )
