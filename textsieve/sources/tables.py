@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition only when the input has fewer partitions than cores."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD / context access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def read_table(spark: SparkSession, path: str, columns=None, balanced: bool = False) -> DataFrame:
