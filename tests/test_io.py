@@ -88,3 +88,16 @@ def test_training_catalog(spark):
                            "DeReverbed", "Notes"]
     r = cat.first()
     assert (r["Downloaded"], r["Notes"]) == ("No", "")
+
+
+def test_written_tree_reads_back_and_ingests(spark, tmpdir_path):
+    from textsieve.functions import structure as ST
+
+    df = spark.createDataFrame([(1, "Song A", "Movie X", "pallavi...\n  అమ్మ\nనాన్న")],
+                               "seq int, song string, movie string, lyrics string")
+    base = os.path.join(tmpdir_path, "tree2")
+    body = IO.lyrics_file_body(F.col("song"), F.col("movie"), F.lit("src"), F.lit("u"), F.col("lyrics"))
+    IO.write_text_tree(df, base, "movie", "song", body, "seq")
+    back = IO.read_slug_tree(spark, base)
+    row = back.select("movie_slug", "song_slug", ST.after_marker("content").alias("lyrics")).first()
+    assert tuple(row) == ("Movie_X", "Song_A", "అమ్మ\nనాన్న")

@@ -89,6 +89,13 @@ def write_text_tree(df: DataFrame, base: str, movie_col: str, song_col: str, bod
     last.write.mode(mode).partitionBy("movie_slug", "song_slug").text(base)
 
 
+def read_slug_tree(spark: SparkSession, base: str) -> DataFrame:
+    """(movie_slug, song_slug, content) from a tree written by ``write_text_tree``
+    (partition directories; the record separator Spark appended is removed)."""
+    df = spark.read.text(base, wholetext=True)
+    return df.select("movie_slug", "song_slug", F.regexp_replace("value", "\n\\z", "").alias("content"))
+
+
 def read_binary_files(spark: SparkSession, base: str, glob: str = "*") -> DataFrame:
     """(path, length, content) of every file under ``base`` matching ``glob``."""
     return (
