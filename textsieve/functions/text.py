@@ -16,6 +16,16 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def with_columns_once(df, columns: dict):
+    """Add ``columns`` through a one-row ``inline`` generator.
+
+    A later filter on these columns cannot be pushed below a generator, so
+    Catalyst cannot copy their (expensive) expressions into the filter and
+    evaluate them twice per row."""
+    return df.select(*[F.col(c) for c in df.columns],
+                     F.inline(F.array(F.struct(*[e.alias(n) for n, e in columns.items()]))))
+
+
 def py_strip(col) -> Column:
     """Python ``str.strip()``: remove leading and trailing Unicode whitespace
     (``trim`` with the whitespace set; several times cheaper than a regex)."""

@@ -37,12 +37,13 @@ def extract_main_text(df: DataFrame, html_col: str = "html", version: str = "v1"
     noise, tags = VERSIONS[version]
     cleaner = (lambda c: ST.clean_lines_v1(c, script)) if version == "v1" else ST.clean_lines_v2
     best = F.col("_best")
-    return (
-        df.withColumn("_best", best_block(H.html_blocks(html_col, noise, tags), script))
-        .withColumn("score", best["score"])
-        .withColumn("main_text", F.when(best["score"] >= min_chars, cleaner(best["text"])))
-        .drop("_best")
-    )
+    with_best = df.withColumn("_best", best_block(H.html_blocks(html_col, noise, tags), script))
+    # Emitted through a generator so a filter on main_text cannot copy the
+    # UDF call below this point (the HTML helper runs once per page).
+    return T.with_columns_once(with_best, {
+        "score": best["score"],
+        "main_text": F.when(best["score"] >= min_chars, cleaner(best["text"])),
+    }).drop("_best")
 
 
 def found(col="main_text") -> Column:

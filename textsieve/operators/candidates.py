@@ -24,14 +24,18 @@ from textsieve.functions import text as T
 
 
 def first_within_top(cands: DataFrame, group_col: str, order_col: str, qualifies: Column, n: int,
-                     payload=()) -> DataFrame:
-    """(group, order, *payload) of the first qualifying candidate if its rank <= n."""
+                     payload=(), ranks: DataFrame | None = None) -> DataFrame:
+    """(group, order, *payload) of the first qualifying candidate if its rank <= n.
+
+    ``ranks`` is the full candidate list (group, order) used to count earlier
+    candidates; pass it when ``cands`` carries expensive derived columns or
+    was pre-filtered (default: ``cands`` itself)."""
     first = cands.where(qualifies).groupBy(group_col).agg(
         F.min_by(F.struct(F.col(order_col), *[F.col(c) for c in payload]), F.col(order_col)).alias("_f")
     ).select(group_col, "_f.*")
     m = first.select(group_col, F.col(order_col).alias("_m"))
     before = (
-        cands.select(group_col, order_col)
+        (ranks if ranks is not None else cands).select(group_col, order_col)
         .join(m, group_col)
         .where(F.col(order_col) < F.col("_m"))
         .groupBy(group_col)

@@ -34,12 +34,12 @@ def with_quality_metrics(df: DataFrame, text_col: str = "text", script: P.Script
     """Adds word_count, script_ratio, uniqueness_ratio."""
     txt = metric_text(text_col, null_text)
     tok = F.col("_tok")
-    metrics = F.struct(
-        T.word_count(tok).alias("word_count"),
-        T.script_ratio(txt, script, tok).alias("script_ratio"),
-        T.uniqueness_ratio(tok).alias("uniqueness_ratio"),
-    )
-    return df.withColumn("_tok", T.tokens(txt)).select(*[F.col(c) for c in df.columns], F.inline(F.array(metrics)))
+    metrics = {
+        "word_count": T.word_count(tok),
+        "script_ratio": T.script_ratio(txt, script, tok),
+        "uniqueness_ratio": T.uniqueness_ratio(tok),
+    }
+    return T.with_columns_once(df.withColumn("_tok", T.tokens(txt)), metrics).drop("_tok")
 
 
 def gate_condition(min_words: int = P.MIN_WORD_COUNT, min_script: float = P.MIN_SCRIPT_RATIO,

@@ -78,12 +78,13 @@ def pages_to_lyrics(catalog: DataFrame, candidates: DataFrame, pages: DataFrame,
     on_domain = F.contains("url", F.lit(domain))
     if version == "v1":
         chosen = C.first_within_top(cands, "song_id", "rank", on_domain & B.found("main_text"),
-                                    P.V1_SEARCH_RESULTS, payload=["url", "main_text"])
+                                    P.V1_SEARCH_RESULTS, payload=["url", "main_text"],
+                                    ranks=candidates.select("song_id", "rank"))
         out = catalog.join(chosen, "song_id", "left")
         outcome = F.when(F.col("main_text").isNull(), F.lit("missing")).otherwise(F.lit("found"))
     else:
         chosen = C.first_within_top(cands, "song_id", "rank", on_domain, P.V2_MAX_RESULTS,
-                                    payload=["url", "main_text"])
+                                    payload=["url", "main_text"], ranks=candidates.select("song_id", "rank"))
         has = candidates.select("song_id").distinct().withColumn("_has", F.lit(True))
         out = catalog.join(has, "song_id", "left").join(chosen, "song_id", "left")
         outcome = (

@@ -298,22 +298,25 @@ def q_best_block(spark, sf):
 
 def q_page_lyrics(spark, sf):
     """V1 lifecycle: first candidate page (top 3, domain match) whose main
-    text is found, per document."""
-    c = B.extract_main_text(candidate_pages(spark, sf), "html", "v1", SCRIPT).drop("html")
-    ok = F.contains("url", F.lit(CANDIDATE_DOMAIN)) & B.found("main_text")
-    return C.first_within_top(c, "doc_id", "page_id", ok, P.V1_SEARCH_RESULTS, payload=["url", "main_text"])
+    text is found, per document.  Only domain-matching pages are parsed."""
+    cands = candidate_pages(spark, sf)
+    on_domain = cands.where(F.contains("url", F.lit(CANDIDATE_DOMAIN)))
+    ext = B.extract_main_text(on_domain, "html", "v1", SCRIPT).drop("html")
+    return C.first_within_top(ext, "doc_id", "page_id", B.found("main_text"), P.V1_SEARCH_RESULTS,
+                              payload=["url", "main_text"], ranks=cands.select("doc_id", "page_id"))
 
 
 def q_outcome_counts(spark, sf):
-    """V2 lifecycle outcome per document, counted."""
+    """V2 lifecycle outcome per document, counted.  Only each document's
+    target page is parsed."""
     docs = table(spark, sf, "documents", ["doc_id"])
     cands = candidate_pages(spark, sf)
     has = cands.select("doc_id").distinct().withColumn("has_results", F.lit(True))
     first = C.first_within_top(cands.select("doc_id", "page_id", "url"), "doc_id", "page_id",
                                F.contains("url", F.lit(CANDIDATE_DOMAIN)), P.V2_MAX_RESULTS)
-    pages = B.extract_main_text(cands.select("page_id", "html"), "html", "v2", SCRIPT).select("page_id", "main_text")
-    target = first.join(pages, "page_id", "left")
-    res = docs.join(has, "doc_id", "left").join(target, "doc_id", "left")
+    target = first.join(cands.select("page_id", "html"), "page_id")
+    parsed = B.extract_main_text(target, "html", "v2", SCRIPT).select("doc_id", "page_id", "main_text")
+    res = docs.join(has, "doc_id", "left").join(parsed, "doc_id", "left")
     outcome = (
         F.when(F.col("has_results").isNull(), F.lit(P.REASON_NO_RESULTS))
         .when(F.col("page_id").isNull(), F.lit(P.REASON_NOT_IN_TOP.format(n=P.V2_MAX_RESULTS)))
