@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from textsieve import patterns as P
 from textsieve.functions import text as TX
+from textsieve.sources.tables import read_table  # noqa: F401  (re-exported: S7/S8 scans)
 
 CSV_READ = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "FAILFAST"}
 CSV_WRITE = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
@@ -127,11 +128,6 @@ def zip_members(archives: DataFrame, content_col: str = "content") -> DataFrame:
     ).select("archive", "m.member", "m.content")
 
 
-def read_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
-
-
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
