@@ -9,10 +9,10 @@ from textsieve.sources import files as IO
 
 PENDING_SCHEMA = "_c0 INT, song_name STRING, movie_album STRING, singers STRING"
 ROWS = [
-    (895, "Eppudainna - BGM", "Mahanubhavudu - BGM", " Swetha Pandit"),
-    (896, "Jago Jago Junior", "Vechivunta", " Akash,  Ravi Varma"),
-    (897, 'He said ""hi""', "Movie, With Comma", None),
-    (898, "Line\nbreak", "A / B", ""),
+    (1, "Vaana Chinuku - BGM", "Megham - BGM", " Singer One"),
+    (2, "Paata Paata", "Kotha Kadha", " Singer Two,  Singer Three"),
+    (3, 'He said ""hi""', "Movie, With Comma", None),
+    (4, "Line\nbreak", "A / B", ""),
 ]
 
 
