@@ -33,8 +33,9 @@ from textsieve.sources import files as IO
 
 def clean_and_publish(spark: SparkSession, docs: DataFrame, out_dir: str, id_col: str = "song_name",
                       text_col: str = "lyrics", script: P.Script = P.TELUGU,
-                      density_chars: str = P.TELUGU_DENSITY_CHARS) -> dict[str, DataFrame]:
-    """Lifecycle A.  Returns the published table and every report."""
+                      density_chars: str = P.TELUGU_DENSITY_CHARS, csv_path: str | None = None) -> dict[str, DataFrame]:
+    """Lifecycle A.  Returns the published table and every report; with
+    ``csv_path`` the published table is also exported as CSV."""
     ensure_checkpoint_dir(spark)
     scored = Q.with_quality_metrics(docs.select(id_col, text_col), text_col, script).checkpoint(eager=True)
     reports = {
@@ -49,6 +50,8 @@ def clean_and_publish(spark: SparkSession, docs: DataFrame, out_dir: str, id_col
     path = f"{out_dir.rstrip('/')}/clean"
     IO.write_table(published, path)
     table = spark.read.parquet(path)
+    if csv_path:
+        IO.write_csv(table, csv_path, [id_col, *Q.METRIC_COLUMNS, *Q.FEATURE_COLUMNS])
     reports.update({
         "mean_richness": S.formatted_mean(table, "richness", "mean_richness"),
         "richness_hist": S.auto_histogram(table, "richness"),
