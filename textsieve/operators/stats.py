@@ -184,16 +184,19 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 def histogram_from_counts(vc: DataFrame, nbins: int) -> DataFrame:
     spark = vc.sparkSession
-    rng = _range_struct(vc)
-    n, lo, hi = F.lit(nbins), rng["lo"], rng["hi"]
-    binned = with_bin_index(vc, F.col("v"), lo, hi, n, keep=["cnt"])
+    n = F.lit(nbins)
+    # The range is a scalar subquery; project it once per side and read fields
+    # from the column, so it is evaluated once instead of once per reference.
+    r = F.col("_r")
+    binned = with_bin_index(vc.select("v", "cnt", _range_struct(vc).alias("_r")), F.col("v"), r["lo"], r["hi"], n,
+                            keep=["cnt", "_r"])
     counts = binned.groupBy("bin").agg(F.sum("cnt").alias("n"))
-    scaffold = spark.range(1, nbins + 1).select(F.col("id").alias("bin"))
-    step = (hi - lo) / n
+    scaffold = spark.range(1, nbins + 1).select(F.col("id").alias("bin"), _range_struct(vc).alias("_r"))
+    step = (r["hi"] - r["lo"]) / n
     return scaffold.join(counts, "bin", "left").select(
         "bin",
-        ((F.col("bin") - 1) * step + lo).alias("bin_lo"),
-        F.when(F.col("bin") == n, hi).otherwise(F.col("bin") * step + lo).alias("bin_hi"),
+        ((F.col("bin") - 1) * step + r["lo"]).alias("bin_lo"),
+        F.when(F.col("bin") == n, r["hi"]).otherwise(F.col("bin") * step + r["lo"]).alias("bin_hi"),
         F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
     )
 
@@ -244,9 +247,11 @@ def gaussian_kde(df: DataFrame, col: str, grid: int = P.KDE_GRID, digits: int |
     mom = moments_from_counts(vc).select(F.struct(
         "n", "min", "max", (F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("bw")
     ))
-    s = mom.scalar()
-    # Subqueries cannot appear inside lambdas: project the scalars first.
-    base = vc.select("v", "cnt", s["min"].alias("lo"), s["max"].alias("hi"), s["n"].alias("n"), s["bw"].alias("bw"))
+    # Subqueries cannot appear inside lambdas, and each reference would run the
+    # subquery again: project the scalar struct once, then read its fields.
+    base = vc.select("v", "cnt", mom.scalar().alias("_s")).select(
+        "v", "cnt", F.col("_s.min").alias("lo"), F.col("_s.max").alias("hi"), F.col("_s.n").alias("n"),
+        F.col("_s.bw").alias("bw"))
     step = (F.col("hi") - F.col("lo")) / (grid - 1)
 
     def point(j):
