@@ -65,3 +65,14 @@ def test_sheet_songs_and_pending(spark):
     cat = spark.createDataFrame([("Title",), ("R",), ("New Song",)], "song_name string")
     pend = [r[0] for r in L.pending_songs(cat, spark.createDataFrame(got, scraped.schema)).collect()]
     assert pend == ["New Song"]
+
+
+def test_catalog_from_html_alternative_selector(spark):
+    empty = spark.createDataFrame([], "seq long, html string")
+    alt = spark.createDataFrame([(1, '<a href="/song/7">Alt Song</a><a href="/album/8">Alt Album</a>')],
+                                "seq long, html string")
+    rows = sorted(tuple(r) for r in L.catalog_from_html(empty, alt_rows_html=alt).collect())
+    assert rows == [("Alt Song", "Alt Album", "")]
+    prim = spark.createDataFrame([(1, '<a href="/song/1">Main</a>')], "seq long, html string")
+    rows = sorted(tuple(r) for r in L.catalog_from_html(prim, alt_rows_html=alt).collect())
+    assert rows == [("Main", "", "")]

@@ -152,13 +152,17 @@ def search_requests(catalog: DataFrame, song_col: str = "song_name", movie_col:
 
 
 def catalog_from_html(rows_html: DataFrame, page_html: DataFrame | None = None, html_col: str = "html",
-                      order_col: str = "seq") -> DataFrame:
+                      order_col: str = "seq", alt_rows_html: DataFrame | None = None) -> DataFrame:
     """Song catalog from rendered song-row snippets (``/song/``, ``/album/``,
-    ``/artist/`` anchors); when fewer than 50 rows come out, markdown-style
-    links ``[song](/song/x) .. [singers] .. [album]`` from the page are added;
-    finally keep-first by lower-case name."""
+    ``/artist/`` anchors).  ``alt_rows_html`` (a second selector's elements) is
+    used only when ``rows_html`` has no rows at all; when fewer than 50 songs
+    come out, markdown-style links ``[song](/song/x) .. [singers] .. [album]``
+    from the page are added; finally keep-first by lower-case name."""
     from textsieve.functions import html as H
 
+    if alt_rows_html is not None:
+        rows_html = SETS.fallback_union(rows_html.select(order_col, html_col),
+                                        alt_rows_html.select(order_col, html_col), min_rows=1)
     prim = rows_html.select(
         H.anchor_text(html_col, "/song/").alias("song_name"),
         H.anchor_text(html_col, "/album/").alias("movie_album"),

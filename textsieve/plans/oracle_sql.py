@@ -18,6 +18,7 @@ SCR = SCRIPT.any_char.re2
 KEEP = SCRIPT.keep_only().re2
 DENS = P.density_class(DENSITY_CHARS).re2
 NGRAM = P.NGRAM_TOKEN["compat"].re2
+NGRAM_UNI = P.NGRAM_TOKEN["unicode"].re2
 LB = P.LINE_BREAK.re2
 
 
@@ -134,6 +135,7 @@ FROM u GROUP BY stat"""
 tk AS (SELECT regexp_extract_all(lower(final_text), '{NGRAM}') AS w FROM clean),
 bg AS (SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS ngram FROM tk)
 SELECT ngram, count(*) AS freq FROM bg GROUP BY ngram ORDER BY freq DESC, ngram ASC LIMIT {P.NGRAM_TOP_K}"""
+    q["top_bigrams_unicode"] = q["top_bigrams"].replace(f"'{NGRAM}'", f"'{NGRAM_UNI}'")
     q["histogram_words"] = f"WITH {SCORED}, " + histogram_sql("scored", "word_count", str(P.HIST_BINS_WORDS))
     q["histogram_script"] = f"WITH {SCORED}, " + histogram_sql("scored", "script_ratio", str(P.HIST_BINS_SCRIPT))
     q["histogram_unique"] = f"WITH {SCORED}, " + histogram_sql("scored", "uniqueness_ratio", str(P.HIST_BINS_UNIQUE))

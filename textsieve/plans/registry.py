@@ -73,6 +73,10 @@ def q_top_bigrams(spark, sf):
     return NG.top_ngrams(clean_documents(spark, sf), "final_text", P.NGRAM_N, P.NGRAM_TOP_K)
 
 
+def q_top_bigrams_unicode(spark, sf):
+    return NG.top_ngrams(clean_documents(spark, sf), "final_text", P.NGRAM_N, P.NGRAM_TOP_K, tokenizer="unicode")
+
+
 def q_histogram_words(spark, sf):
     return S.histogram(scored_documents(spark, sf), "word_count", P.HIST_BINS_WORDS)
 
@@ -106,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "profile": q_profile,
     "mean_richness": q_mean_richness,
     "top_bigrams": q_top_bigrams,
+    "top_bigrams_unicode": q_top_bigrams_unicode,
     "histogram_words": q_histogram_words,
     "histogram_script": q_histogram_script,
     "histogram_unique": q_histogram_unique,
