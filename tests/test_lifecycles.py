@@ -76,3 +76,40 @@ def test_catalog_from_html_alternative_selector(spark):
     prim = spark.createDataFrame([(1, '<a href="/song/1">Main</a>')], "seq long, html string")
     rows = sorted(tuple(r) for r in L.catalog_from_html(prim, alt_rows_html=alt).collect())
     assert rows == [("Main", "", "")]
+
+
+def _tree(base, files):
+    for (movie, song), body in files.items():
+        os.makedirs(os.path.join(base, movie), exist_ok=True)
+        with open(os.path.join(base, movie, song + ".txt"), "w", encoding="utf-8") as f:
+            f.write(body)
+
+
+def test_ingest_trees_idempotent(spark, tmpdir_path):
+    tree = os.path.join(tmpdir_path, "v1")
+    _tree(tree, {("Movie_A", "Song_1"): "Song: x\nMovie: y\nSource: s\nURL: u\n\nintro...\n  అమ్మ నాన్న",
+                 ("Movie_A", "Song_2"): "no marker here  "})
+    table = os.path.join(tmpdir_path, "songs")
+    assert L.ingest_text_tree(spark, tree, table) == 2
+    assert L.ingest_text_tree(spark, tree, table) == 0
+    got = {r["song_name"]: r["lyrics"] for r in spark.read.parquet(table).collect()}
+    assert got == {"Song_1": "అమ్మ నాన్న", "Song_2": "no marker here"}
+    scraped = os.path.join(tmpdir_path, "v2")
+    _tree(scraped, {("Movie_B", "x"): "song:\nPata\ntelugu\nఅమ్మ\nనాన్న\nEnglish line"})
+    assert L.ingest_scraped_tree(spark, scraped, table) == 1
+    row = [r for r in spark.read.parquet(table).collect() if r["movie_name"] == "Movie_B"][0]
+    assert (row["song_name"], row["lyrics"]) == ("Pata", "అమ్మ\nనాన్న")
+
+
+def test_write_lyrics_files_and_requests(spark, tmpdir_path):
+    res = spark.createDataFrame(
+        [(1, "Song A", "Movie X", "found", "https://lyricstape.com/a", "అమ్మ"),
+         (2, "Song B", "Movie X", "missing", None, None)],
+        "song_id long, song_name string, movie string, outcome string, url string, lyrics string")
+    base = os.path.join(tmpdir_path, "files")
+    L.write_lyrics_files(res, base, "lyricstape.com")
+    back = spark.read.text(base, wholetext=True).collect()
+    assert len(back) == 1 and back[0]["value"].startswith("Song: Song A\nMovie: Movie X\nSource: lyricstape.com\n")
+    req = L.search_requests(res.select("song_name", F.col("movie").alias("movie_album"))).first()
+    assert req["query"] == "site:lyricstape.com Song A Movie X lyrics"
+    assert req["search_url"] == "https://duckduckgo.com/?q=lyricstape.com+Song+A+Movie+X+lyrics&t=h_&ia=web"

@@ -41,3 +41,13 @@ def test_stream_quality_gate(spark, tmpdir_path):
     q.awaitTermination()
     got = spark.read.parquet(out).collect()
     assert [r["doc_id"] for r in got] == [1] and got[0]["word_count"] == 40
+
+
+def test_stream_ingest_extract_song_parser(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "landing")
+    table = os.path.join(tmpdir_path, "songs")
+    _write(landing, "MovieC", "page1", "song:\nPata\ntelugu\nఅమ్మ\nనాన్న\nEnglish")
+    q = INC.stream_text_tree_ingest(spark, landing, table, parser="extract_song",
+                                    checkpoint=os.path.join(tmpdir_path, "ck"))
+    q.awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(table).collect()] == [("MovieC", "Pata", "అమ్మ\nనాన్న")]
