@@ -11,7 +11,10 @@ def test_clean_and_publish(spark, tmpdir_path):
     good = " ".join(TE_WORDS * 4) + " ఖడ్గం, Hello!"
     rows = [("s1", good), ("s2", "short అమ్మ"), ("s3", "english only " * 20), ("s4", None)]
     docs = spark.createDataFrame(rows, "song_name string, lyrics string")
-    rep = L.clean_and_publish(spark, docs, tmpdir_path, csv_path=os.path.join(tmpdir_path, "clean_csv"))
+    from textsieve import patterns as P
+
+    rep = L.clean_and_publish(spark, docs, tmpdir_path, csv_path=os.path.join(tmpdir_path, "clean_csv"),
+                              rename=P.PUBLISHED_NAMES_TELUGU)
     clean = rep["clean"].collect()
     assert [r["song_name"] for r in clean] == ["s1"]
     assert "Hello" not in clean[0]["final_text"] and clean[0]["final_text"].endswith(", !")
@@ -21,7 +24,8 @@ def test_clean_and_publish(spark, tmpdir_path):
     assert prof["count"] == 4 and prof["min"] == 1.0  # NULL lyrics count as the 1-word text 'None'
     assert rep["top_ngrams"].count() > 0 and rep["richness_kde"].count() == 200
     csv = spark.read.option("header", "true").option("multiLine", "true").csv(os.path.join(tmpdir_path, "clean_csv"))
-    assert csv.columns[0] == "song_name" and csv.count() == 1
+    assert csv.columns == ["song_name", "word_count", "telugu_ratio", "uniqueness_ratio", "final_lyrics",
+                           "richness", "complexity", "sanskrit_score"] and csv.count() == 1
 
 
 def test_pages_to_lyrics_v1_and_v2(spark):

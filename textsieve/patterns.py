@@ -80,6 +80,9 @@ REASON_NO_RESULTS = "No search results found"
 REASON_NOT_IN_TOP = "Lyricstape not found in top {n} results"
 REASON_NO_SCRIPT = "Page loaded, but no Telugu text found"
 
+# Column names of the published clean table in the original pipeline
+# (library name -> original name).
+PUBLISHED_NAMES_TELUGU = {"script_ratio": "telugu_ratio", "final_text": "final_lyrics", "density": "sanskrit_score"}
 # Constant columns of the training catalog.
 TRAINING_FLAGS = {"Downloaded": "No", "Vocals_Extracted": "No", "DeReverbed": "No", "Notes": ""}
 # --- end of fixed values ---

@@ -33,9 +33,12 @@ from textsieve.sources import files as IO
 
 def clean_and_publish(spark: SparkSession, docs: DataFrame, out_dir: str, id_col: str = "song_name",
                       text_col: str = "lyrics", script: P.Script = P.TELUGU,
-                      density_chars: str = P.TELUGU_DENSITY_CHARS, csv_path: str | None = None) -> dict[str, DataFrame]:
+                      density_chars: str = P.TELUGU_DENSITY_CHARS, csv_path: str | None = None,
+                      rename: dict | None = None) -> dict[str, DataFrame]:
     """Lifecycle A.  Returns the published table and every report; with
-    ``csv_path`` the published table is also exported as CSV."""
+    ``csv_path`` the published table is also exported as CSV.  ``rename`` maps
+    library column names to published names (e.g.
+    ``patterns.PUBLISHED_NAMES_TELUGU``); reports keep the library names."""
     ensure_checkpoint_dir(spark)
     scored = Q.with_quality_metrics(docs.select(id_col, text_col), text_col, script).checkpoint(eager=True)
     reports = {
@@ -48,10 +51,10 @@ def clean_and_publish(spark: SparkSession, docs: DataFrame, out_dir: str, id_col
     clean = Q.with_lexical_features(Q.quality_gate(scored), text_col, script, density_chars)
     published = clean.select(id_col, *Q.METRIC_COLUMNS, *Q.FEATURE_COLUMNS)
     path = f"{out_dir.rstrip('/')}/clean"
-    IO.write_table(published, path)
-    table = spark.read.parquet(path)
+    IO.write_table(published.withColumnsRenamed(rename or {}), path)
+    table = spark.read.parquet(path).withColumnsRenamed({v: k for k, v in (rename or {}).items()})
     if csv_path:
-        IO.write_csv(table, csv_path, [id_col, *Q.METRIC_COLUMNS, *Q.FEATURE_COLUMNS])
+        IO.write_csv(spark.read.parquet(path), csv_path)
     reports.update({
         "mean_richness": S.formatted_mean(table, "richness", "mean_richness"),
         "richness_hist": S.auto_histogram(table, "richness"),
