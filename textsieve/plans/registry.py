@@ -13,8 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsieve import patterns as P
+from textsieve.functions import html as H
+from textsieve.functions import structure as STR
+from textsieve.functions import text as TX
+from textsieve.operators import blocks as B
+from textsieve.operators import candidates as C
 from textsieve.operators import ngrams as NG
 from textsieve.operators import quality as Q
+from textsieve.operators import sets as SETS
 from textsieve.operators import stats as S
 from textsieve.plans.oracle_sql import DENSITY_CHARS, SCRIPT
 from textsieve.sources.tables import read_table
@@ -122,13 +128,7 @@ QUERIES: dict[str, Query] = {
 
 # --- set logic -------------------------------------------------------------
 
-from textsieve.functions import html as H  # noqa: E402
-from textsieve.functions import structure as STR  # noqa: E402
-from textsieve.functions import text as TX  # noqa: E402
-from textsieve.operators import blocks as B  # noqa: E402
-from textsieve.operators import candidates as C  # noqa: E402
-from textsieve.operators import sets as SETS  # noqa: E402
-
+# Candidate pages on this domain stand in for the lyrics site.
 CANDIDATE_DOMAIN = "example.net"
 
 
