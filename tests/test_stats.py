@@ -90,3 +90,22 @@ def test_top_ngrams_ties_by_phrase(spark):
 
 def test_formatted_mean(spark):
     assert S.formatted_mean(frame(spark, [0.125, 0.5]), "v").first()[0] == "0.31"
+
+
+def py_top_first_seen(texts, k):
+    import re as _re
+
+    freq = {}
+    for t in texts:  # dict insertion order = first appearance
+        w = _re.findall(r"(?u)\b\w\w+\b", t.lower())
+        for a, b in zip(w, w[1:]):
+            freq[a + " " + b] = freq.get(a + " " + b, 0) + 1
+    return sorted(freq.items(), key=lambda x: x[1], reverse=True)[:k]
+
+
+def test_top_ngrams_first_seen_matches_vectorizer_order(spark):
+    texts = ["zz yy xx ww", "aa bb zz yy", "cc dd aa bb", "xx ww cc dd", "qq rr", "rr qq"]
+    df = spark.createDataFrame(list(enumerate(texts)), "d long, t string")
+    for k in (1, 3, 5, 8):
+        got = [(r["ngram"], r["freq"]) for r in NG.top_ngrams_first_seen(df, "t", "d", 2, k).collect()]
+        assert got == py_top_first_seen(texts, k), k

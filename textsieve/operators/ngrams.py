@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from textsieve import patterns as P
 from textsieve.functions import text as T
+from textsieve.session import ensure_checkpoint_dir
 
 
 def ngram_counts(df: DataFrame, text_col: str, n: int = P.NGRAM_N, tokenizer: str = "compat") -> DataFrame:
@@ -33,3 +34,47 @@ def top_ngrams(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int = P.
 def top_by(df: DataFrame, order_col: str, cols, k: int, tie_col: str) -> DataFrame:
     """Top ``k`` rows by ``order_col`` descending (tie: ``tie_col`` ascending)."""
     return df.orderBy(F.desc(order_col), F.asc(tie_col)).select(*cols).limit(k)
+
+
+def top_ngrams_first_seen(df: DataFrame, text_col: str, order_col: str, n: int = P.NGRAM_N,
+                          top_k: int = P.NGRAM_TOP_K, tokenizer: str = "compat") -> DataFrame:
+    """Top-k n-grams with ties ordered by first appearance: documents in
+    ``order_col`` order, then position in the document (the vocabulary order
+    of a count vectorizer fitted on the corpus in that order).
+
+    Exact and bounded: (1) frequency and first document per n-gram (hash
+    aggregates; checkpointed); (2) the k-th (frequency, first document) key
+    (at most k rows reach the driver); (3) candidates ranked at or before that
+    key - at most k plus the n-grams of one document; (4) first positions read
+    only from the <= k+1 documents the candidates first appear in.
+    """
+    spark = df.sparkSession
+
+    def grams_of(frame):
+        return frame.select(
+            F.col(order_col).alias("_d"),
+            F.posexplode(T.ngrams(T.ngram_tokens(text_col, tokenizer), n)).alias("_p", "ngram"),
+        )
+
+    counts = grams_of(df).groupBy("ngram").agg(F.count(F.lit(1)).alias("freq"), F.min("_d").alias("_d0"))
+    ensure_checkpoint_dir(spark)
+    counts = counts.checkpoint(eager=True)
+    head = counts.orderBy(F.desc("freq"), F.asc("_d0")).limit(top_k).collect()
+    if not head:
+        return counts.select("ngram", "freq").limit(0)
+    f_k, d_k = head[-1]["freq"], head[-1]["_d0"]
+    cands = counts.where((F.col("freq") > f_k) | ((F.col("freq") == f_k) & (F.col("_d0") <= d_k)))
+    docs = [r["_d0"] for r in cands.select("_d0").distinct().collect()]  # <= k + 1 values
+    first_pos = (
+        grams_of(df.where(F.col(order_col).isin(docs)))
+        .join(cands.select("ngram", "_d0"), "ngram")
+        .where(F.col("_d") == F.col("_d0"))
+        .groupBy("ngram")
+        .agg(F.min("_p").alias("_p0"))
+    )
+    return (
+        cands.join(first_pos, "ngram")
+        .orderBy(F.desc("freq"), F.asc("_d0"), F.asc("_p0"))
+        .select("ngram", "freq")
+        .limit(top_k)
+    )

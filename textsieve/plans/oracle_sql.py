@@ -136,6 +136,15 @@ tk AS (SELECT regexp_extract_all(lower(final_text), '{NGRAM}') AS w FROM clean),
 bg AS (SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS ngram FROM tk)
 SELECT ngram, count(*) AS freq FROM bg GROUP BY ngram ORDER BY freq DESC, ngram ASC LIMIT {P.NGRAM_TOP_K}"""
     q["top_bigrams_unicode"] = q["top_bigrams"].replace(f"'{NGRAM}'", f"'{NGRAM_UNI}'")
+    q["top_bigrams_first_seen"] = f"""WITH {SCORED}, {GATED},
+tk AS (SELECT doc_id, regexp_extract_all(lower(final_text), '{NGRAM}') AS w FROM clean),
+b0 AS (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM tk),
+bg AS (SELECT doc_id, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS ngram FROM b0),
+agg AS (SELECT ngram, count(*) AS freq, min(doc_id) AS d0 FROM bg GROUP BY ngram),
+fp AS (SELECT bg.ngram, min(bg.pos) AS p0 FROM bg JOIN agg ON bg.ngram = agg.ngram AND bg.doc_id = agg.d0
+       GROUP BY bg.ngram)
+SELECT agg.ngram, agg.freq FROM agg JOIN fp ON agg.ngram = fp.ngram
+ORDER BY agg.freq DESC, agg.d0, fp.p0 LIMIT {P.NGRAM_TOP_K}"""
     q["histogram_words"] = f"WITH {SCORED}, " + histogram_sql("scored", "word_count", str(P.HIST_BINS_WORDS))
     q["histogram_script"] = f"WITH {SCORED}, " + histogram_sql("scored", "script_ratio", str(P.HIST_BINS_SCRIPT))
     q["histogram_unique"] = f"WITH {SCORED}, " + histogram_sql("scored", "uniqueness_ratio", str(P.HIST_BINS_UNIQUE))

@@ -83,6 +83,10 @@ def q_top_bigrams_unicode(spark, sf):
     return NG.top_ngrams(clean_documents(spark, sf), "final_text", P.NGRAM_N, P.NGRAM_TOP_K, tokenizer="unicode")
 
 
+def q_top_bigrams_first_seen(spark, sf):
+    return NG.top_ngrams_first_seen(clean_documents(spark, sf), "final_text", "doc_id", P.NGRAM_N, P.NGRAM_TOP_K)
+
+
 def q_histogram_words(spark, sf):
     return S.histogram(scored_documents(spark, sf), "word_count", P.HIST_BINS_WORDS)
 
@@ -117,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "mean_richness": q_mean_richness,
     "top_bigrams": q_top_bigrams,
     "top_bigrams_unicode": q_top_bigrams_unicode,
+    "top_bigrams_first_seen": q_top_bigrams_first_seen,
     "histogram_words": q_histogram_words,
     "histogram_script": q_histogram_script,
     "histogram_unique": q_histogram_unique,
