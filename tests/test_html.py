@@ -53,3 +53,14 @@ def test_anchor_extraction(spark):
     rows = df.select(anchor_text("h", "/song/"), anchor_text("h", "/album/"), anchor_texts("h", "/artist/")).collect()
     assert tuple(rows[0]) == ("Song A", "Album", "S1, S2")
     assert tuple(rows[1]) == ("", "", "")
+
+
+def test_v2_blocks_and_cleaner(spark):
+    te = TE * 3
+    html = (f"<form><div>{te}{te}</div></form><header>{te}</header>"
+            f"<span>{te}\nSearch here\nకల</span><div>{TE}</div>")
+    assert outermost_blocks(html, P.NOISE_TAGS_V2, P.BLOCK_TAGS_V2) == [f"{te}\nSearch here\nకల", TE]
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    r = B.extract_main_text(df, "html", "v2").first()
+    # v2 keeps lines without script (no script filter) but drops stop-listed ones
+    assert r["score"] == 44 and r["main_text"] == f"{te.strip()}\nకల"
