@@ -127,9 +127,6 @@ WS = char_class(WHITESPACE_RANGES)
 NOT_WS = char_class(WHITESPACE_RANGES, negate=True)
 # One whitespace-separated token (Python str.split()).
 TOKEN = Pattern(NOT_WS.java + "+", NOT_WS.re2 + "+")
-# Leading or trailing whitespace (Python str.strip()).
-STRIP = Pattern(f"\\A{WS.java}+|{WS.java}+\\z", f"\\A{WS.re2}+|{WS.re2}+\\z")
-LSTRIP = Pattern(f"\\A{WS.java}+", f"\\A{WS.re2}+")
 LINE_BREAK = Pattern(
     "\\r\\n|" + char_class(LINE_BREAK_RANGES).java,
     "\\r\\n|" + char_class(LINE_BREAK_RANGES).re2,
@@ -179,7 +176,3 @@ def density_class(chars: str) -> Pattern:
     """Class matching any character of ``chars`` (a set, order irrelevant)."""
     return char_class([], extra=chars)
 
-
-def sql_literal(s: str) -> str:
-    """Quote a Python string as a SQL string literal (both dialects)."""
-    return "'" + s.replace("'", "''") + "'"
