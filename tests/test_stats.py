@@ -55,7 +55,9 @@ def test_profile_matches_pandas_describe(spark):
     rng = np.random.default_rng(0)
     pdf = pd.DataFrame({"a": rng.integers(0, 100, 300).astype(float), "b": rng.random(300)})
     sdf = spark.createDataFrame(pdf)
-    got = {r["stat"]: (r["a"], r["b"]) for r in S.profile(sdf, ["a", "b"], digits=None).collect()}
+    rows = S.profile(sdf, ["a", "b"], digits=None).collect()
+    assert [r["stat"] for r in rows] == S.DESCRIBE_STATS
+    got = {r["stat"]: (r["a"], r["b"]) for r in rows}
     desc = pdf.describe()
     for stat in S.DESCRIBE_STATS:
         assert np.allclose(got[stat], (desc.loc[stat, "a"], desc.loc[stat, "b"]), rtol=1e-12), stat

@@ -137,7 +137,8 @@ def profile(df: DataFrame, cols, digits: int | None = 9) -> DataFrame:
     value = F.first("value")
     if digits is not None:
         value = F.round(value, digits)
-    return basic.unionByName(q).groupBy("stat").pivot("name", list(cols)).agg(value)
+    order = F.array_position(F.array(*[F.lit(x) for x in DESCRIBE_STATS]), F.col("stat"))
+    return basic.unionByName(q).groupBy("stat").pivot("name", list(cols)).agg(value).orderBy(order)
 
 
 def with_bin_index(df: DataFrame, v: Column, lo: Column, hi: Column, n: Column, out: str = "bin",
