@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from .bpe import op5_bpe
 from .simhash import op3_simhash
+from .suffixes import op2_suffixes
+from .toxicity import op8_toxicity
 
 QUERIES = {
+    "op2_suffixes": op2_suffixes,
     "op3_simhash": op3_simhash,
+    "op5_bpe": op5_bpe,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
