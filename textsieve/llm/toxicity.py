@@ -2,9 +2,10 @@
 
 1. Log-odds of tokens between toxic and other labelled texts, with an
    informative Dirichlet prior from the counts of the whole corpus.  A token's
-   features are the word and its stems; they are hashed into ``BUCKETS``
-   counters, so the model has a fixed size whatever the corpus.  A feature
-   counts only if its log-odds is ``MIN_Z`` standard deviations from zero.
+   features are the word and its stems, counted once a text by Spark.  A
+   feature enters the model only if its log-odds is ``MIN_Z`` standard
+   deviations from zero, and at most ``MAX_FEATURES`` (the surest) do, so the
+   model that is broadcast has a bounded size.
 2. A text is a sequence of token scores (log-odds less a drift, so that the
    expected score is negative).  One linear scan finds all disjoint
    maximum-scoring segments.
@@ -23,27 +24,29 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Scratch, id_and_text, table
 
-BUCKETS = 1 << 18
+MAX_FEATURES = 1 << 16
 MAX_LABELLED = 20_000
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7)
 MIN_Z = 4.0
+#: strength of the corpus prior, as a share of what the toxic texts hold
+PRIOR = 0.1
 DRIFT = 0.3
 #: E-value under which a segment is a finding
 SIGNIFICANT = 0.05
 CACHE_WORDS = 200_000
+#: distinct words that a task counts before it puts them out
+COUNT_WORDS = 500_000
 WORD = re.compile(r"\w+")
 
 
@@ -51,20 +54,18 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-def features(word: str) -> list[int]:
-    """Buckets of the word and of its stems."""
-    names = [f"w{word}", *(f"s{word[:k]}" for k in STEMS if len(word) >= k)]
-    return [zlib.crc32(x.encode("utf-8")) % BUCKETS for x in names]
+def features(word: str) -> list[str]:
+    """The word ("w" before it) and its stems ("s")."""
+    return [f"w{word}", *(f"s{word[:k]}" for k in STEMS if len(word) >= k)]
 
 
 # ---------------------------------------------------------------- model
 
 @dataclass
 class Model:
-    """Feature log-odds (zero where not significant), z-scores, and the calibration."""
+    """(log-odds, z) of the sure features, and the calibration."""
 
-    odds: np.ndarray
-    z: np.ndarray
+    sure: dict[str, tuple[float, float]]
     lam: float = 1.0
     k: float = 1.0
     slope: float = 1.0
@@ -78,8 +79,8 @@ class Model:
         """The log-odds of the word's most certain feature, less the drift."""
         s = self.words.get(word)
         if s is None:
-            f = features(word)
-            s = float(self.odds[f[int(np.argmax(np.abs(self.z[f])))]]) - DRIFT
+            found = [self.sure[f] for f in features(word) if f in self.sure]
+            s = max(found, key=lambda x: abs(x[1]))[0] - DRIFT if found else -DRIFT
             if len(self.words) >= CACHE_WORDS:
                 self.words.clear()
             self.words[word] = s
@@ -145,57 +146,55 @@ def _bounded_labels(labels: DataFrame, id_col: str, label_col: str, limit: int)
     return draw.groupBy("lid").agg((F.max("y") >= 1).cast("int").alias("y"))
 
 
-def _count_features(docs: DataFrame) -> pd.DataFrame:
-    """Per bucket: count over all texts, over toxic ones and over other labelled ones."""
+def _count_words(marked: DataFrame) -> DataFrame:
+    """(word, n, toxic, other): in how many texts, toxic texts and other labelled texts each word is.
+
+    A word counts once a text, so that a text that repeats one word is one piece of evidence.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((3, BUCKETS))
-        known: dict[str, list[int]] = {}
         held = [Counter(), Counter(), Counter()]  # unlabelled, other, toxic
 
-        def flush() -> None:
-            for i, c in enumerate(held):
-                for w, n in c.items():
-                    f = known.get(w)
-                    if f is None:
-                        f = known[w] = features(w)
-                    total[0, f] += n
-                    if i:
-                        total[3 - i, f] += n
+        def flush() -> pa.RecordBatch:
+            words = [w for c in held for w in c]
+            n = np.array([x for c in held for x in c.values()], np.int64)
+            kind = np.repeat([0, 1, 2], [len(c) for c in held])
+            for c in held:
                 c.clear()
-            known.clear()
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n), pa.array(n * (kind == 2)), pa.array(n * (kind == 1))],
+                                              names=["word", "n", "toxic", "other"])
 
         for b in batches:
             for t, y in zip(b.column("text"), b.column("y").to_pylist()):
-                held[0 if y is None else 2 if y else 1].update(words_of(t.as_py()))
-            if sum(map(len, held)) > CACHE_WORDS:
-                flush()
-        flush()
-        used = np.flatnonzero(total[0])
-        yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(total[i, used]) for i in range(3))],
-                                         names=["bucket", "n", "toxic", "other"])
+                held[0 if y is None else 2 if y else 1].update(set(words_of(t.as_py())))
+            if sum(map(len, held)) > COUNT_WORDS:
+                yield flush()
+        yield flush()
 
-    rows = docs.mapInArrow(run, "bucket long, n double, toxic double, other double")
-    return rows.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toPandas()
+    return (marked.mapInArrow(run, "word string, n long, toxic long, other long")
+            .groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "other")]))
 
 
-def _log_odds(counts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds with the corpus as Dirichlet prior (as strong as the toxic texts are long), and their z-scores."""
-    n, tox, oth = (np.zeros(BUCKETS) for _ in range(3))
-    for col, to in (("n", n), ("toxic", tox), ("other", oth)):
-        to[counts["bucket"].to_numpy(np.int64)] = counts[col].to_numpy()
-    if not tox.sum() or not oth.sum():
-        return np.zeros(BUCKETS), np.zeros(BUCKETS)
-    strength = tox.sum()
-    prior = np.maximum(strength * n / n.sum(), 1e-9)
+def _sure_features(counts: DataFrame) -> dict[str, tuple[float, float]]:
+    """Log-odds with the corpus as Dirichlet prior and z-scores, of the features that are sure."""
+    stems = [F.when(F.length("word") >= k, F.concat(F.lit("s"), F.substring("word", 1, k))) for k in STEMS]
+    names = F.array_compact(F.array(F.concat(F.lit("w"), F.col("word")), *stems))
+    rows = (counts.select(F.explode(names).alias("f"), "n", "toxic", "other")
+            .groupBy("f").agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "other")]))
+    total = counts.agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "other")]).first()
+    if not total["toxic"] or not total["other"]:
+        return {}
+    strength = PRIOR * total["toxic"]
+    prior = F.col("n") * F.lit(strength / total["n"])
 
-    def logit(y: np.ndarray) -> np.ndarray:
-        return np.log((y + prior) / np.maximum(y.sum() + strength - y - prior, 1e-9))
+    def logit(c: str):
+        return F.log((F.col(c) + prior) / (F.lit(total[c] + strength) - F.col(c) - prior))
 
-    odds = logit(tox) - logit(oth)
-    z = odds / np.sqrt(1 / (tox + prior) + 1 / (oth + prior))
-    sure = np.abs(z) >= MIN_Z
-    return np.where(sure, odds, 0.0), np.where(sure, z, 0.0)
+    odds = logit("toxic") - logit("other")
+    z = odds / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("other") + prior))
+    found = (rows.filter("toxic + other > 0").select("f", odds.alias("odds"), z.alias("z"))
+             .filter(F.abs("z") >= MIN_Z).orderBy(F.abs("z").desc(), "f").limit(MAX_FEATURES).collect())
+    return {r["f"]: (r["odds"], r["z"]) for r in found}
 
 
 def _lambda(scores: np.ndarray, weights: np.ndarray) -> float:
@@ -238,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     drawn = scratch.put("labels", _bounded_labels(labels, id_col, label_col, max_labelled))
     rows = id_and_text(docs, id_col, text_col)
     marked = rows.join(F.broadcast(drawn), rows["id"] == drawn["lid"], "left").select("text", "y")  # <= max_labelled rows
-    model = Model(*_log_odds(_count_features(marked)))
+    model = Model(_sure_features(scratch.put("words", _count_words(marked))))
     ys = rows.join(F.broadcast(drawn), rows["id"] == drawn["lid"]).select("id", "text", "y")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -264,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     hist = null.filter("bin <> -1 or best = 0").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
     score, weight = hist["bin"].to_numpy(float) / 20, hist["n"].to_numpy(float)
     # one pseudo token of each score that the model can give, so that lambda is finite
-    top = float(model.odds.max() - DRIFT)
+    top = max((odds for odds, _ in model.sure.values()), default=0.0) - DRIFT
     if top > 0 and len(score):
         model.lam = _lambda(np.append(score, top), np.append(weight, 1.0))
         fit_k = null.filter("bin = -1 and best > 0").agg(
@@ -285,7 +284,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         model.slope, model.offset = _logistic(x, y)
     else:
         model.slope, model.offset = 0.0, 0.0
-    scratch.drop("labels", "nulls")
+    scratch.drop("labels", "nulls", "words")
     return model
 
 
