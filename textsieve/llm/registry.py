@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .bpe import op5_bpe
+from .mixing import op10_mixing
+from .sharding import op9_sharding
 from .simhash import op3_simhash
 from .suffixes import op2_suffixes
 from .toxicity import op8_toxicity
@@ -12,6 +14,8 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op5_bpe": op5_bpe,
     "op8_toxicity": op8_toxicity,
+    "op9_sharding": op9_sharding,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
