@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 from .bpe import op5_bpe
+from .chat import OP7_SQL, op7_chat
 from .mixing import op10_mixing
 from .sharding import op9_sharding
 from .simhash import op3_simhash
 from .suffixes import op2_suffixes
 from .toxicity import op8_toxicity
+from .urls import OP1_SQL, op1_urls
 
 QUERIES = {
+    "op1_urls": op1_urls,
     "op2_suffixes": op2_suffixes,
     "op3_simhash": op3_simhash,
     "op5_bpe": op5_bpe,
+    "op7_chat": op7_chat,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op1_urls": OP1_SQL,
+    "op7_chat": OP7_SQL,
+}
