@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from .bpe import op5_bpe
 from .chat import OP7_SQL, op7_chat
+from .metric_join import op4_embeddings
 from .mixing import op10_mixing
 from .sharding import op9_sharding
 from .simhash import op3_simhash
 from .suffixes import op2_suffixes
 from .toxicity import op8_toxicity
 from .urls import OP1_SQL, op1_urls
+from .vptree import op6_nearest
 
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_suffixes": op2_suffixes,
     "op3_simhash": op3_simhash,
+    "op4_embeddings": op4_embeddings,
     "op5_bpe": op5_bpe,
+    "op6_nearest": op6_nearest,
     "op7_chat": op7_chat,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,

@@ -290,15 +290,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 # ---------------------------------------------------------------- scoring
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", passages: bool = False) -> DataFrame:
-    """(id, score), and on request passages: array of (first, end, score, e_value) in tokens.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", passages: bool = False,
+          carry: bool = False) -> DataFrame:
+    """(id, score), and on request passages: array of (first, end, score, e_value) in tokens, and row (all input columns).
 
     Null and empty texts have no passage and get the curve's value at zero;
     repeated rows stay and get equal scores; an empty table gives no rows;
     extra columns are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = "id long, score double" + ", passages array<struct<first:int,end:int,score:double,e_value:double>>" * passages
+    own = F.struct(*[F.col(c) for c in docs.columns]) if carry else F.lit(None).cast("int")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), own.alias("row"))
+    schema = ("id long, score double" + ", passages array<struct<first:int,end:int,score:double,e_value:double>>" * passages
+              + f", row {rows.schema['row'].dataType.simpleString()}" * carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
@@ -308,9 +312,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             if passages:
                 kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("e_value", pa.float64())]))
                 cols["passages"] = pa.array([[dict(zip(("first", "end", "score", "e_value"), x)) for x in m.findings(w)] for w in words], kind)
+            if carry:
+                cols["row"] = b.column("row")
             yield pa.RecordBatch.from_pydict(cols)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, schema)
+    return (rows if carry else rows.drop("row")).mapInArrow(run, schema)
 
 
 def held_out(col) -> "F.Column":
