@@ -24,13 +24,14 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group the document with the smallest id."""
-    groups = simhash.simhash_groups(docs).select(F.col("id").alias("_id"), "component")
-    first = groups.filter(F.col("_id").eqNullSafe(F.col("component"))).select("_id").distinct()
-    # equal ids are one document; of its rows one stays (a null id only where its group has no other)
+    """Of each SimHash group the document with the smallest id, once; documents without an id stay."""
+    groups = simhash.simhash_groups(docs)
+    first = groups.filter("id = component").select(F.col("id").alias("_first")).distinct()
+    kept = docs.join(first, F.col("doc_id") == F.col("_first"), "left_semi")
+    # rows that repeat an id are one document (the join has dealt the rows by id already)
     same = Window.partitionBy("doc_id").orderBy(*[c for c in docs.columns if c != "doc_id"])
-    one = docs.withColumn("_n", F.row_number().over(same))
-    return one.filter("_n = 1").drop("_n").join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    kept = kept.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1").drop("_nth")
+    return kept.unionByName(docs.filter("doc_id is null"))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

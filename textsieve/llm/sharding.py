@@ -159,12 +159,12 @@ def rewrite_affected(docs: DataFrame, assigned: DataFrame, flow: dict[tuple[int,
                      id_col: str = "doc_id") -> list[int]:
     """Write the new content of the affected shards below ``root`` as shard=<n> folders; returns their numbers.
 
-    ``docs`` must have unique ids.  Readers take affected shards from ``root``
+    ``docs`` must have unique ids; a column named shard is replaced.  Readers take affected shards from ``root``
     and the other shards from where they are.
     """
     shards = affected_shards(flow)
     place = assigned.select(F.col("id").alias("moved_id"), "shard").filter(F.col("shard").isin(shards))
-    (docs.join(place, F.col(id_col).eqNullSafe(F.col("moved_id"))).drop("moved_id")
+    (docs.drop("shard").join(place, F.col(id_col).eqNullSafe(F.col("moved_id"))).drop("moved_id")
      .repartition("shard", F.pmod(F.xxhash64(id_col), F.lit(8))).write.mode("overwrite").partitionBy("shard").parquet(root))
     return shards
 

@@ -355,11 +355,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other and lose every byte that a LENGTH-byte string covers; a null id is an id like
     any other; an empty table gives no rows.
     """
-    own = F.struct(*[F.col(c) for c in docs.columns]) if carry else F.lit(None).cast("int")
+    text = F.col(text_col).cast("string")
+    own = F.struct(*[F.col(c) for c in docs.columns]) if carry else F.struct(text.alias(text_col))
     # the key holds the text's hash, so that two rows with one id stay apart
-    full = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("rk"),
-                       F.col(text_col).cast("string").alias("text"), own.alias("row"))
-    spans = repeated_spans(full.select("id", "rk", "text"), block_rows)
+    full = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("rk"), own.alias("row"))
+    of_row = F.col("row").getField(text_col).cast("string").alias("text")
+    spans = repeated_spans(full.select("id", "rk", of_row), block_rows)
     kind = full.schema["row"].dataType.simpleString()
     schema = ("id long, n_bytes long, n_removed long, n_spans long" + ", kept string" * keep_text
               + ", kept_sha256 string" * digests + f", row {kind}" * carry)
@@ -385,7 +386,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_pydict(cols)
 
     joined = full.join(spans, F.col("id").eqNullSafe(F.col("sid")) & (F.col("rk") == F.col("srk")), "left")
-    return joined.select("id", "text", "spans", "row").mapInArrow(run, schema)
+    return joined.select("id", of_row, "spans", *(["row"] if carry else [])).mapInArrow(run, schema)
 
 
 def op2_suffixes(spark, sf_dir: str) -> DataFrame:

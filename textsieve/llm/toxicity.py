@@ -254,10 +254,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 found = segments(s)
                 if found:
                     best.append((len(w), max(x[2] for x in found)))
-            yield pa.RecordBatch.from_arrays([pa.array([-1] * len(best), pa.int32()), pa.array([float(x) for x, _ in best]),
+            yield pa.RecordBatch.from_arrays([pa.array([-1] * len(best), pa.int32()), pa.array([float(x) for x, _ in best], pa.float64()),
                                               pa.array([x for _, x in best], pa.float64())], names=["bin", "n", "best"])
-        yield pa.RecordBatch.from_arrays([pa.array(list(bins), pa.int32()), pa.array([float(x) for x in bins.values()]),
-                                          pa.array([0.0] * len(bins))], names=["bin", "n", "best"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(bins), pa.int32()), pa.array([float(x) for x in bins.values()], pa.float64()),
+                                          pa.array([0.0] * len(bins), pa.float64())], names=["bin", "n", "best"])
 
     null = scratch.put("nulls", ys.select("text", "y").mapInArrow(nulls, "bin int, n double, best double"))
     hist = null.filter("bin <> -1 or best = 0").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
