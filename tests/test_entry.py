@@ -1,4 +1,6 @@
 import __spark_entry__ as E
+from textsieve.plans.oracle_sql import oracle_queries
+from textsieve.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -9,13 +11,14 @@ def test_entry_runs(spark):
     assert "final_text" in df.columns
 
 
-def test_every_query_has_rows_and_oracle_names(spark):
-    sql = E.oracle_sql()
-    rows_only = set(E.queries()) - set(sql)
-    assert rows_only == {"best_block", "page_lyrics", "outcome_counts"}
-    for name, fn in E.queries().items():
-        df = fn(spark, SF)
-        n = df.count()
-        assert n >= 0, name
-        if name not in ("first_candidate", "page_lyrics", "lang_filter", "catalog_fallback"):
-            assert n > 0, name
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(oracle_queries())
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_every_query_has_rows(spark):
+    # few rows at the smallest scale: no shelf may have a candidate that qualifies
+    may_be_empty = {"first_candidate", "page_lyrics", "lang_filter", "catalog_fallback"}
+    for name, fn in QUERIES.items():
+        if name not in may_be_empty:
+            assert fn(spark, SF).count() > 0, name

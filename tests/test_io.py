@@ -2,6 +2,7 @@ import io
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from textsieve.sources import catalog as CAT
@@ -81,6 +82,46 @@ def test_append_new_is_idempotent(spark, tmpdir_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_append_new_replays_rows_with_null_keys(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "songs")
+    rows = [("m", None, "x"), (None, None, "y"), ("m", "a", "z"), ("m", None, "later")]
+    df = spark.createDataFrame(rows, "movie_name string, song_name string, lyrics string")
+    assert [IO.append_new(spark, df, path, ["movie_name", "song_name"]) for _ in range(3)] == [3, 0, 0]
+    assert sorted(r["lyrics"] for r in spark.read.parquet(path).collect()) == ["later", "y", "z"]
+
+
+def test_append_new_leaves_an_unreadable_table_alone(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "songs")
+    df = spark.createDataFrame([("m", "a")], "movie_name string, song_name string")
+    IO.append_new(spark, df, path, ["movie_name", "song_name"])
+    broken = os.path.join(path, "part-broken.parquet")
+    with open(broken, "wb") as f:
+        f.write(b"not a parquet file")
+    before = sorted(os.listdir(path))
+    with pytest.raises(Exception):
+        IO.append_new(spark, spark.createDataFrame([("m", "b")], df.schema), path, ["movie_name", "song_name"])
+    assert sorted(os.listdir(path)) == before
+
+
+def test_csv_columns_are_bound_by_name(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "c")
+    IO.write_csv(spark.createDataFrame([("M", "S", 3)], "movie string, song string, n int"), path)
+    row = IO.read_csv(spark, path, "n long, song string, movie string").first()
+    assert row.asDict() == {"n": 3, "song": "S", "movie": "M"}
+    with pytest.raises(Exception):
+        IO.read_csv(spark, path, "singer string").collect()
+
+
+def test_lyrics_files_with_null_parts_and_empty_slugs(spark, tmpdir_path):
+    df = spark.createDataFrame([(1, "!!!", None, "words"), (2, "B", "M", None)], "seq int, song string, movie string, lyrics string")
+    body = IO.lyrics_file_body("song", "movie", F.lit("src"), None, "lyrics")
+    for per_song, read in ((True, lambda p: IO.read_slug_tree(spark, p)), (False, spark.read.parquet)):
+        base = os.path.join(tmpdir_path, f"tree{per_song}")
+        IO.write_text_tree(df, base, "movie", "song", body, "seq", per_song=per_song)
+        got = {(r["movie_slug"], r["song_slug"]): r["content"] for r in read(base).collect()}
+        assert got == {(IO.EMPTY_SLUG, IO.EMPTY_SLUG): "Song: !!!\nMovie: \nSource: src\n\nwords", ("M", "B"): "Song: B\nMovie: M\nSource: src\n\n"}
+
+
 def test_training_catalog(spark):
     cat = CAT.training_catalog(spark)
     assert cat.count() == 40

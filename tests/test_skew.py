@@ -33,6 +33,42 @@ def test_first_within_top_hot_group(spark):
     assert C.first_within_top(cands, "grp", "seq", q, 9).count() == 0
 
 
+def split_plan(spark, build):
+    """The executed plan with broadcasts off and low skew thresholds."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = build()
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_left_key_is_split(spark, tmpdir_path):
+    skewed(spark).repartition(12).write.parquet(tmpdir_path + "/left")
+    spark.range(500).selectExpr("concat('N', id) AS song_name", "concat('n', id) AS value").write.parquet(tmpdir_path + "/right")
+
+    def left():
+        return spark.read.parquet(tmpdir_path + "/left")
+
+    def right():
+        return spark.read.parquet(tmpdir_path + "/right")
+
+    joins = {
+        "pending": lambda: S.pending(left(), right(), "name", "song_name"),
+        "anti_lower": lambda: S.anti_lower(left(), "name", right()),
+        "fallback_rows": lambda: S.fallback_rows(right().withColumnRenamed("song_name", "name"), left(), "name", "seq"),
+    }
+    for name, build in joins.items():
+        assert "skew=true" in split_plan(spark, build), name
+
+
 def test_pending_and_ngrams_hot_key(spark):
     df = skewed(spark)
     done = spark.createDataFrame([("hot",), ("N7",)], "song_name string")

@@ -83,6 +83,21 @@ def test_kde_matches_gaussian_formula(spark):
     assert np.allclose([r["density"] for r in got], dens, rtol=1e-10)
 
 
+def test_kde_of_large_values_and_of_values_without_variance(spark):
+    got = S.gaussian_kde(frame(spark, [1e9, 2e9, 4e9]), "v", grid=5).collect()
+    assert len(got) == 5 and all(r["density"] > 0 for r in got)
+    for values in ([], [3.0], [2.0] * 9):
+        assert S.gaussian_kde(frame(spark, values) if values else frame(spark, [1]).limit(0), "v").count() == 0
+
+
+def test_profile_and_histogram_of_nothing(spark):
+    empty = frame(spark, [1.0]).limit(0)
+    rows = {r["stat"]: r["v"] for r in S.profile(empty, ["v"]).collect()}
+    assert rows == {s: (0.0 if s == "count" else None) for s in S.DESCRIBE_STATS}
+    bins = sorted(tuple(r) for r in S.histogram(empty, "v", 2).collect())
+    assert bins == [(1, 0.0, 0.5, 0), (2, 0.5, 1.0, 0)]
+
+
 def test_top_ngrams_ties_by_phrase(spark):
     # single-letter words are not tokens ((?u)\b\w\w+\b semantics)
     df = spark.createDataFrame([("bb cc aa bb cc",), ("aa bb xx yy z",)], "t string")

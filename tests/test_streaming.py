@@ -1,6 +1,8 @@
 import os
-import shutil
 
+import pytest
+
+from textsieve import patterns as P
 from textsieve.streaming import incremental as INC
 
 
@@ -30,8 +32,6 @@ def test_stream_ingest_appends_once(spark, tmpdir_path):
 
 
 def test_stream_quality_gate(spark, tmpdir_path):
-    from textsieve import patterns as P
-
     src = os.path.join(tmpdir_path, "docs")
     words = " ".join("w" + chr(97 + i % 26) + chr(97 + i // 26) for i in range(40))
     spark.createDataFrame([(1, words), (2, "too short")], "doc_id long, text string").write.parquet(src)
@@ -43,6 +43,17 @@ def test_stream_quality_gate(spark, tmpdir_path):
     assert [r["doc_id"] for r in got] == [1] and got[0]["word_count"] == 40
 
 
+def test_stream_restart_loses_nothing(spark, tmpdir_path):
+    src, out, ckpt = (os.path.join(tmpdir_path, x) for x in ("docs", "clean", "ck"))
+    words = " ".join("w" + chr(97 + i % 26) + chr(97 + i // 26) for i in range(40))
+    for first in (0, 100):
+        spark.range(first, first + 50).selectExpr("id AS doc_id", f"'{words}' AS text").write.mode("append").parquet(src)
+        INC.stream_quality_gate(spark, src, out, "doc_id long, text string", script=P.LATIN, density_chars="w", checkpoint=ckpt).awaitTermination()
+    assert spark.read.parquet(out).count() == 100
+    with pytest.raises(TypeError):  # the checkpoint belongs to the sink and must be named
+        INC.stream_quality_gate(spark, src, out, "doc_id long, text string")
+
+
 def test_stream_ingest_extract_song_parser(spark, tmpdir_path):
     landing = os.path.join(tmpdir_path, "landing")
     table = os.path.join(tmpdir_path, "songs")

@@ -15,19 +15,6 @@ SAMPLES = [
 ]
 
 
-def py_script_ratio(text, lo=0x0C00, hi=0x0C7F):
-    if not isinstance(text, str) or len(text) == 0:
-        return 0
-    n = sum(1 for ch in text if lo <= ord(ch) <= hi)
-    total = len(re.sub(r"\s", "", text))
-    return 0 if total == 0 else n / total
-
-
-def py_unique(text):
-    w = text.split()
-    return 0 if not w else len(set(w)) / len(w)
-
-
 def test_whitespace_class_is_python_isspace():
     assert sorted(WS_CHARS) == sorted(chr(c) for c in range(0x3001) if chr(c).isspace())
 
@@ -49,11 +36,14 @@ def test_strip_and_lstrip(spark):
 
 
 def test_script_ratio_and_uniqueness(spark):
-    got = evaluate(spark, SAMPLES, T.script_ratio("t"))
-    assert got == [float(py_script_ratio(s)) for s in SAMPLES]
-    got_tok = evaluate(spark, SAMPLES, T.script_ratio("t", P.TELUGU, T.tokens("t")))
-    assert got_tok == got
-    assert evaluate(spark, SAMPLES, T.uniqueness_ratio(T.tokens("t"))) == [float(py_unique(s)) for s in SAMPLES]
+    cases = [  # text, script ratio, distinct share of tokens
+        ("", 0.0, 0.0), (" ", 0.0, 0.0), ("a b", 0.0, 1.0), ("a\tb\x85a\u3000a", 0.0, 0.5), ("అమ్మ నాన్న అమ్మ", 1.0, 2 / 3),
+        ("అఆ ab", 0.5, 1.0), ("క x x x", 0.25, 0.5), ("ప్రేమ.", 5 / 6, 1.0),
+    ]
+    texts = [c[0] for c in cases]
+    assert evaluate(spark, texts, T.script_ratio("t")) == [c[1] for c in cases]
+    assert evaluate(spark, texts, T.script_ratio("t", P.TELUGU, T.tokens("t"))) == [c[1] for c in cases]
+    assert evaluate(spark, texts, T.uniqueness_ratio(T.tokens("t"))) == [c[2] for c in cases]
 
 
 def test_richness_cutoff_at_ten_tokens(spark):

@@ -23,6 +23,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textsieve import patterns as P
 from textsieve.functions.text import py_strip
 
 # Elements that never have content (closed as soon as they open).
@@ -32,6 +33,10 @@ VOID_TAGS = frozenset(
 )
 
 
+# Elements whose text is not part of an enclosing element's text.
+SILENT_TAGS = frozenset(["script", "style", "template", "rt", "rp"])
+
+
 class _BlockParser(HTMLParser):
     def __init__(self, noise, blocks):
         super().__init__(convert_charrefs=True)
@@ -41,8 +46,17 @@ class _BlockParser(HTMLParser):
         self.noise_depth = 0
         self.in_block = False
         self.out: list[list[str]] = []
+        self.data: list[str] = []
+
+    def flush(self):
+        """A text node ends at a tag, a comment or a declaration; the tokenizer may deliver it in pieces."""
+        if self.data:
+            if self.in_block and self.noise_depth == 0:
+                self.out[-1].append("".join(self.data))
+            self.data = []
 
     def handle_starttag(self, tag, attrs):
+        self.flush()
         if tag in VOID_TAGS:
             return
         role = ""
@@ -56,9 +70,19 @@ class _BlockParser(HTMLParser):
         self.stack.append((tag, role))
 
     def handle_startendtag(self, tag, attrs):
-        return
+        self.flush()
+
+    def handle_comment(self, data):
+        self.flush()
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
+    def close(self):
+        super().close()
+        self.flush()
 
     def handle_endtag(self, tag):
+        self.flush()
         for pos in range(len(self.stack) - 1, -1, -1):
             if self.stack[pos][0] == tag:
                 for _, role in self.stack[pos:]:
@@ -70,15 +94,14 @@ class _BlockParser(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if self.in_block and self.noise_depth == 0:
-            self.out[-1].append(data)
+        self.data.append(data)
 
 
 def outermost_blocks(html: str | None, noise_tags, block_tags) -> list[str] | None:
     """Texts of the outermost candidate blocks of ``html`` in document order."""
     if html is None:
         return None
-    p = _BlockParser(frozenset(noise_tags), frozenset(block_tags))
+    p = _BlockParser(frozenset(noise_tags) | SILENT_TAGS, frozenset(block_tags))
     p.feed(html)
     p.close()
     return ["\n".join(parts) for parts in p.out]
@@ -97,13 +120,13 @@ def html_blocks(col, noise_tags, block_tags) -> Column:
 
 def anchor_text(col, path_prefix: str) -> Column:
     """Text of the first ``<a href="<prefix>...">text</a>``, stripped; '' if none."""
-    pat = 'href="' + _quote(path_prefix) + '[^"]+">([^<]+)</a>'
+    pat = P.ANCHOR.replace("{prefix}", _quote(path_prefix))
     return py_strip(F.regexp_extract(F.col(col) if isinstance(col, str) else col, pat, 1))
 
 
 def anchor_texts(col, path_prefix: str, sep: str = ", ") -> Column:
     """All such anchor texts (unstripped) joined by ``sep``; '' if none."""
-    pat = 'href="' + _quote(path_prefix) + '[^"]+">([^<]+)</a>'
+    pat = P.ANCHOR.replace("{prefix}", _quote(path_prefix))
     return F.array_join(F.regexp_extract_all(F.col(col) if isinstance(col, str) else col, F.lit(pat), 1), sep)
 
 

@@ -1,51 +1,38 @@
 """Search-candidate selection: first qualifying candidate within the top N.
 
-A song's candidates are ranked by an order column.  "The first candidate
-satisfying a predicate, provided it is among the first N" is computed
-exactly without ranking whole groups:
-
-  m      = min(order) over qualifying candidates            (partial aggregate)
-  before = count of candidates with order < m in the group  (many-to-one join + aggregate)
-  keep m when before < N
-
-No window sorts a group, so a song with a third of all candidates is handled
-by the partial aggregates and by AQE's skew split of the many-to-one join.
+A group's candidates are ranked by an order column and cut to the first N.
+Spark keeps at most N rows of a group in each task before it shuffles them, so a
+group that holds a third of all candidates arrives as N rows per task.
+Expensive payloads (page texts) are joined to what the cut leaves.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textsieve import patterns as P
 from textsieve.functions import text as T
 
 
+def top_candidates(cands: DataFrame, group_col: str, order_col: str, n: int, rank_col: str = "_rank") -> DataFrame:
+    """The first ``n`` candidates of each group, with their rank from 1."""
+    w = Window.partitionBy(group_col).orderBy(order_col)
+    return cands.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+
+
 def first_within_top(cands: DataFrame, group_col: str, order_col: str, qualifies: Column, n: int,
-                     payload=(), ranks: DataFrame | None = None) -> DataFrame:
-    """(group, order, *payload) of the first qualifying candidate if its rank <= n.
-
-    ``ranks`` is the full candidate list (group, order) used to count earlier
-    candidates; pass it when ``cands`` carries expensive derived columns or
-    was pre-filtered (default: ``cands`` itself)."""
-    first = cands.where(qualifies).groupBy(group_col).agg(
-        F.min_by(F.struct(F.col(order_col), *[F.col(c) for c in payload]), F.col(order_col)).alias("_f")
-    ).select(group_col, "_f.*")
-    m = first.select(group_col, F.col(order_col).alias("_m"))
-    before = (
-        (ranks if ranks is not None else cands).select(group_col, order_col)
-        .join(m, group_col)
-        .where(F.col(order_col) < F.col("_m"))
-        .groupBy(group_col)
-        .agg(F.count(F.lit(1)).alias("_before"))
-    )
-    return (
-        first.join(before, group_col, "left")
-        .where(F.coalesce(F.col("_before"), F.lit(0)) < n)
-        .drop("_before")
-    )
+                     payload=()) -> DataFrame:
+    """(group, order, *payload) of the first candidate of the top ``n`` that qualifies."""
+    top = top_candidates(cands, group_col, order_col, n).where(qualifies)
+    return first_of_group(top, group_col, order_col).select(group_col, order_col, *payload)
+
+
+def first_of_group(cands: DataFrame, group_col: str, order_col: str) -> DataFrame:
+    """The first row of each group."""
+    return top_candidates(cands, group_col, order_col, 1).drop("_rank")
 
 
 def search_query(song, movie, template: str = P.QUERY_TEMPLATE_V1, domain: str = P.SEARCH_DOMAIN) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textsieve import patterns as P
 from textsieve.functions import text as T
-from textsieve.session import ensure_checkpoint_dir
+from textsieve.session import write_scratch
 
 
 def ngram_counts(df: DataFrame, text_col: str, n: int = P.NGRAM_N, tokenizer: str = "compat") -> DataFrame:
@@ -43,13 +43,11 @@ def top_ngrams_first_seen(df: DataFrame, text_col: str, order_col: str, n: int =
     of a count vectorizer fitted on the corpus in that order).
 
     Exact and bounded: (1) frequency and first document per n-gram (hash
-    aggregates; checkpointed); (2) the k-th (frequency, first document) key
+    aggregates, written as Parquet); (2) the k-th (frequency, first document) key
     (at most k rows reach the driver); (3) candidates ranked at or before that
     key - at most k plus the n-grams of one document; (4) first positions read
     only from the <= k+1 documents the candidates first appear in.
     """
-    spark = df.sparkSession
-
     def grams_of(frame):
         return frame.select(
             F.col(order_col).alias("_d"),
@@ -57,8 +55,7 @@ def top_ngrams_first_seen(df: DataFrame, text_col: str, order_col: str, n: int =
         )
 
     counts = grams_of(df).groupBy("ngram").agg(F.count(F.lit(1)).alias("freq"), F.min("_d").alias("_d0"))
-    ensure_checkpoint_dir(spark)
-    counts = counts.checkpoint(eager=True)
+    counts = write_scratch(counts, "ngram-counts")
     head = counts.orderBy(F.desc("freq"), F.asc("_d0")).limit(top_k).collect()
     if not head:
         return counts.select("ngram", "freq").limit(0)

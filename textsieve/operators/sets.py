@@ -5,14 +5,13 @@ Scale notes
 * Anti/semi joins are plain equi-joins; Spark (with AQE) picks broadcast when
   the runtime size of the key side is under the broadcast threshold and a
   sort-merge join otherwise.  No side is force-broadcast, because the
-  extracted / processed key sets grow with the data.  AQE's skew-join
-  handling splits a hot left-side key for semi/anti joins.
-* Key sides are reduced with ``distinct()`` first: the partial aggregate
-  collapses duplicates map-side and its hash partitioning is reused by the
-  join, so the distinct costs no extra exchange.
-* Keep-first de-duplication is ``min_by(row, order)`` per key, not a window:
-  the partial aggregate keeps one row per key per task, so a key holding a
-  third of all rows never lands in one task as a whole group.
+  extracted / processed key sets grow with the data.
+* Key sides are not made distinct: repeated keys cannot change a semi or anti
+  join, and an aggregate between the shuffle and the join would keep AQE from
+  splitting a hot left-side key.
+* Keep-first takes the least order per 256-bit key digest (hash aggregates with
+  one fixed-width row per key and task) and joins the winners back by order
+  and digest, so texts are neither sorted nor a shuffle key.
 """
 
 from __future__ import annotations
@@ -43,34 +42,36 @@ def pending(catalog: DataFrame, done: DataFrame, catalog_col: str, done_col: str
     all columns, are preserved.
     """
     fn = _key_fn(key)
-    done_keys = done.select(fn(F.col(done_col)).alias("_k")).distinct()
+    done_keys = done.select(fn(F.col(done_col)).alias("_k"))
     return catalog.withColumn("_k", fn(F.col(catalog_col))).join(done_keys, "_k", "left_anti").drop("_k")
 
 
 def semi_lower(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
     """Distinct left values whose lower-case form is among the right's raw values."""
     vals = left.select(F.col(left_col).alias("value")).distinct()
-    keys = right.select(F.col(right_col).alias("_r")).distinct()
+    keys = right.select(F.col(right_col).alias("_r"))
     return vals.join(keys, F.lower(vals["value"]) == keys["_r"], "left_semi")
 
 
 def anti_lower(right: DataFrame, right_col: str, matched: DataFrame, matched_col: str = "value") -> DataFrame:
     """Right rows whose raw value is not a lower-cased matched value."""
-    keys = matched.select(F.lower(F.col(matched_col)).alias("_m")).distinct()
+    keys = matched.select(F.lower(F.col(matched_col)).alias("_m"))
     return right.join(keys, right[right_col] == keys["_m"], "left_anti")
 
 
 def keep_first(df: DataFrame, key_col: str, order_col: str, key_fn: Callable[[Column], Column] | None = F.lower,
                drop_empty: bool = True) -> DataFrame:
     """One row per key: the row with the smallest ``order_col``; the survivor keeps
-    its own casing and columns.  Empty / NULL keys are dropped."""
-    cols = df.columns
+    its own casing and columns.  Empty / NULL keys are dropped (without
+    ``drop_empty`` NULL is a key).  ``order_col`` must be unique within a key."""
     k = key_fn(F.col(key_col)) if key_fn is not None else F.col(key_col)
     keyed = df.withColumn("_k", k)
     if drop_empty:
         keyed = keyed.where(T.non_empty(F.col("_k")))
-    picked = keyed.groupBy("_k").agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("_r"))
-    return picked.select("_r.*")
+    digest = F.coalesce(F.unhex(F.sha2(F.col("_k").cast("string"), 256)), F.lit(b""))
+    keyed = keyed.withColumn("_d", digest).drop("_k")
+    first = keyed.groupBy("_d").agg(F.min(order_col).alias("_o")).select(F.col("_d").alias("_w"), "_o")
+    return keyed.join(first, (F.col("_d") == F.col("_w")) & F.col(order_col).eqNullSafe(F.col("_o")), "left_semi").drop("_d")
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -85,7 +86,7 @@ def fallback_rows(primary: DataFrame, fallback: DataFrame, key_col: str, order_c
     """Fallback rows with a non-empty key not already in ``primary`` (exact
     case) and not repeating an earlier fallback row's key."""
     fb = fallback.where(T.non_empty(F.col(key_col)))
-    fb = fb.join(primary.select(key_col).distinct(), key_col, "left_anti")
+    fb = fb.join(primary.select(key_col), key_col, "left_anti")
     return keep_first(fb, key_col, order_col, key_fn=None)
 
 

@@ -12,10 +12,10 @@ Scale notes
   only affects balance, never the result.
 * Small per-column tables (bucket bounds, bucket totals, target ranks) are
   bounded by ``len(cols) * buckets`` rows, so broadcasting them is safe.
-* Multi-pass statistics read the source once: the value-count table is
-  checkpointed (reliable checkpoint in ``spark.checkpoint.dir``, lineage cut)
-  and every later pass scans that table instead of re-running the upstream
-  text pipeline.
+* Multi-pass statistics read the source once: the value-count table is written
+  as Parquet in ``spark.checkpoint.dir`` (when the statistic is called, lineage
+  cut) and every later pass scans that table instead of re-running the
+  upstream text pipeline.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textsieve import patterns as P
-from textsieve.session import ensure_checkpoint_dir
+from textsieve.session import write_scratch
 
 DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 
@@ -40,13 +40,10 @@ def _long_values(df: DataFrame, cols) -> DataFrame:
 def value_counts(df: DataFrame, cols, materialize: bool = True) -> DataFrame:
     """(name, v, cnt): distinct values per column with multiplicity.
 
-    With ``materialize`` the table is written to the checkpoint directory so
-    the several passes of a statistic do not recompute the source."""
+    With ``materialize`` the table is written below the checkpoint directory
+    so the several passes of a statistic do not recompute the source."""
     vc = _long_values(df, cols).groupBy("name", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        vc = vc.checkpoint(eager=True)
-    return vc
+    return write_scratch(vc, "value-counts") if materialize else vc
 
 
 def quantiles_from_counts(vc: DataFrame, probs, buckets: int = 128, accuracy: int = 10000) -> DataFrame:
@@ -117,9 +114,11 @@ def moments_from_counts(vc: DataFrame) -> DataFrame:
     )
 
 
-def profile(df: DataFrame, cols, digits: int | None = 9) -> DataFrame:
+def profile(df: DataFrame, cols, digits: int | None = None) -> DataFrame:
     """``describe()``-style profile: one row per statistic, one column per input
-    column (count, mean, sample std, min, 25/50/75 % linear, max)."""
+    column (count, mean, sample std, min, 25/50/75 % linear, max).  Columns
+    without values have count 0 and NULL statistics.  ``digits`` rounds."""
+    spark = df.sparkSession
     vc = value_counts(df, cols)
     mom = moments_from_counts(vc)
     basic = mom.select(
@@ -137,8 +136,13 @@ def profile(df: DataFrame, cols, digits: int | None = 9) -> DataFrame:
     value = F.first("value")
     if digits is not None:
         value = F.round(value, digits)
+    # one row per statistic even where no column has a value
+    empty = spark.createDataFrame([(s, c, 0.0 if s == "count" else None) for s in DESCRIBE_STATS for c in cols],
+                                  "stat string, name string, value double").select("name", "stat", "value")
+    found = basic.unionByName(q).withColumn("_r", F.lit(0)).unionByName(empty.withColumn("_r", F.lit(1)))
+    found = found.groupBy("name", "stat").agg(F.min_by("value", "_r").alias("value"))
     order = F.array_position(F.array(*[F.lit(x) for x in DESCRIBE_STATS]), F.col("stat"))
-    return basic.unionByName(q).groupBy("stat").pivot("name", list(cols)).agg(value).orderBy(order)
+    return found.groupBy("stat").pivot("name", list(cols)).agg(value).orderBy(order)
 
 
 def with_bin_index(df: DataFrame, v: Column, lo: Column, hi: Column, n: Column, out: str = "bin",
@@ -170,8 +174,8 @@ def _range_struct(vc: DataFrame) -> Column:
     numpy's widening of a degenerate range."""
     st = vc.agg(F.min("v").alias("mn"), F.max("v").alias("mx"), F.sum("cnt").alias("cnt"))
     st = st.select(F.struct(
-        F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
-        F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"),
+        F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.coalesce("mn", F.lit(0.0))).alias("lo"),
+        F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.coalesce("mx", F.lit(1.0))).alias("hi"),
         F.col("cnt").alias("cnt"),
     ))
     return st.scalar()
@@ -179,7 +183,8 @@ def _range_struct(vc: DataFrame) -> Column:
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """(bin, bin_lo, bin_hi, n) for ``bins`` equal-width bins over [min, max],
-    empty bins included; same bin edges and assignment as numpy.histogram."""
+    empty bins included; same bin edges and assignment as numpy.histogram
+    (no value at all: the range is [0, 1])."""
     return histogram_from_counts(value_counts(df.select(col), [col]), bins)
 
 
@@ -236,14 +241,13 @@ def auto_histogram(df: DataFrame, col: str) -> DataFrame:
     return histogram_from_counts(vc, _auto_bins(vc))
 
 
-def gaussian_kde(df: DataFrame, col: str, grid: int = P.KDE_GRID, digits: int | None = 6) -> DataFrame:
+def gaussian_kde(df: DataFrame, col: str, grid: int = P.KDE_GRID, digits: int | None = None) -> DataFrame:
     """(point, x, density): Gaussian KDE with Scott's bandwidth
     (sample std * n^(-1/5)) on ``grid`` evenly spaced points from min to max.
 
-    Duplicate values are pre-aggregated; each distinct value then contributes
-    to every grid point (linear in distinct values x grid), summed with a
-    partial aggregate of ``grid`` keys.
-    """
+    Duplicate values are pre-aggregated; one aggregate then holds a sum per grid
+    point, so no row is exploded before it.  Values without variance (none,
+    one, or all equal) have no curve: no rows.  ``digits`` rounds."""
     vc = value_counts(df.select(col), [col])
     mom = moments_from_counts(vc).select(F.struct(
         "n", "min", "max", (F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("bw")
@@ -252,29 +256,23 @@ def gaussian_kde(df: DataFrame, col: str, grid: int = P.KDE_GRID, digits: int |
     # subquery again: project the scalar struct once, then read its fields.
     base = vc.select("v", "cnt", mom.scalar().alias("_s")).select(
         "v", "cnt", F.col("_s.min").alias("lo"), F.col("_s.max").alias("hi"), F.col("_s.n").alias("n"),
-        F.col("_s.bw").alias("bw"))
-    step = (F.col("hi") - F.col("lo")) / (grid - 1)
-
-    def point(j):
-        return F.when(j == grid - 1, F.col("hi")).otherwise(j * step + F.col("lo"))
-
-    contrib = base.select(
-        "n", "bw", "lo", "hi",
-        F.posexplode(F.transform(
-            F.sequence(F.lit(0), F.lit(grid - 1)),
-            lambda j: F.col("cnt") * F.exp(F.lit(-0.5) * F.pow((point(j) - F.col("v")) / F.col("bw"), 2)),
-        )).alias("j", "w"),
-    )
-    dens = contrib.groupBy("j").agg(
-        F.sum("w").alias("w"), F.first("n").alias("n"), F.first("bw").alias("bw"),
-        F.first("lo").alias("lo"), F.first("hi").alias("hi"),
-    )
-    density = F.col("w") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
-    x = point(F.col("j"))
+        F.col("_s.bw").alias("bw")).where("bw > 0")
+
+    def point(j, lo, hi):
+        return hi if j == grid - 1 else F.lit(j) * ((hi - lo) / (grid - 1)) + lo
+
+    lo, hi = F.col("lo"), F.col("hi")
+    sums = [F.sum(F.col("cnt") * F.exp(F.lit(-0.5) * F.pow((point(j, lo, hi) - F.col("v")) / F.col("bw"), 2))).alias(f"w{j}")
+            for j in range(grid)]
+    one = base.agg(*sums, F.first("n").alias("n"), F.first("bw").alias("bw"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
+    one = one.where("n is not null")
+    rows = F.inline(F.array(*[F.struct(F.lit(j + 1).cast("long").alias("point"), point(j, lo, hi).alias("x"), F.col(f"w{j}").alias("w"))
+                              for j in range(grid)]))
+    out = one.select(rows, "n", "bw")
+    density, x = F.col("w") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi))), F.col("x")
     if digits is not None:
-        density = F.round(density, digits)
-        x = F.round(x, digits)
-    return dens.select((F.col("j") + 1).cast("long").alias("point"), x.alias("x"), density.alias("density"))
+        density, x = F.round(density, digits), F.round(x, digits)
+    return out.select("point", x.alias("x"), density.alias("density"))
 
 
 def formatted_mean(df: DataFrame, col: str, name: str = "mean", fmt: str = "%.2f") -> DataFrame:

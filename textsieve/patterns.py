@@ -79,6 +79,15 @@ SEARCH_HL = "en"
 REASON_NO_RESULTS = "No search results found"
 REASON_NOT_IN_TOP = "Lyricstape not found in top {n} results"
 REASON_NO_SCRIPT = "Page loaded, but no Telugu text found"
+REASON_NOT_LOADED = "Error: page not loaded"
+
+# Anchors of a rendered song row, and song links in markdown form (song, id, singers, album).
+ANCHOR = 'href="{prefix}[^"]+">([^<]+)</a>'
+MARKDOWN_SONG = r"\[([^\]]+)\]\(/song/([^)]+)\)[^\[]*\[([^\]]+)\][^\[]*\[([^\]]+)\]"
+
+# Source lines of the two versions of lyrics files.
+SOURCE_V1 = "lyricstape.com"
+SOURCE_V2 = "Lyricstape (DDG-DeepScan)"
 
 # Column names of the published clean table in the original pipeline
 # (library name -> original name).

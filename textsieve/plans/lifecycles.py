@@ -4,13 +4,13 @@ A. ``clean_and_publish``: scan -> metrics -> reports -> gate -> clean -> feature
    -> publish, with the feature reports read back from the published table.
 B. ``pages_to_lyrics``: ranked search candidates + fetched pages -> first
    usable page per song -> outcomes -> one text file per song.
-C. ``ingest_*``: text trees and sheets -> parsed songs -> idempotent appends;
-   ``pending_songs`` finds catalog songs not yet extracted.
+C. ``ingest_*``: text trees and sheets -> parsed songs -> appends (on request
+   idempotent); ``pending_songs`` finds catalog songs not yet extracted.
 
-Intermediate tables reused by several reports are written (checkpoint /
-Parquet under the shared checkpoint directory or the caller's output
-directory) so each report reads a materialized table instead of re-running
-the text pipeline, and executor loss only recomputes from that table.
+Metrics reused by several reports are written without the text (Parquet under
+the shared checkpoint directory), and the published table is read back for
+the feature reports, so no report re-runs the text pipeline, and executor
+loss only recomputes from those tables.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsieve import patterns as P
+from textsieve.functions import html as H
 from textsieve.functions import structure as ST
 from textsieve.functions import text as TX
 from textsieve.operators import blocks as B
@@ -27,7 +28,7 @@ from textsieve.operators import ngrams as NG
 from textsieve.operators import quality as Q
 from textsieve.operators import sets as SETS
 from textsieve.operators import stats as S
-from textsieve.session import ensure_checkpoint_dir
+from textsieve.session import write_scratch
 from textsieve.sources import files as IO
 
 
@@ -39,8 +40,8 @@ def clean_and_publish(spark: SparkSession, docs: DataFrame, out_dir: str, id_col
     ``csv_path`` the published table is also exported as CSV.  ``rename`` maps
     library column names to published names (e.g.
     ``patterns.PUBLISHED_NAMES_TELUGU``); reports keep the library names."""
-    ensure_checkpoint_dir(spark)
-    scored = Q.with_quality_metrics(docs.select(id_col, text_col), text_col, script).checkpoint(eager=True)
+    metrics = Q.with_quality_metrics(docs.select(id_col, text_col), text_col, script)
+    scored = write_scratch(metrics.select(id_col, *Q.METRIC_COLUMNS), "metrics")
     reports = {
         "profile": S.profile(scored, Q.METRIC_COLUMNS),
         "hist_word_count": S.histogram(scored, "word_count", P.HIST_BINS_WORDS),
@@ -48,8 +49,7 @@ def clean_and_publish(spark: SparkSession, docs: DataFrame, out_dir: str, id_col
         "hist_uniqueness_ratio": S.histogram(scored, "uniqueness_ratio", P.HIST_BINS_UNIQUE),
         "reconciliation": Q.gate_reconciliation(scored),
     }
-    clean = Q.with_lexical_features(Q.quality_gate(scored), text_col, script, density_chars)
-    published = clean.select(id_col, *Q.METRIC_COLUMNS, *Q.FEATURE_COLUMNS)
+    published = Q.clean_corpus(docs, id_col, text_col, script, density_chars)
     path = f"{out_dir.rstrip('/')}/clean"
     IO.write_table(published.withColumnsRenamed(rename or {}), path)
     table = spark.read.parquet(path).withColumnsRenamed({v: k for k, v in (rename or {}).items()})
@@ -76,56 +76,68 @@ def pages_to_lyrics(catalog: DataFrame, candidates: DataFrame, pages: DataFrame,
     URL contains ``domain``, then that page only.  Returns one row per song
     with ``outcome`` and (when found) ``lyrics`` and ``url``.
     """
-    pg = pages
-    if status_col:
-        pg = pg.where(F.col(status_col) == 200)
-    extracted = B.extract_main_text(pg.select("url", "html"), "html", version, script).select("url", "main_text")
-    cands = candidates.join(extracted, "url", "left")
-    on_domain = F.contains("url", F.lit(domain))
+    n = P.V1_SEARCH_RESULTS if version == "v1" else P.V2_MAX_RESULTS
+    # rank and domain are cut first, so only pages that can win reach the parser
+    top = C.top_candidates(candidates.select("song_id", "rank", "url"), "song_id", "rank", n)
+    top = top.where(F.contains("url", F.lit(domain))).drop("_rank")
+    if version != "v1":
+        top = C.first_of_group(top, "song_id", "rank")
+    pg = pages if status_col is None else pages.where(F.col(status_col) == 200)
+    wanted = pg.select("url", "html").join(top.select(F.col("url").alias("_u")), F.col("url") == F.col("_u"), "left_semi")
+    extracted = B.extract_main_text(wanted, "html", version, script).select(
+        F.col("url").alias("_u"), "main_text", F.lit(True).alias("_loaded"))
     if version == "v1":
-        chosen = C.first_within_top(cands, "song_id", "rank", on_domain & B.found("main_text"),
-                                    P.V1_SEARCH_RESULTS, payload=["url", "main_text"],
-                                    ranks=candidates.select("song_id", "rank"))
-        out = catalog.join(chosen, "song_id", "left")
+        usable = top.join(extracted.where(B.found("main_text")), F.col("url") == F.col("_u")).drop("_u", "_loaded")
+        out = catalog.join(C.first_of_group(usable, "song_id", "rank"), "song_id", "left")
         outcome = F.when(F.col("main_text").isNull(), F.lit("missing")).otherwise(F.lit("found"))
     else:
-        chosen = C.first_within_top(cands, "song_id", "rank", on_domain, P.V2_MAX_RESULTS,
-                                    payload=["url", "main_text"], ranks=candidates.select("song_id", "rank"))
-        has = candidates.select("song_id").distinct().withColumn("_has", F.lit(True))
+        chosen = top.join(extracted, F.col("url") == F.col("_u"), "left").drop("_u")
+        has = candidates.groupBy("song_id").agg(F.lit(True).alias("_has"))
         out = catalog.join(has, "song_id", "left").join(chosen, "song_id", "left")
         outcome = (
             F.when(F.col("_has").isNull(), F.lit(P.REASON_NO_RESULTS))
             .when(F.col("url").isNull(), F.lit(P.REASON_NOT_IN_TOP.format(n=P.V2_MAX_RESULTS)))
+            .when(F.col("_loaded").isNull(), F.lit(P.REASON_NOT_LOADED))
             .when(~B.found("main_text"), F.lit(P.REASON_NO_SCRIPT))
             .otherwise(F.lit("found"))
         )
-    return out.withColumn("outcome", outcome).drop("_has").withColumnRenamed("main_text", "lyrics")
+    return out.withColumn("outcome", outcome).drop("_has", "_loaded").withColumnRenamed("main_text", "lyrics")
 
 
 def outcome_counts(results: DataFrame) -> DataFrame:
     return results.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-def write_lyrics_files(results: DataFrame, base: str, source: str, song_col: str = "song_name",
-                       movie_col: str = "movie", order_col: str = "song_id") -> None:
+def write_lyrics_files(results: DataFrame, base: str, version: str = "v1", source: str | None = None, song_col: str = "song_name",
+                       movie_col: str = "movie", order_col: str = "song_id", per_song: bool = True) -> None:
+    """One file per found song; the second version's header has no URL line and another source."""
     found = results.where(F.col("outcome") == "found")
-    body = IO.lyrics_file_body(F.col(song_col), F.col(movie_col), F.lit(source), F.col("url"), F.col("lyrics"))
-    IO.write_text_tree(found, base, movie_col, song_col, body, order_col)
+    source = source or (P.SOURCE_V1 if version == "v1" else P.SOURCE_V2)
+    url = F.col("url") if version == "v1" else None
+    body = IO.lyrics_file_body(F.col(song_col), F.col(movie_col), F.lit(source), url, F.col("lyrics"))
+    IO.write_text_tree(found, base, movie_col, song_col, body, order_col, per_song=per_song)
 
 
-def ingest_text_tree(spark: SparkSession, base: str, table_path: str) -> int:
-    """Text tree with a ``...`` marker before the lyrics -> (movie_name, song_name, lyrics)."""
+def _append(spark: SparkSession, rows: DataFrame, table_path: str, only_new: bool) -> None:
+    if only_new:
+        IO.append_new(spark, rows, table_path, ["movie_name", "song_name"])
+    else:
+        IO.append_rows(rows, table_path)
+
+
+def ingest_text_tree(spark: SparkSession, base: str, table_path: str, only_new: bool = False) -> None:
+    """Text tree with a ``...`` marker before the lyrics -> (movie_name, song_name, lyrics), appended.
+
+    With ``only_new`` a (movie, song) that the table has is not added again."""
     tree = IO.read_text_tree(spark, base)
-    rows = tree.select("movie_name", "song_name", ST.after_marker("content").alias("lyrics"))
-    return IO.append_new(spark, rows, table_path, ["movie_name", "song_name"])
+    _append(spark, tree.select("movie_name", "song_name", ST.after_marker("content").alias("lyrics")), table_path, only_new)
 
 
-def ingest_scraped_tree(spark: SparkSession, base: str, table_path: str, script: P.Script = P.TELUGU) -> int:
-    """Scraped page bodies -> song name from the body (``song:`` line) + script lyrics."""
+def ingest_scraped_tree(spark: SparkSession, base: str, table_path: str, script: P.Script = P.TELUGU, only_new: bool = False) -> None:
+    """Scraped page bodies -> song name from the body (``song:`` line) + script lyrics, appended."""
     tree = IO.read_text_tree(spark, base)
     parsed = tree.select("movie_name", ST.extract_song("content", script).alias("s"))
-    rows = parsed.select("movie_name", "s.song_name", "s.lyrics")
-    return IO.append_new(spark, rows, table_path, ["movie_name", "song_name"])
+    _append(spark, parsed.select("movie_name", "s.song_name", "s.lyrics"), table_path, only_new)
 
 
 def sheet_songs(sheet: DataFrame, scraped: DataFrame, lyricist: str, movies) -> DataFrame:
@@ -161,8 +173,6 @@ def catalog_from_html(rows_html: DataFrame, page_html: DataFrame | None = None,
     used only when ``rows_html`` has no rows at all; when fewer than 50 songs
     come out, markdown-style links ``[song](/song/x) .. [singers] .. [album]``
     from the page are added; finally keep-first by lower-case name."""
-    from textsieve.functions import html as H
-
     if alt_rows_html is not None:
         rows_html = SETS.fallback_union(rows_html.select(order_col, html_col),
                                         alt_rows_html.select(order_col, html_col), min_rows=1)
@@ -175,7 +185,7 @@ def catalog_from_html(rows_html: DataFrame, page_html: DataFrame | None = None,
     if page_html is None:
         both = prim
     else:
-        pat = r"\[([^\]]+)\]\(/song/([^)]+)\)[^\[]*\[([^\]]+)\][^\[]*\[([^\]]+)\]"
+        pat = P.MARKDOWN_SONG
         m = page_html.select(F.col(order_col).alias("page_seq"),
                              F.posexplode(F.regexp_extract_all(html_col, F.lit(pat), 0)).alias("pos", "m"))
         fb = m.select(

@@ -204,7 +204,7 @@ def set_and_structure_queries() -> dict[str, str]:
     done = f"""done AS (SELECT {slug('title')} AS song_name FROM titled WHERE doc_id IN (SELECT doc_id FROM labels))"""
     q["pending_by_name"] = f"""WITH {TITLED}, {done},
 dk AS (SELECT DISTINCT {norm_key('song_name')} AS k FROM done)
-SELECT doc_id, title FROM titled t
+SELECT doc_id, title FROM (SELECT doc_id, translate(title, '.,|', '') AS title FROM titled) t
 WHERE NOT EXISTS (SELECT 1 FROM dk WHERE dk.k = {norm_key('t.title')})"""
     q["pending_by_slug"] = f"""WITH {TITLED}, {done},
 dk AS (SELECT DISTINCT {norm_key(slug('song_name'))} AS k FROM done)
@@ -308,11 +308,70 @@ FROM titled"""
        'audio/' || replace(replace(p_brand || ' / ' || p_type, ' ', '_'), '/', '-') || '/'
          || replace(p_name, ' ', '_') || '.wav' AS path
 FROM part"""
-    q["first_candidate"] = f"""WITH c AS (
-  SELECT TRY_CAST(regexp_extract(url, '/[a-z]{{2}}/([0-9]+)', 1) AS BIGINT) AS doc_id, page_id, url FROM pages
-  WHERE regexp_extract(url, '/[a-z]{{2}}/([0-9]+)', 1) <> ''),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_id) AS rk FROM c),
-m AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_id) AS rn FROM r
-      WHERE rk <= {P.V2_MAX_RESULTS} AND contains(url, 'example.net'))
-SELECT doc_id, page_id, url FROM m WHERE rn = 1"""
+    q.update(page_queries())
+    q["csv_roundtrip"] = "SELECT doc_id, lang, source, n_chars, md5(coalesce(text, '')) AS text_md5 FROM documents"
+    q["text_tree_roundtrip"] = f"""SELECT 'Shelf_' || (item_id % 7) AS movie_slug, 'Item_' || item_id AS song_slug,
+       md5({lstrip('text')}) AS lyrics_md5 FROM benchmark"""
+    q["append_new"] = f"""WITH {TITLED}
+SELECT coalesce(min(doc_id) FILTER (doc_id IN (SELECT doc_id FROM labels)), min(doc_id)) AS doc_id, source, title
+FROM titled GROUP BY source, title"""
+    q["attach_report"] = """WITH c AS (SELECT replace(replace(p_type, ' ', '_'), '/', '-') || '/' || replace(p_name, ' ', '_') AS path, p_size FROM part)
+SELECT CASE WHEN path IN (SELECT path FROM c WHERE p_size < 25) THEN 'uploaded' ELSE 'missing' END AS status, count(*) AS n
+FROM c GROUP BY 1"""
+    return q
+
+
+# Pages have two blocks that are not inside another one: the advertisement and the article.
+BLOCKS = """
+page AS (SELECT page_id, url, html, [regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1),
+                                     regexp_extract(html, '(?s)<article>(.*?)</article>', 1)] AS inner_html FROM pages),
+nodes AS (SELECT page_id, url, list_transform(inner_html, lambda h: array_to_string(list_filter(
+            string_split_regex(h, '<[^>]*>'), lambda x: x <> ''), chr(10))) AS raw FROM page),
+blk AS (SELECT page_id, url, list_transform(raw, lambda t: replace(replace(replace(replace(replace(t,
+            '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&middot;', '·'), '&amp;', '&')) AS t FROM nodes)"""
+
+
+def best_text(script: str, cleaner) -> str:
+    """CTE ``best`` (page_id, url, score, main_text): the block with more letters of the script, the first one if equal."""
+    return f"""{BLOCKS},
+scored_blk AS (SELECT page_id, url, t, len(regexp_extract_all(t[1], '{script}')) AS s1, len(regexp_extract_all(t[2], '{script}')) AS s2 FROM blk),
+picked AS (SELECT page_id, url, greatest(s1, s2)::INTEGER AS score, CASE WHEN s1 >= s2 THEN t[1] ELSE t[2] END AS txt FROM scored_blk),
+best AS (SELECT page_id, url, score, CASE WHEN score >= {P.MIN_SCRIPT_CHARS} THEN {cleaner('txt')} END AS main_text FROM picked)"""
+
+
+def page_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    number = "regexp_extract(url, '/[a-z]{2}/([0-9]+)', 1)"
+    cand = f"""cand AS (
+  SELECT floor(TRY_CAST({number} AS BIGINT) / 40)::BIGINT AS song_id, page_id AS rank, url || '#' || page_id AS url
+  FROM pages WHERE {number} <> ''),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY rank) AS nth FROM cand)"""
+    v1 = best_text(SCR, lambda t: clean_lines(t, P.STOP_WORDS_V1, True))
+    accented = best_text(P.char_class([(0xC0, 0xFF)]).re2, lambda t: clean_lines(t, P.STOP_WORDS_V2, False))
+    q["first_candidate"] = f"""WITH {cand}
+SELECT song_id, min(rank) AS rank, arg_min(url, rank) AS url FROM ranked
+WHERE nth <= {P.V2_MAX_RESULTS} AND contains(url, '//m.') GROUP BY song_id"""
+    q["result_links"] = f"""WITH {cand}
+SELECT song_id, (row_number() OVER (PARTITION BY song_id ORDER BY rank) - 1)::INTEGER AS pos, url AS link FROM ranked
+WHERE nth <= {P.V2_MAX_RESULTS} AND contains(url, 'example.net')"""
+    q["best_block"] = f"WITH {v1} SELECT page_id, score, main_text FROM best"
+    q["page_lyrics"] = f"""WITH {cand}, {v1},
+ok AS (SELECT song_id, rank, ranked.url, main_text FROM ranked JOIN best ON best.page_id = ranked.rank
+       WHERE nth <= {P.V1_SEARCH_RESULTS} AND contains(ranked.url, 'example.net') AND ranked.url LIKE 'https%' AND main_text <> '')
+SELECT song_id, min(rank) AS rank, arg_min(url, rank) AS url, arg_min(main_text, rank) AS lyrics FROM ok GROUP BY song_id"""
+    q["outcome_counts"] = f"""WITH {cand}, {accented},
+want AS (SELECT song_id, min(rank) AS rank FROM ranked WHERE nth <= {P.V2_MAX_RESULTS} AND contains(url, 'example.net') GROUP BY song_id),
+shelf AS (SELECT DISTINCT floor(doc_id / 40)::BIGINT AS song_id FROM documents),
+res AS (
+  SELECT CASE WHEN song_id NOT IN (SELECT song_id FROM cand) THEN '{P.REASON_NO_RESULTS}'
+              WHEN w.rank IS NULL THEN '{P.REASON_NOT_IN_TOP.format(n=P.V2_MAX_RESULTS)}'
+              WHEN b.url NOT LIKE 'https%' THEN '{P.REASON_NOT_LOADED}'
+              WHEN coalesce(b.main_text, '') = '' THEN '{P.REASON_NO_SCRIPT}' ELSE 'found' END AS outcome
+  FROM shelf LEFT JOIN want w USING (song_id) LEFT JOIN best b ON b.page_id = w.rank)
+SELECT outcome, count(*) AS n FROM res GROUP BY outcome"""
+    item = '<li><a href="/[^"]+">([^<]+)</a></li>'
+    q["catalog_from_html"] = f"""WITH n AS (SELECT page_id, regexp_extract_all(html, '{item}', 1) AS w FROM pages),
+c AS (SELECT page_id, {strip('w[1]')} AS song_name, {strip('w[2]')} AS movie_album, w[3] || ', ' || w[4] AS singers FROM n WHERE len(w) >= 4),
+f AS (SELECT *, row_number() OVER (PARTITION BY lower(song_name) ORDER BY page_id) AS rn FROM c WHERE song_name <> '')
+SELECT song_name, movie_album, singers FROM f WHERE rn = 1"""
     return q

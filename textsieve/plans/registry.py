@@ -22,19 +22,27 @@ from textsieve.operators import ngrams as NG
 from textsieve.operators import quality as Q
 from textsieve.operators import sets as SETS
 from textsieve.operators import stats as S
+from textsieve.plans import lifecycles as L
 from textsieve.plans.oracle_sql import DENSITY_CHARS, SCRIPT
+from textsieve.session import scratch_path
+from textsieve.sources import files as IO
 from textsieve.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, columns=None, balanced: bool = False) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", columns, balanced)
+#: session setting: partitions to deal a text table to (for tables of a few large row groups); unset adds nothing
+SPREAD = "textsieve.spread"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, columns=None, cpu_bound: bool = False) -> DataFrame:
+    spread = int(spark.conf.get(SPREAD, "0")) if cpu_bound else 0
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", columns, spread or None)
 
 
 def documents(spark: SparkSession, sf_dir: str, columns=("doc_id", "text")) -> DataFrame:
-    """The document corpus, spread over all cores for the text-heavy work."""
-    return table(spark, sf_dir, "documents", list(columns), balanced=True)
+    """The document corpus."""
+    return table(spark, sf_dir, "documents", list(columns), cpu_bound=True)
 
 
 def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +76,7 @@ def q_gate_reconciliation(spark, sf):
 
 
 def q_profile(spark, sf):
-    return S.profile(scored_documents(spark, sf), Q.METRIC_COLUMNS)
+    return S.profile(scored_documents(spark, sf), Q.METRIC_COLUMNS, digits=9)
 
 
 def q_mean_richness(spark, sf):
@@ -104,7 +112,7 @@ def q_histogram_richness_auto(spark, sf):
 
 
 def q_kde_richness(spark, sf):
-    return S.gaussian_kde(clean_documents(spark, sf), "richness", P.KDE_GRID)
+    return S.gaussian_kde(clean_documents(spark, sf), "richness", P.KDE_GRID, digits=6)
 
 
 def q_top_complex(spark, sf):
@@ -139,7 +147,7 @@ CANDIDATE_DOMAIN = "example.net"
 
 def titled_documents(spark, sf, extra=()):
     """Documents with their first line as title (the song-name stand-in)."""
-    d = table(spark, sf, "documents", ["doc_id", "text", "lang", "source", *extra], balanced=True)
+    d = table(spark, sf, "documents", ["doc_id", "text", "lang", "source", *extra], cpu_bound=True)
     return d.withColumn("title", F.substring_index("text", "\n", 1))
 
 
@@ -150,7 +158,8 @@ def processed_names(spark, sf):
 
 
 def q_pending_by_name(spark, sf):
-    cat = titled_documents(spark, sf).select("doc_id", "title")
+    """The compat key only matches names without punctuation, so the catalog's have none."""
+    cat = titled_documents(spark, sf).select("doc_id", F.translate("title", ".,|", "").alias("title"))
     return SETS.pending(cat, processed_names(spark, sf), "title", "song_name", key="compat")
 
 
@@ -287,53 +296,117 @@ def q_derived_path(spark, sf):
     )
 
 
+# Candidates of a search: the pages of so many neighbouring documents (some have more than the top 7).
+SHELF = 40
+
+
 def candidate_pages(spark, sf):
-    """Search candidates per document: pages whose URL path names the doc id,
-    ranked by page_id."""
-    p = table(spark, sf, "pages", ["page_id", "url", "html"], balanced=True)
+    """Search candidates per shelf of documents: pages whose URL path names a
+    document of it, ranked by page_id.  Pages whose path names none are nobody's
+    candidates.  The page's number makes URLs unique."""
+    p = table(spark, sf, "pages", ["page_id", "url", "html"], cpu_bound=True)
     did = F.regexp_extract("url", "/[a-z]{2}/([0-9]+)", 1)
-    return p.where(did != "").withColumn("doc_id", did.try_cast("long"))
+    return p.where(did != "").select(
+        F.floor(did.try_cast("long") / SHELF).alias("song_id"), F.col("page_id").alias("rank"),
+        F.concat("url", F.lit("#"), "page_id").alias("url"), "html")
+
+
+def shelves(spark, sf):
+    return table(spark, sf, "documents", ["doc_id"]).select(F.floor(F.col("doc_id") / SHELF).alias("song_id")).distinct()
 
 
 def q_first_candidate(spark, sf):
-    c = candidate_pages(spark, sf).select("doc_id", "page_id", "url")
-    return C.first_within_top(c, "doc_id", "page_id", F.contains("url", F.lit(CANDIDATE_DOMAIN)),
-                              P.V2_MAX_RESULTS, payload=["url"])
+    """The first page of a mobile host, if it is among a shelf's first seven."""
+    c = candidate_pages(spark, sf).select("song_id", "rank", "url")
+    return C.first_within_top(c, "song_id", "rank", F.contains("url", F.lit("//m.")), P.V2_MAX_RESULTS, payload=["url"])
 
 
 def q_best_block(spark, sf):
-    p = table(spark, sf, "pages", ["page_id", "html"], balanced=True)
+    p = table(spark, sf, "pages", ["page_id", "html"], cpu_bound=True)
     return B.extract_main_text(p, "html", "v1", SCRIPT).select("page_id", "score", "main_text")
 
 
 def q_page_lyrics(spark, sf):
-    """V1 lifecycle: first candidate page (top 3, domain match) whose main
-    text is found, per document.  Only domain-matching pages are parsed."""
-    cands = candidate_pages(spark, sf)
-    on_domain = cands.where(F.contains("url", F.lit(CANDIDATE_DOMAIN)))
-    ext = B.extract_main_text(on_domain, "html", "v1", SCRIPT).drop("html")
-    return C.first_within_top(ext, "doc_id", "page_id", B.found("main_text"), P.V1_SEARCH_RESULTS,
-                              payload=["url", "main_text"], ranks=cands.select("doc_id", "page_id"))
+    """V1 lifecycle: first candidate of the top three on the domain whose page
+    loaded (here: pages of https URLs) and has a main text, per shelf."""
+    c = candidate_pages(spark, sf)
+    pages = c.select("url", "html", F.when(F.startswith("url", F.lit("https")), 200).otherwise(404).alias("status"))
+    res = L.pages_to_lyrics(shelves(spark, sf), c.select("song_id", "rank", "url"), pages, CANDIDATE_DOMAIN, "v1", SCRIPT, "status")
+    return res.where("outcome = 'found'").select("song_id", "rank", "url", "lyrics")
+
+
+# Letters beyond ASCII: many English pages have too few of them, so "no text" occurs.
+ACCENTED = P.Script("accented", ((0xC0, 0xFF),))
 
 
 def q_outcome_counts(spark, sf):
-    """V2 lifecycle outcome per document, counted.  Only each document's
-    target page is parsed."""
-    docs = table(spark, sf, "documents", ["doc_id"])
-    cands = candidate_pages(spark, sf)
-    has = cands.select("doc_id").distinct().withColumn("has_results", F.lit(True))
-    first = C.first_within_top(cands.select("doc_id", "page_id", "url"), "doc_id", "page_id",
-                               F.contains("url", F.lit(CANDIDATE_DOMAIN)), P.V2_MAX_RESULTS)
-    target = first.join(cands.select("page_id", "html"), "page_id")
-    parsed = B.extract_main_text(target, "html", "v2", SCRIPT).select("doc_id", "page_id", "main_text")
-    res = docs.join(has, "doc_id", "left").join(parsed, "doc_id", "left")
-    outcome = (
-        F.when(F.col("has_results").isNull(), F.lit(P.REASON_NO_RESULTS))
-        .when(F.col("page_id").isNull(), F.lit(P.REASON_NOT_IN_TOP.format(n=P.V2_MAX_RESULTS)))
-        .when(~B.found("main_text"), F.lit(P.REASON_NO_SCRIPT))
-        .otherwise(F.lit("found"))
-    )
-    return res.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    """V2 lifecycle outcomes counted; pages of plain http URLs were never loaded."""
+    c = candidate_pages(spark, sf)
+    pages = c.where(F.startswith("url", F.lit("https"))).select("url", "html")
+    res = L.pages_to_lyrics(shelves(spark, sf), c.select("song_id", "rank", "url"), pages, CANDIDATE_DOMAIN, "v2", ACCENTED)
+    return L.outcome_counts(res)
+
+
+def q_result_links(spark, sf):
+    """Links of search responses: per shelf one JSON document with its pages' URLs in order."""
+    c = candidate_pages(spark, sf).select("song_id", "rank", "url")
+    found = F.transform(F.array_sort(F.collect_list(F.struct("rank", "url"))), lambda x: F.struct(x["url"].alias("link")))
+    response = c.groupBy("song_id").agg(F.to_json(F.struct(found.alias("organic"))).alias("response"))
+    links = C.result_links("response", CANDIDATE_DOMAIN, P.V2_MAX_RESULTS)
+    return response.select("song_id", F.posexplode(links).alias("pos", "link"))
+
+
+def q_catalog_from_html(spark, sf):
+    """Song catalog from rendered rows: each page's first four navigation words
+    are a row's song, album and two singers."""
+    p = table(spark, sf, "pages", ["page_id", "html"])
+    w = F.regexp_extract_all("html", F.lit('<li><a href="/[^"]+">([^<]+)</a></li>'), 1)
+
+    def link(kind, i):
+        return F.concat(F.lit(f'<a href="/{kind}/'), F.col("page_id"), F.lit('">'), F.get("w", F.lit(i)), F.lit("</a>"))
+
+    rows = p.select("page_id", w.alias("w")).where(F.size("w") >= 4).select(
+        F.col("page_id").alias("seq"), F.concat(link("song", 0), link("album", 1), link("artist", 2), link("artist", 3)).alias("html"))
+    return L.catalog_from_html(rows)
+
+
+# --- files and tables ---------------------------------------------------------------
+
+def q_csv_roundtrip(spark, sf):
+    """Documents written as CSV and read by header name into another column order."""
+    d = table(spark, sf, "documents", ["doc_id", "text", "lang", "source", "n_chars"])
+    path = scratch_path(spark, "csv")
+    IO.write_csv(d, path)
+    back = IO.read_csv(spark, path, "source string, n_chars long, doc_id long, text string, lang string")
+    return back.select("doc_id", "lang", "source", "n_chars", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
+
+
+def q_text_tree_roundtrip(spark, sf):
+    """Benchmark items written as one text file each and read back."""
+    b = table(spark, sf, "benchmark", ["item_id", "text"]).select(
+        "item_id", F.concat(F.lit("Item, "), "item_id").alias("song"), F.concat(F.lit("Shelf "), F.col("item_id") % 7).alias("movie"), "text")
+    path = scratch_path(spark, "text-tree")
+    body = IO.lyrics_file_body("song", "movie", F.lit("benchmark"), None, F.concat(F.lit("..."), "text"))
+    IO.write_text_tree(b, path, "movie", "song", body, "item_id")
+    back = IO.read_slug_tree(spark, path)
+    return back.select("movie_slug", "song_slug", F.md5(STR.after_marker("content").cast("binary")).alias("lyrics_md5"))
+
+
+def q_append_new(spark, sf):
+    """Labelled documents, then all documents, then all again, appended by (source, title)."""
+    d = titled_documents(spark, sf).select("doc_id", "source", "title")
+    path = scratch_path(spark, "appended")
+    for batch in (d.join(table(spark, sf, "labels", ["doc_id"]), "doc_id", "left_semi"), d, d):
+        IO.append_new(spark, batch, path, ["source", "title"])
+    return spark.read.parquet(path).select("doc_id", "source", "title")
+
+
+def q_attach_report(spark, sf):
+    """Audio files exist for small parts only; how many catalog rows find theirs."""
+    p = table(spark, sf, "part", ["p_name", "p_type", "p_size"])
+    files = p.where("p_size < 25").select(C.derived_audio_path("p_type", "p_name", "audio").alias("path")).distinct()
+    files = files.withColumn("content", F.col("path").cast("binary"))
+    return IO.upload_report(IO.attach_audio(p, files, "audio", "p_name", "p_type"))
 
 
 QUERIES.update({
@@ -360,4 +433,10 @@ QUERIES.update({
     "best_block": q_best_block,
     "page_lyrics": q_page_lyrics,
     "outcome_counts": q_outcome_counts,
+    "result_links": q_result_links,
+    "catalog_from_html": q_catalog_from_html,
+    "csv_roundtrip": q_csv_roundtrip,
+    "text_tree_roundtrip": q_text_tree_roundtrip,
+    "append_new": q_append_new,
+    "attach_report": q_attach_report,
 })

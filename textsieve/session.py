@@ -2,17 +2,18 @@
 
 Intermediate tables that must survive executor loss are written under the
 cluster's ``spark.checkpoint.dir`` (a shared file system).  The setting is read
-from the session; a private default is installed only when it is unset, as
-in tests.
+from the session; only a local session gets a private default, as in tests.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -43,10 +44,16 @@ def get_spark(app: str = "textsieve", master: str | None = None, shuffle_partiti
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory, installing a private one only if unset."""
+    """The shared checkpoint directory.
+
+    A local session without one (as in tests) gets a private folder.  On a
+    cluster it must be set: a folder of the driver is not visible to executors.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="textsieve-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
@@ -54,6 +61,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to a fresh scratch table and read it back (columnar, lineage cut, survives lost executors)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, for clusters where it is not installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(prefix="textsieve-zip-"), "textsieve")
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, "textsieve"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint directory for a written table."""
     base = ensure_checkpoint_dir(spark)

@@ -1,13 +1,14 @@
 """File sources and sinks: CSV, text trees, binary files, zip archives, tables.
 
-* CSV is always read with an explicit schema (never inferred) and the
-  options that make quoted fields with embedded newlines and doubled quotes
-  round-trip; the writer keeps leading / trailing spaces.
+* CSV columns are bound by header name and cast to an explicit schema (never
+  inferred); the options make quoted fields with embedded newlines and doubled
+  quotes round-trip; the writer keeps leading / trailing spaces.
 * A text tree is ``<base>/<movie>/<song>.txt``; the two path parts become
   columns.  Spark's text source reports percent-encoded paths, so they are
   decoded (a literal '+' is protected first).
-* Tables are Parquet directories.  ``append_new`` makes an append idempotent
-  with an anti-join on key columns, so re-running an ingest adds nothing.
+* Tables are Parquet directories.  ``append_rows`` appends; ``append_new`` makes
+  an append idempotent with a null-safe anti-join on key columns, so
+  re-running an ingest adds nothing.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import types as T
 
 from textsieve import patterns as P
 from textsieve.functions import text as TX
+from textsieve.operators.candidates import derived_audio_path
+from textsieve.session import write_scratch
 from textsieve.sources.tables import read_table  # noqa: F401  (re-exported: S7/S8 scans)
 
 CSV_READ = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "FAILFAST"}
@@ -30,12 +33,18 @@ CSV_WRITE = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteS
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, index_col: str | None = None) -> DataFrame:
-    """CSV with a header row.  ``index_col`` names an unnamed leading index
-    column (written by a writer that kept its row index); it arrives as _c0."""
-    df = spark.read.options(**CSV_READ).schema(schema).csv(path)
-    if index_col and "_c0" in df.columns:
-        df = df.withColumnRenamed("_c0", index_col)
-    return df
+    """CSV with a header row, columns taken by header name and cast to ``schema``.
+
+    The order of the file's columns does not matter; a column that the header
+    lacks is an error.  ``index_col`` names an unnamed leading index column
+    (written by a writer that kept its row index), which ``schema`` calls _c0."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    raw = spark.read.options(**CSV_READ).csv(path)
+    if index_col and "_c0" in raw.columns:
+        raw = raw.withColumnRenamed("_c0", index_col)
+    named = [(index_col if index_col and f.name == "_c0" else f.name, f.dataType) for f in schema.fields]
+    return raw.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in named])
 
 
 def write_csv(df: DataFrame, path: str, columns=None, mode: str = "overwrite") -> None:
@@ -44,6 +53,10 @@ def write_csv(df: DataFrame, path: str, columns=None, mode: str = "overwrite") -
     out.write.mode(mode).options(**CSV_WRITE).csv(path)
 
 
+# Folder name of records whose slug is empty.
+EMPTY_SLUG = "_untitled"
+
+
 def decode_spark_path(col) -> Column:
     """File path as reported by the text source -> real path ('%20' -> ' ')."""
     return F.url_decode(F.replace(TX._c(col), F.lit("+"), F.lit("%2B")))
@@ -69,25 +82,44 @@ def read_text_tree(spark: SparkSession, base: str, suffix: str = ".txt") -> Data
 
 
 def lyrics_file_body(song, movie, source, url, lyrics) -> Column:
-    """``Song: <s>\\nMovie: <m>\\nSource: <x>\\nURL: <u>\\n\\n<lyrics>``."""
-    return F.concat(F.lit("Song: "), TX._c(song), F.lit("\nMovie: "), TX._c(movie), F.lit("\nSource: "),
-                    TX._c(source), F.lit("\nURL: "), TX._c(url), F.lit("\n\n"), TX._c(lyrics))
+    """``Song: <s>\\nMovie: <m>\\nSource: <x>\\nURL: <u>\\n\\n<lyrics>``; NULL parts are empty.
+
+    The second version of these files has no URL line: pass ``url=None``."""
+    def part(c):
+        return F.coalesce(TX._c(c), F.lit(""))
+
+    link = [] if url is None else [F.lit("\nURL: "), part(url)]
+    return F.concat(F.lit("Song: "), part(song), F.lit("\nMovie: "), part(movie), F.lit("\nSource: "), part(source),
+                    *link, F.lit("\n\n"), part(lyrics))
+
+
+def _folder_slug(col) -> Column:
+    """The slug, or a name of its own for an empty one (a folder must have a name)."""
+    s = F.coalesce(TX.slug(col), F.lit(""))
+    return F.when(s == "", F.lit(EMPTY_SLUG)).otherwise(s)
 
 
 def write_text_tree(df: DataFrame, base: str, movie_col: str, song_col: str, body: Column, order_col: str,
-                    mode: str = "overwrite") -> None:
+                    mode: str = "overwrite", per_song: bool = True) -> None:
     """One text file per record under ``movie_slug=<m>/song_slug=<s>/``.
 
+    That is an export for readers of files.  With ``per_song=False`` the records
+    of a movie share Parquet files under ``movie_slug=<m>/`` (columns song_slug,
+    content), which is the form for very many records.
+
     Records whose slugs collide keep the last one by ``order_col`` (the
     behaviour of repeated writes to the same file).  The text writer ends each
     file with one '\\n' (Spark does not allow an empty record separator); the
     parsers strip trailing whitespace, so re-reading is unaffected."""
     keyed = df.select(
-        TX.slug(movie_col).alias("movie_slug"), TX.slug(song_col).alias("song_slug"),
+        _folder_slug(movie_col).alias("movie_slug"), _folder_slug(song_col).alias("song_slug"),
         body.alias("value"), F.col(order_col).alias("_o"),
     )
     last = keyed.groupBy("movie_slug", "song_slug").agg(F.max_by("value", "_o").alias("value"))
-    last.write.mode(mode).partitionBy("movie_slug", "song_slug").text(base)
+    if per_song:
+        last.write.mode(mode).partitionBy("movie_slug", "song_slug").text(base)
+    else:
+        last.withColumnRenamed("value", "content").write.mode(mode).partitionBy("movie_slug").parquet(base)
 
 
 def read_slug_tree(spark: SparkSession, base: str) -> DataFrame:
@@ -132,20 +164,37 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is at ``path``; errors of the file system are raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def append_rows(df: DataFrame, path: str) -> None:
+    """Append all rows; creates the table when it does not exist."""
+    df.write.mode("append").parquet(path)
+
+
 def append_new(spark: SparkSession, df: DataFrame, path: str, keys) -> int:
     """Append rows whose key is not yet in the table at ``path``; returns the
-    number of rows appended.  Creates the table when it does not exist."""
-    try:
-        existing = spark.read.parquet(path).select(*keys).distinct()
-    except Exception:  # no table yet
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path).count()
-    new = df.join(existing, list(keys), "left_anti")
-    # Materialize before writing into the table the anti-join reads from.
-    new = new.checkpoint(eager=True)
-    n = new.count()
-    new.select(*df.columns).write.mode("append").parquet(path)
-    return n
+    number of rows appended.  Creates the table when it does not exist.
+
+    NULL keys are equal to each other.  Of the batch's rows with one key the
+    least by the other columns is taken, so a replay adds nothing.  Only key
+    columns of the table are read; an unreadable table raises and stays as it is."""
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*") if rest else df.distinct()
+    if table_exists(spark, path):
+        old = spark.read.parquet(path).select(*[F.col(k).alias(f"_old_{k}") for k in keys])
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_old_{k}"))
+        one = one.join(old, same, "left_anti")
+    # written before the append, which must not read the table that it adds to
+    new = write_scratch(one.select(*df.columns), "append")
+    append_rows(new, path)
+    return new.count()
 
 
 def with_training_flags(df: DataFrame) -> DataFrame:
@@ -157,8 +206,6 @@ def attach_audio(catalog: DataFrame, files: DataFrame, base: str, song_col: str
                  category_col: str = "category") -> DataFrame:
     """Catalog rows joined to audio files on the derived path; ``content`` is
     NULL for a missing file (left equi-join, no per-row file checks)."""
-    from textsieve.operators.candidates import derived_audio_path
-
     cat = catalog.withColumn("path", derived_audio_path(category_col, song_col, base)).withColumn(
         "filename", F.concat(F.replace(F.col(song_col), F.lit(" "), F.lit("_")), F.lit(".wav")))
     return cat.join(files.select("path", "content"), "path", "left")

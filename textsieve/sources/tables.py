@@ -1,9 +1,8 @@
-"""Table sources: Parquet scans with optional CPU balancing.
+"""Table sources: Parquet scans with column pruning.
 
-Text operators are CPU-bound (regex, arrays).  When a scan has fewer input
-splits than the cluster has cores (a few large row groups), the rows are
-spread round-robin so every core works; at cluster scale the scan already has
-far more splits than cores and nothing is added.
+Text operators are CPU-bound (regex, arrays).  Where the caller knows that a
+table has fewer splits than the job has cores (a few large row groups),
+``spread`` deals its rows to that many partitions; by default nothing is added.
 """
 
 from __future__ import annotations
@@ -11,18 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the input has fewer partitions than cores."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD / context access (e.g. a remote session): leave as is
-        return df
-    return df.repartition(target) if current < target else df
-
-
-def read_table(spark: SparkSession, path: str, columns=None, balanced: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, path: str, columns=None, spread: int | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     if columns:
         df = df.select(*columns)
-    return balance(df) if balanced else df
+    return df.repartition(spread) if spread else df

@@ -7,7 +7,9 @@
 * ``stream_quality_gate``: new Parquet document files flow through the
   metrics + gate + features pass into a Parquet sink (stateless, append).
 
-Checkpoint locations default to the shared ``spark.checkpoint.dir``.
+The checkpoint location is a required argument: it belongs to the stream's
+sink for as long as that lives, so that a restarted stream goes on where it
+stopped.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from pyspark.sql.streaming import StreamingQuery
 from textsieve import patterns as P
 from textsieve.functions import structure as ST
 from textsieve.operators import quality as Q
-from textsieve.session import scratch_path
 from textsieve.sources import files as IO
 
 
@@ -42,7 +43,7 @@ def _parsed_tree_stream(spark: SparkSession, landing_dir: str, parser: str, scri
 
 
 def stream_text_tree_ingest(spark: SparkSession, landing_dir: str, table_path: str, parser: str = "after_marker",
-                            script: P.Script = P.TELUGU, checkpoint: str | None = None,
+                            script: P.Script = P.TELUGU, *, checkpoint: str,
                             available_now: bool = True) -> StreamingQuery:
     keys = ["movie_name", "song_name"]
 
@@ -51,7 +52,7 @@ def stream_text_tree_ingest(spark: SparkSession, landing_dir: str, table_path: s
 
     writer = (
         _parsed_tree_stream(spark, landing_dir, parser, script).writeStream.foreachBatch(upsert)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-stream"))
+        .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
@@ -59,12 +60,12 @@ def stream_text_tree_ingest(spark: SparkSession, landing_dir: str, table_path: s
 
 def stream_quality_gate(spark: SparkSession, source_dir: str, out_dir: str, schema, id_col: str = "doc_id",
                         text_col: str = "text", script: P.Script = P.TELUGU,
-                        density_chars: str = P.TELUGU_DENSITY_CHARS, checkpoint: str | None = None) -> StreamingQuery:
+                        density_chars: str = P.TELUGU_DENSITY_CHARS, *, checkpoint: str) -> StreamingQuery:
     docs = spark.readStream.schema(schema).option("maxFilesPerTrigger", 100).parquet(source_dir)
     clean = Q.clean_corpus(docs, id_col, text_col, script, density_chars)
     return (
         clean.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "gate-stream"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(out_dir)
     )
