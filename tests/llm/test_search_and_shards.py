@@ -184,8 +184,9 @@ def test_raking_meets_the_marginals():
 
 def test_word_count(spark):
     values = [None, "", " ", "a", " a  b\n\tc ", "\x0bx\x0c", "é ü"]
-    rows = spark.createDataFrame(list(enumerate(values)), "i int, text string").select("i", mixing.word_count(F.col("text")).alias("n")).collect()
-    assert {r["i"]: r["n"] for r in rows} == {i: len((v or "").split()) for i, v in enumerate(values)}
+    rows = mixing.counted(spark.createDataFrame(list(enumerate(values)), "i int, text string")).collect()
+    assert {r["i"]: r["n_tokens"] for r in rows} == {i: len((v or "").encode().split()) for i, v in enumerate(values)}
+    assert {r["i"]: r["n_lines"] for r in rows} == {i: (v or "").count("\n") + 1 for i, v in enumerate(values)}
 
 
 def test_mix_samples_to_targets(spark):

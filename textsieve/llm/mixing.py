@@ -12,9 +12,14 @@ keeps its ``CATEGORIES`` largest values and pools the others into one.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import Scratch, table
 
@@ -27,19 +32,29 @@ KEEP, TEMPER = 0.8, 0.7
 SEED = 17
 
 
-def word_count(text):
-    """Words between ASCII white space; a null text has none."""
-    trimmed = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+", " "))
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.length(trimmed) - F.length(F.translate(trimmed, " ", "")) + 1).cast("long")
+def form_topic():
+    """A coarse topic by form, from the counts of ``counted``: table, list, short, long or prose."""
+    n = F.col("n_tokens")
+    return (F.when(F.col("n_bars") * 10 > n, "table").when((F.col("n_lines") > 10) & (F.col("n_lines") * 4 > n), "list")
+            .when(n < 50, "short").when(n >= 1000, "long").otherwise("prose"))
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """``text`` replaced by n_tokens (words between ASCII white space), n_bars (| and tabs) and n_lines; null texts are empty."""
+    keep = [f for f in rows.schema.fields if f.name != "text"]
+    schema = T.StructType([*keep, *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_bars", "n_lines")]])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            text = pc.fill_null(b.column("text"), "")
+            words = pc.list_value_length(pc.ascii_split_whitespace(pc.ascii_trim_whitespace(text)))
+            words = pc.if_else(pc.equal(pc.binary_length(pc.ascii_trim_whitespace(text)), 0), 0, words)
+            count = lambda x: pc.cast(pc.count_substring(text, x), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(f.name) for f in keep], pc.cast(words, pa.int64()), pc.add(count("|"), count("\t")), pc.add(count("\n"), 1)],
+                names=schema.fieldNames())
 
-def form_topic(text, n_words):
-    """A coarse topic by form: table, list, short, long or prose."""
-    t = F.coalesce(text, F.lit(""))
-    bars = F.length(t) - F.length(F.translate(t, "|\t", ""))
-    lines = F.length(t) - F.length(F.translate(t, "\n", "")) + 1
-    return (F.when(bars * 10 > n_words, "table").when((lines > 10) & (lines * 4 > n_words), "list")
-            .when(n_words < 50, "short").when(n_words >= 1000, "long").otherwise("prose"))
+    return rows.mapInArrow(run, schema)
 
 
 def rake(tokens: np.ndarray, codes: np.ndarray, targets: list[np.ndarray], total: float, rounds: int = 500,
@@ -88,18 +103,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic=N
     documents without words in them; repeated rows share one draw; an empty
     table gives no rows.
     """
-    text = F.col(text_col).cast("string")
-    n = word_count(text)
-    own = F.struct(*[F.col(c) for c in docs.columns]) if carry else F.lit(None).cast("int")
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("id"), n.alias("n_tokens"),
+    own = [F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if carry else []
+    given = [topic.cast("string").alias("given")] if topic is not None else []
+    rows = counted(docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
         *[F.coalesce(F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string"), F.lit(NONE)).alias(c) for c in ("source", "lang")],
-        F.coalesce((topic if topic is not None else form_topic(text, n)).cast("string"), F.lit(NONE)).alias("topic"), own.alias("row"))
+        *given, *own))
+    rows = rows.withColumn("topic", F.coalesce(F.col("given") if given else form_topic(), F.lit(NONE)))
+    rows = rows.select("id", "n_tokens", *DIMENSIONS, *(["row"] if carry else []))
     scratch = Scratch(docs.sparkSession)
-    counted = scratch.put("counted", rows.drop("row"))  # every text is read once for its counts
-    largest = {d: scratch.put(f"largest-{d}", _largest(counted, d, CATEGORIES[d])) for d in DIMENSIONS}
-    rows = _pooled(rows if carry else counted, largest)
-    cells = _pooled(counted, largest).groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")).orderBy(*DIMENSIONS).toPandas()
+    counts = scratch.put("counted", rows.drop("row"))  # every text is read once for its counts
+    largest = {d: scratch.put(f"largest-{d}", _largest(counts, d, CATEGORIES[d])) for d in DIMENSIONS}
+    rows = _pooled(rows if carry else counts, largest)
+    cells = _pooled(counts, largest).groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")).orderBy(*DIMENSIONS).toPandas()
     tokens = cells["tokens"].to_numpy(float)
     codes, goals = [], []
     for d in DIMENSIONS:
