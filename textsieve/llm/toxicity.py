@@ -46,7 +46,7 @@ DRIFT = 0.3
 SIGNIFICANT = 0.05
 CACHE_WORDS = 200_000
 #: distinct words that a task counts before it puts them out
-COUNT_WORDS = 500_000
+COUNT_WORDS = 250_000
 WORD = re.compile(r"\w+")
 
 
