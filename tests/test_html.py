@@ -1,5 +1,4 @@
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from textsieve import patterns as P
 from textsieve.functions.html import anchor_text, anchor_texts, outermost_blocks

@@ -6,7 +6,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import one_col
-from textsieve import patterns as P
 from textsieve.functions import text as T
 from textsieve.operators import sets as S
 

@@ -51,6 +51,14 @@ def test_exact_quantiles_match_numpy(spark, values):
     assert np.allclose([got[p] for p in probs], exp)
 
 
+def test_quantile_buckets_are_refined(spark):
+    values = np.random.default_rng(5).normal(size=4000).round(3)
+    vc = S.value_counts(frame(spark, values), ["v"])
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {r["p"]: r["value"] for r in S.quantiles_from_counts(vc, probs, buckets=5, most=20).collect()}
+    assert np.allclose([got[p] for p in probs], np.quantile(values, probs))
+
+
 def test_profile_matches_pandas_describe(spark):
     rng = np.random.default_rng(0)
     pdf = pd.DataFrame({"a": rng.integers(0, 100, 300).astype(float), "b": rng.random(300)})

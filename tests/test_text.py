@@ -2,7 +2,6 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from conftest import evaluate
 from textsieve import patterns as P

@@ -7,9 +7,10 @@ Scale notes
   one row after the map-side combine.
 * Exact quantiles never sort the whole column in one task: a bounded sketch
   (``percentile_approx``) splits the distinct values into ``buckets`` ranges,
-  bucket totals give each bucket's rank offset, and only the few buckets that
-  contain a requested rank are ordered (``Window`` per bucket).  The sketch
-  only affects balance, never the result.
+  bucket totals give each bucket's rank offset, buckets that contain a
+  requested rank are split again while they are large, and only the last ones
+  are ordered (``Window`` per bucket).  The sketch only affects balance, never
+  the result.
 * Small per-column tables (bucket bounds, bucket totals, target ranks) are
   bounded by ``len(cols) * buckets`` rows, so broadcasting them is safe.
 * Multi-pass statistics read the source once: the value-count table is written
@@ -46,36 +47,49 @@ def value_counts(df: DataFrame, cols, materialize: bool = True) -> DataFrame:
     return write_scratch(vc, "value-counts") if materialize else vc
 
 
-def quantiles_from_counts(vc: DataFrame, probs, buckets: int = 128, accuracy: int = 10000) -> DataFrame:
+def quantiles_from_counts(vc: DataFrame, probs, buckets: int = 128, accuracy: int = 10000,
+                          most: int = 200_000) -> DataFrame:
     """(name, p, value) linear-interpolated quantiles from a value-count table.
 
     Position h = (n-1)*p, value = x[floor h] + (x[ceil h] - x[floor h]) * (h - floor h).
 
-    Plan: sketch bounds per column (bounded: ``buckets`` values) -> bucket id per
-    distinct value -> bucket totals -> one window gives each bucket its rank
-    offset and the column total -> target ranks attached to the buckets that
-    contain them (at most 2 per probability) -> values of those buckets ordered
-    per target -> the value covering each target rank.
+    The buckets that contain a requested rank are refined, level by level, until
+    one is expected to hold at most ``most`` distinct values; only those are
+    ordered.  A level: sketch bounds per bucket (``buckets`` values) -> bucket id
+    per distinct value -> bucket totals -> rank offsets -> ranks attached to the
+    buckets that contain them (at most 2 per probability).
     """
+    levels, left = 1, vc.count() / buckets
+    while left > most:
+        levels, left = levels + 1, left / buckets
     fractions = [i / buckets for i in range(1, buckets)]
-    bounds = vc.groupBy("name").agg(F.percentile_approx("v", fractions, accuracy).alias("bounds"))
-    vb = vc.join(F.broadcast(bounds), "name").select(
-        "name", "v", "cnt", F.size(F.filter("bounds", lambda b: b < F.col("v"))).alias("b")
-    )
-    btot = vb.groupBy("name", "b").agg(F.sum("cnt").alias("tot"))
-    by_name = Window.partitionBy("name")
-    boff = (
-        btot.withColumn("off", F.sum("tot").over(by_name.orderBy("b")) - F.col("tot"))
-        .withColumn("n", F.sum("tot").over(by_name))
-    )
+    # one bucket per column, holding all ranks
     targets = (
-        boff.select("name", "b", "off", "tot", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+        vc.groupBy("name").agg(F.sum("cnt").alias("n"))
+        .select("name", "n", F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("off"),
+                F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
         .withColumn("h", (F.col("n") - 1).cast("double") * F.col("p"))
         .withColumn("k_lo", F.floor("h"))
         .select("*", F.explode(F.array_distinct(F.array(F.col("k_lo"), F.ceil("h")))).alias("k"))
-        .where((F.col("k") >= F.col("off")) & (F.col("k") < F.col("off") + F.col("tot")))
-        .select("name", "b", "off", "p", "h", "k_lo", "k")
     )
+    vb = vc.select("name", "v", "cnt", F.lit(0).cast("long").alias("b"))
+    for level in range(levels):
+        bounds = vb.groupBy("name", "b").agg(F.percentile_approx("v", fractions, accuracy).alias("bounds"))
+        vb = vb.join(F.broadcast(bounds), ["name", "b"]).select(
+            "name", "v", "cnt", F.col("b").alias("up"),
+            (F.col("b") * buckets + F.size(F.filter("bounds", lambda x: x < F.col("v")))).alias("b"))
+        inside = Window.partitionBy("name", "up").orderBy("b")
+        totals = (vb.groupBy("name", "up", "b").agg(F.sum("cnt").alias("tot"))
+                  .withColumn("in", F.sum("tot").over(inside) - F.col("tot")))
+        targets = (
+            totals.join(targets.withColumnRenamed("b", "up"), ["name", "up"])
+            .withColumn("off", F.col("off") + F.col("in"))
+            .where((F.col("k") >= F.col("off")) & (F.col("k") < F.col("off") + F.col("tot")))
+            .select("name", "b", "off", "p", "h", "k_lo", "k")
+        )
+        vb = vb.drop("up")
+        if level + 1 < levels:  # the next level only looks at buckets with a rank in them
+            vb = vb.join(F.broadcast(targets.select("name", "b").distinct()), ["name", "b"], "left_semi")
     per_target = Window.partitionBy("name", "b", "p", "k").orderBy("v")
     picked = (
         vb.join(F.broadcast(targets), ["name", "b"])
