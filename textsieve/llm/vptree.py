@@ -16,16 +16,14 @@ the smaller id.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import Scratch, table
-from .vectors import matrix, split_vectors, vector_array
+from .vectors import matrix, split_vectors
 
 SHARD_ROWS, QUERY_ROWS, LEAF = 4096, 1024, 64
 #: production value; tests hold its recall against brute force
