@@ -246,9 +246,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         m = sent.value
         bins: Counter = Counter()
         for b in batches:
-            keep = [words_of(t.as_py()) for t, y in zip(b.column("text"), b.column("y").to_pylist()) if not y]
             best = []
-            for w in filter(None, keep):
+            for t, y in zip(b.column("text"), b.column("y").to_pylist()):
+                w = [] if y else words_of(t.as_py())
+                if not w:
+                    continue
                 s = m.scores(w)
                 bins.update(np.round(s * 20).astype(int).tolist())
                 found = segments(s)
@@ -307,11 +309,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for b in batches:
-            words = [words_of(t.as_py()) for t in b.column("text")]
-            cols = {"id": b.column("id"), "score": pa.array([m.probability(m.evidence(w)) for w in words], pa.float64())}
+            scores, found = [], []
+            for t in b.column("text"):  # the words of one text at a time
+                w = words_of(t.as_py())
+                scores.append(m.probability(m.evidence(w)))
+                if passages:
+                    found.append([dict(zip(("first", "end", "score", "e_value"), x)) for x in m.findings(w)])
+            cols = {"id": b.column("id"), "score": pa.array(scores, pa.float64())}
             if passages:
                 kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("e_value", pa.float64())]))
-                cols["passages"] = pa.array([[dict(zip(("first", "end", "score", "e_value"), x)) for x in m.findings(w)] for w in words], kind)
+                cols["passages"] = pa.array(found, kind)
             if carry:
                 cols["row"] = b.column("row")
             yield pa.RecordBatch.from_pydict(cols)
