@@ -48,7 +48,7 @@ def tokens(col) -> Column:
 
 def token_chars(tok: Column) -> Column:
     """Total code points over the tokens = non-whitespace length of the text."""
-    return F.aggregate(F.transform(tok, lambda t: F.length(t)), F.lit(0).cast("long"), lambda a, b: a + b)
+    return F.length(F.array_join(tok, "")).cast("long")
 
 
 def non_ws_length(col) -> Column:
