@@ -215,3 +215,29 @@ def test_small_categories_are_pooled(spark, monkeypatch):
     rows = [(i, "w " * (10 if i % 5 < 2 else 1), f"s{i % 5}", "en") for i in range(100)]
     out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()
     assert {r["source"] for r in out} == {"s0", "s1", mixing.OTHER} and len(out) == 100
+
+
+def test_every_category_is_raked_by_itself(spark):
+    """1,200 sources and 60 languages: tails have the goals of their members, and an asked-for value of the tail its own."""
+    rows = [(i, "w " * (100 if i < 1200 else 1), f"s{i % 1200}", "en") for i in range(3600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    out = mixing.mix(df, topic=F.lit("t"), keep=0.5).select("source", "probability").distinct().collect()
+    assert len(out) == 1200 and max(r["probability"] for r in out) - min(r["probability"] for r in out) < 1e-9
+    rows = [(i, "w " * (10 if i % 60 < 50 else 5), "s", f"l{i % 60:02}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    tokens = {}
+    for r in mixing.mix(df, topic=F.lit("t"), targets={"lang": {"l00": 0.5, "l59": 0.5}}, keep=0.01).collect():
+        tokens[r["lang"]] = tokens.get(r["lang"], 0) + r["probability"] * r["n_tokens"]
+    assert len(tokens) == 60 and tokens["l59"] > 0 and np.isclose(tokens["l59"], tokens["l00"])
+    assert np.isclose(sum(tokens.values()), tokens["l00"] + tokens["l59"])
+
+
+@pytest.mark.parametrize("targets", [None, {"source": {"a": 0.4, "b": 0.6}, "topic": {"none such": 1.0}}])
+def test_tables_rake_as_the_driver_does(spark, monkeypatch, targets):
+    rng = random.Random(9)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 80)), rng.choice(["a", "a", "a", "b", None]), rng.choice(["en", "de"])) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    few = {r["id"]: r["probability"] for r in mixing.mix(df, targets=targets, keep=0.1).collect()}
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", 0)
+    many = {r["id"]: r["probability"] for r in mixing.mix(df, targets=targets, keep=0.1).collect()}
+    assert set(few) == set(many) == set(range(400)) and all(np.isclose(few[i], many[i], atol=1e-7) for i in few)

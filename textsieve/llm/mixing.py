@@ -6,8 +6,9 @@ has.  A document is kept with the probability that its cell's raked tokens
 imply, by a hash of its id, so a run repeats exactly and lost tasks draw the
 same again.
 
-Counts cover all documents.  The cell table has a fixed bound: each dimension
-keeps its ``CATEGORIES`` largest values and pools the others into one.
+Counts cover all documents and every value of a dimension is raked by itself,
+however many there are.  The cells are a written table; up to ``DRIVER_CELLS``
+of them the driver rakes, more are raked by the same steps as written tables.
 """
 
 from __future__ import annotations
@@ -24,7 +25,11 @@ from pyspark.sql import types as T
 from .shared import Scratch, table
 
 DIMENSIONS = ("source", "lang", "topic")
-CATEGORIES = {"source": 1000, "lang": 50, "topic": 10}
+#: names to show, by dimension: only so many of the largest, the other values are raked by themselves too but returned as OTHER
+CATEGORIES: dict[str, int] = {}
+#: cells that the driver rakes at most
+DRIVER_CELLS = 50_000
+ROUNDS, TOLERANCE = 500, 1e-9
 OTHER = "(other)"
 NONE = "(none)"
 #: share of all tokens to keep, and the exponent that tempers natural shares where no targets are given
@@ -57,8 +62,8 @@ def counted(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def rake(tokens: np.ndarray, codes: np.ndarray, targets: list[np.ndarray], total: float, rounds: int = 500,
-         tolerance: float = 1e-9) -> np.ndarray:
+def rake(tokens: np.ndarray, codes: np.ndarray, targets: list[np.ndarray], total: float, rounds: int = ROUNDS,
+         tolerance: float = TOLERANCE) -> np.ndarray:
     """Tokens to take of each cell: marginals proportional to the targets as far as the cells' tokens allow.
 
     tokens: of each cell; codes[d]: the cells' category in dimension d;
@@ -77,16 +82,72 @@ def rake(tokens: np.ndarray, codes: np.ndarray, targets: list[np.ndarray], total
     return w
 
 
-def _largest(rows: DataFrame, d: str, limit: int) -> DataFrame:
-    """A dimension's values of most tokens: at most ``limit`` rows."""
-    return (rows.groupBy(F.col(d).alias("value")).agg(F.sum("n_tokens").alias("t")).orderBy(F.desc("t"), "value")
-            .limit(limit).select(F.col("value").alias(f"kept_{d}")))
+def rake_table(cells: DataFrame, goals: dict[str, DataFrame], total: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """``rake`` for any number of cells: the written table with the column w.
+
+    goals: (value, goal) of each dimension, in tokens.  A step joins the
+    marginals' factors, one row per value, with the cells; both are written.
+    """
+    scratch = Scratch(cells.sparkSession)
+    have = cells.agg(F.sum("tokens")).first()[0] or 0
+    w, name = scratch.put("raked", cells.withColumn("w", F.col("tokens") * F.lit(float(total / max(have, 1))))), "raked"
+    for i in range(rounds):
+        w = w.withColumn("last", F.col("w"))
+        for d, goal in goals.items():
+            marginal = w.groupBy(F.col(d).alias("value")).agg(F.sum("w").alias("have")).join(goal, "value")
+            factor = F.when(F.col("have") > 0, F.col("goal") / F.col("have")).otherwise(1.0)
+            factors = scratch.put(f"factors{i}-{d}", marginal.select("value", factor.alias("factor")))
+            step = w.join(factors, F.col(d) == F.col("value")).withColumn("w", F.least(F.col("w") * F.col("factor"), F.col("tokens").cast("double")))
+            w = scratch.put(f"raked{i}-{d}", step.select(*cells.columns, "w", "last"))
+            scratch.drop(name, f"factors{i}-{d}")
+            name = f"raked{i}-{d}"
+        if (w.agg(F.max(F.abs(F.col("w") - F.col("last")))).first()[0] or 0.0) <= tolerance * max(total, 1.0):
+            break
+    return w.drop("last")
+
+
+def _by_driver(cells: DataFrame, targets, keep: float, temper: float) -> DataFrame:
+    """(s, l, t, probability) of at most ``DRIVER_CELLS`` cells."""
+    rows = cells.orderBy(*DIMENSIONS).toPandas()
+    tokens = rows["tokens"].to_numpy(float)
+    codes, goals = [], []
+    for d in DIMENSIONS:
+        names, code = np.unique(rows[d].to_numpy(str), return_inverse=True)
+        natural = np.bincount(code, tokens, len(names))
+        goal = np.array([targets[d].get(x, 0.0) for x in names], float) if targets and d in targets else natural ** temper
+        codes.append(code)
+        goals.append(goal if goal.sum() > 0 else np.ones(len(names)))
+    w = rake(tokens, codes, goals, keep * tokens.sum())
+    rows["probability"] = np.divide(w, tokens, out=np.ones_like(w), where=tokens > 0)
+    return cells.sparkSession.createDataFrame(
+        [(*map(str, r[:3]), float(r[3])) for r in rows[[*DIMENSIONS, "probability"]].itertuples(index=False)],
+        "s string, l string, t string, probability double")
 
 
-def _pooled(rows: DataFrame, largest: dict[str, DataFrame]) -> DataFrame:
-    """Values outside the largest become one value (a no-op while there are few)."""
-    for d, top in largest.items():
-        rows = (rows.join(F.broadcast(top), F.col(d) == F.col(f"kept_{d}"), "left")
+def _by_tables(cells: DataFrame, targets, keep: float, temper: float, scratch: Scratch) -> DataFrame:
+    """(s, l, t, probability) of any number of cells."""
+    total = keep * (cells.agg(F.sum("tokens")).first()[0] or 0)
+    goals = {}
+    for d in DIMENSIONS:
+        values = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").cast("double").alias("n"))
+        if targets and d in targets:
+            asked = cells.sparkSession.createDataFrame([(k, float(v)) for k, v in targets[d].items()], "name string, share double")
+            values = values.join(asked, F.col("value") == F.col("name"), "left").select("value", F.coalesce("share", F.lit(0.0)).alias("goal"))
+        else:
+            values = values.select("value", F.pow("n", F.lit(float(temper))).alias("goal"))
+        values = scratch.put(f"goals-{d}", values)
+        whole, n = values.agg(F.sum("goal"), F.count("*")).first()
+        goals[d] = values.select("value", (F.col("goal") * F.lit(total / whole) if whole and whole > 0 else F.lit(total / max(n, 1))).alias("goal"))
+    share = F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(1.0)
+    return rake_table(cells, goals, total).select(*[F.col(d).alias(x) for d, x in zip(DIMENSIONS, "slt")], share.alias("probability"))
+
+
+def _shown(rows: DataFrame, counts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Values outside a dimension's largest under one name, where ``CATEGORIES`` has an entry."""
+    for d, limit in CATEGORIES.items():
+        top = (counts.groupBy(F.col(d).alias("value")).agg(F.sum("n_tokens").alias("t")).orderBy(F.desc("t"), "value")
+               .limit(limit).select(F.col("value").alias(f"kept_{d}")))
+        rows = (rows.join(F.broadcast(scratch.put(f"largest-{d}", top)), F.col(d) == F.col(f"kept_{d}"), "left")
                 .withColumn(d, F.coalesce(f"kept_{d}", F.lit(OTHER))).drop(f"kept_{d}"))
     return rows
 
@@ -113,26 +174,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic=N
     rows = rows.select("id", "n_tokens", *DIMENSIONS, *(["row"] if carry else []))
     scratch = Scratch(docs.sparkSession)
     counts = scratch.put("counted", rows.drop("row"))  # every text is read once for its counts
-    largest = {d: scratch.put(f"largest-{d}", _largest(counts, d, CATEGORIES[d])) for d in DIMENSIONS}
-    rows = _pooled(rows if carry else counts, largest)
-    cells = _pooled(counts, largest).groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")).orderBy(*DIMENSIONS).toPandas()
-    tokens = cells["tokens"].to_numpy(float)
-    codes, goals = [], []
-    for d in DIMENSIONS:
-        names, code = np.unique(cells[d].to_numpy(str), return_inverse=True)
-        natural = np.bincount(code, tokens, len(names))
-        goal = np.array([targets[d].get(x, 0.0) for x in names], float) if targets and d in targets else natural ** temper
-        codes.append(code)
-        goals.append(goal if goal.sum() > 0 else np.ones(len(names)))
-    w = rake(tokens, codes, goals, keep * tokens.sum())
-    cells["probability"] = np.divide(w, tokens, out=np.ones_like(w), where=tokens > 0)
-    spark = docs.sparkSession
-    cell = spark.createDataFrame([(*map(str, r[:3]), float(r[3])) for r in cells[[*DIMENSIONS, "probability"]].itertuples(index=False)],
-                                 "s string, l string, t string, probability double")  # bounded by CATEGORIES
+    cells = scratch.put("cells", counts.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")))
+    if cells.count() <= DRIVER_CELLS:
+        cell = F.broadcast(_by_driver(cells, targets, keep, temper))
+    else:
+        cell = _by_tables(cells, targets, keep, temper, scratch)
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    out = rows.join(F.broadcast(cell), (F.col("source") == F.col("s")) & (F.col("lang") == F.col("l")) & (F.col("topic") == F.col("t")))
-    return out.select("id", *DIMENSIONS, "n_tokens", "probability", draw.alias("draw"), (draw < F.col("probability")).alias("kept"),
-                      *(["row"] if carry else []))
+    out = (rows if carry else counts).join(cell, (F.col("source") == F.col("s")) & (F.col("lang") == F.col("l")) & (F.col("topic") == F.col("t")))
+    return _shown(out, counts, scratch).select(
+        "id", *DIMENSIONS, "n_tokens", "probability", draw.alias("draw"), (draw < F.col("probability")).alias("kept"), *(["row"] if carry else []))
 
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:
