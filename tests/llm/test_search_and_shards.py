@@ -170,6 +170,37 @@ def test_shards_that_fit_stay(spark):
     assert sharding.affected_shards(flow) == [] and out.filter("old_shard <> shard").count() == 0
 
 
+def test_shard_files_hold_every_row_once_with_its_slot(spark):
+    """Null ids, repeated ids and repeated rows, in shards that change and one (4) that does not."""
+    rng = random.Random(7)
+    rows = [(rng.choice([None, *range(150)]), "x" * rng.randint(0, 60), rng.choice([0, 0, 0, 1, 2]), i) for i in range(600)]
+    rows += [*rows[:20], *[(5, "same", 1, k) for k in range(9)], *[(9000 + i, "y" * 184, 4, i) for i in range(40)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, old int, n int").withColumns({c: F.lit(0) for c in ("id", "size", "Slot", "block", "row")})
+    total = sum(len(r[1]) + 16 for r in rows)
+    rest = total - 40 * 200
+    out, flow = sharding.reshard(df, F.col("old"), 5, capacity=[*sharding.equal_capacities(rest, 4), 40 * 200])
+    root = tempfile.mkdtemp(prefix="textsieve-test-") + "/shards"
+    written = sharding.rewrite_affected(df, out, flow, root)
+    assert written == [0, 1, 2, 3]
+    back = spark.read.parquet(root).collect()
+    assert sorted((str(r["doc_id"]), r["text"], r["old"], r["n"]) for r in back) == sorted((str(a), t, o, n) for a, t, o, n in rows if o != 4)
+    planned = sorted((r["shard"], r["slot"], str(r["id"]), r["size"], r["old_shard"]) for r in out.collect() if r["shard"] in written)
+    assert sorted((r["shard"], r["slot"], str(r["doc_id"]), len(r["text"]) + 16, r["old"]) for r in back) == planned
+
+
+def test_sharding_query_returns_what_its_files_hold(spark, monkeypatch):
+    roots = []
+    monkeypatch.setattr(sharding, "scratch_path", lambda *a: roots.append(tempfile.mkdtemp(prefix="textsieve-test-") + "/shards") or roots[-1])
+    sf = "/root/testdata/sf0.001"
+    got = {(r["doc_id"], r["shard"], r["slot"]) for r in sharding.op9_sharding(spark, sf).collect()}
+    files = spark.read.parquet(roots[0])
+    back = {(r["doc_id"], r["shard"], r["slot"]) for r in files.collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert back <= got and len(got) == docs.count() and len(back) > 0
+    assert files.drop("shard", "slot").exceptAll(docs).count() == 0
+    assert {r[0] for r in back}.isdisjoint(r[0] for r in got - back)
+
+
 # ---------------------------------------------------------------- mixing
 
 def test_raking_meets_the_marginals():

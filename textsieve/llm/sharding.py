@@ -6,22 +6,28 @@ byte that stays in the shard of its number is free); its solution says how many
 bytes go from each old shard to each new one.  Blocks are then laid end to end
 in each old shard and cut at the solution's boundaries, so whole blocks move
 and only a block at a boundary is split between rows.  The driver sees block
-and shard totals (a fixed number), never rows.  Only shards that lose or gain
-rows are written again.
+and shard totals (a fixed number), never and shard totals (a fixed number), never rows.  Only shards that lose or gain
+rows are written again: a row's key is its place (old shard, block, number in
+the block), so whole rows are dealt once, by new shard, and placed as planned.
 """
 
 from __future__ import annotations
 
 from collections import deque
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from textsieve.session import scratch_path
 
 from .shared import Scratch, table
 
 BLOCKS = 256
 #: bytes of a row besides its text
 ROW_BYTES = 16
+#: tasks that write a shard
+WRITERS = 8
 
 
 class FlowNetwork:
@@ -95,8 +101,52 @@ def equal_capacities(total: int, shards: int) -> list[int]:
     return [total // shards + (j < total % shards) for j in range(shards)]
 
 
+class Transfers(dict):
+    """Bytes by (old shard, new shard), and what places a row: its columns, block starts, cuts and slot shifts."""
+
+    columns: list[Column]
+    starts: DataFrame
+    bounds: DataFrame
+    offsets: DataFrame
+
+
+def _columns(old_shard, id_col: str, text_col: str, blocks: int) -> list[Column]:
+    """id, size, text_crc32, old_shard and block of a row."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    own, crc = F.col(id_col).cast("long"), F.crc32(text)
+    return [own.alias("id"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), crc.alias("text_crc32"),
+            F.coalesce(old_shard.cast("int"), F.lit(0)).alias("old_shard"), F.pmod(F.xxhash64(own, crc), F.lit(blocks)).cast("int").alias("block")]
+
+
+def _numbered(rows: DataFrame, *dealt: str) -> DataFrame:
+    """nth, a row's place in its block, and the bytes before it; rows that tie are alike in all that places them."""
+    order = Window.partitionBy(*dealt, "old_shard", "block").orderBy("text_crc32", "id", "size")
+    return (rows.withColumn("nth", F.row_number().over(order).cast("long"))
+            .withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")))
+
+
+def _begun(rows: DataFrame, starts: DataFrame, bounds: DataFrame) -> DataFrame:
+    """With the bytes before the row's block in its old shard, and the old shard's cuts."""
+    return (rows.join(F.broadcast(starts), (F.col("old_shard") == F.col("ks")) & (F.col("block") == F.col("kb")))
+            .join(F.broadcast(bounds), F.col("old_shard") == F.col("kc")))
+
+
+def _shard_at(byte: str) -> Column:
+    """The new shard of a byte of the old shard."""
+    return F.expr(f"element_at(filter(cuts, c -> c.upto > {byte}), 1).shard")
+
+
+def _middle(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("middle", F.col("first") + F.col("before") + F.expr("size div 2")).withColumn("shard", _shard_at("middle"))
+
+
+def _slotted(rows: DataFrame, offsets: DataFrame) -> DataFrame:
+    return (rows.join(F.broadcast(offsets), (F.col("shard") == F.col("fj")) & (F.col("old_shard") == F.col("fs")) & (F.col("block") == F.col("fb")))
+            .withColumn("slot", F.col("nth") + F.col("shift")))
+
+
 def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", text_col: str = "text",
-            capacity: list[int] | None = None, blocks: int = BLOCKS) -> tuple[DataFrame, dict[tuple[int, int], int]]:
+            capacity: list[int] | None = None, blocks: int = BLOCKS) -> tuple[DataFrame, Transfers]:
     """(id, size, text_crc32, old_shard, shard, slot) per row, and the byte transfers that led there.
 
     ``old_shard`` is a column of small integers (null counts as shard 0).
@@ -106,14 +156,9 @@ def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", tex
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
-                       F.crc32(text).alias("text_crc32"), F.coalesce(old_shard.cast("int"), F.lit(0)).alias("old_shard"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "text_crc32"), F.lit(blocks)).cast("int"))
-    # a row's place in its block: a block is a small part of a shard however large that is
-    order = Window.partitionBy("old_shard", "block").orderBy("text_crc32", "id", "size")
-    rows = scratch.put("rows", rows.withColumn("nth", F.row_number().over(order).cast("long"))
-                       .withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")))
+    columns = _columns(old_shard, id_col, text_col, blocks)
+    # a block is a small part of a shard however large that is
+    rows = scratch.put("rows", _numbered(docs.select(*columns)))
     # block totals: old shards x blocks numbers
     totals = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("size")).orderBy("old_shard", "block").collect()
     old: dict[int, int] = {}
@@ -121,7 +166,7 @@ def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", tex
     for r in totals:
         start.append((r["old_shard"], r["block"], old.get(r["old_shard"], 0)))
         old[r["old_shard"]] = old.get(r["old_shard"], 0) + r["size"]
-    flow = transfers(old, capacity or equal_capacities(sum(old.values()), shards))
+    flow = Transfers(transfers(old, capacity or equal_capacities(sum(old.values()), shards)))
     # cut each old shard's bytes at the flow's boundaries, the staying part first
     cuts: dict[int, list[tuple[int, int]]] = {k: [] for k in old}
     for (k, j), amount in sorted(flow.items(), key=lambda x: (x[0][0], x[0][0] != x[0][1], x[0][1])):
@@ -129,13 +174,7 @@ def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", tex
     starts = spark.createDataFrame(start, "ks int, kb int, first long")  # shards x blocks rows
     bounds = spark.createDataFrame([(k, [{"upto": u, "shard": j} for u, j in c]) for k, c in cuts.items()],
                                    "kc int, cuts array<struct<upto:long,shard:int>>")  # one row per old shard
-    middle = F.col("first") + F.col("before") + F.expr("size div 2")
-    placed = (rows.join(F.broadcast(starts), (F.col("old_shard") == F.col("ks")) & (F.col("block") == F.col("kb")))
-              .join(F.broadcast(bounds), F.col("old_shard") == F.col("kc"))
-              .withColumn("middle", middle)
-              .withColumn("shard", F.expr("element_at(filter(cuts, c -> c.upto > middle), 1).shard"))
-              .select("id", "size", "text_crc32", "old_shard", "block", "nth", "shard"))
-    placed = scratch.put("placed", placed)
+    placed = scratch.put("placed", _middle(_begun(rows, starts, bounds)).select("id", "size", "text_crc32", "old_shard", "block", "nth", "shard"))
     # pieces of blocks: a shard's slots are its pieces end to end
     pieces = placed.groupBy("shard", "old_shard", "block").agg(F.count("*").alias("c"), F.min("nth").alias("least"))
     offset, filled = [], {}
@@ -144,8 +183,8 @@ def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", tex
         offset.append((r["shard"], r["old_shard"], r["block"], at - r["least"]))
         filled[r["shard"]] = at + r["c"]
     offsets = spark.createDataFrame(offset, "fj int, fs int, fb int, shift long")
-    out = (placed.join(F.broadcast(offsets), (F.col("shard") == F.col("fj")) & (F.col("old_shard") == F.col("fs")) & (F.col("block") == F.col("fb")))
-           .select("id", "size", "text_crc32", "old_shard", "shard", (F.col("nth") + F.col("shift")).alias("slot")))
+    out = _slotted(placed, offsets).select("id", "size", "text_crc32", "old_shard", "shard", "slot")
+    flow.columns, flow.starts, flow.bounds, flow.offsets = columns, starts, bounds, offsets
     scratch.drop("rows")
     return out, flow
 
@@ -155,23 +194,48 @@ def affected_shards(flow: dict[tuple[int, int], int]) -> list[int]:
     return sorted({x for (k, j) in flow if k != j for x in (k, j)})
 
 
-def rewrite_affected(docs: DataFrame, assigned: DataFrame, flow: dict[tuple[int, int], int], root: str,
-                     id_col: str = "doc_id") -> list[int]:
+def rewrite_affected(docs: DataFrame, assigned: DataFrame, flow: Transfers, root: str) -> list[int]:
     """Write the new content of the affected shards below ``root`` as shard=<n> folders; returns their numbers.
 
-    ``docs`` must have unique ids; a column named shard is replaced.  Readers take affected shards from ``root``
-    and the other shards from where they are.
+    ``assigned`` and ``flow`` are what ``reshard`` returned for ``docs``.  Files
+    hold all columns and the slot; columns named shard or slot are replaced.
+    Null and repeated ids are rows like any other.  Without affected shards
+    nothing is written.  Readers take affected shards from ``root`` and the
+    other shards from where they are.
     """
     shards = affected_shards(flow)
-    place = assigned.select(F.col("id").alias("moved_id"), "shard").filter(F.col("shard").isin(shards))
-    (docs.drop("shard").join(place, F.col(id_col).eqNullSafe(F.col("moved_id"))).drop("moved_id")
-     .repartition("shard", F.pmod(F.xxhash64(id_col), F.lit(8))).write.mode("overwrite").partitionBy("shard").parquet(root))
+    if not shards:
+        return shards
+    keep = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    rows = docs.select(*flow.columns, F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
+    # an old shard's rows go to affected shards if it is one itself, and stay if not
+    rows = _begun(rows.filter(F.col("old_shard").isin(shards)), flow.starts, flow.bounds)
+    # a block's rows go together to where its first byte goes, so nearly all rows are where they are written
+    rows = rows.withColumn("dest", _shard_at("first")).withColumn("writer", F.pmod("block", F.lit(WRITERS))).repartition("dest", "writer")
+    rows = _slotted(_middle(_numbered(rows, "dest", "writer")), flow.offsets)
+    rows.select("row.*", "slot", "shard").write.mode("overwrite").partitionBy("shard").parquet(root)
+    written, due = docs.sparkSession.read.parquet(root).count(), assigned.filter(F.col("shard").isin(shards)).count()
+    if written != due:
+        raise RuntimeError(f"{written} rows were written to the affected shards instead of {due}")
     return shards
 
 
+def resharded(docs: DataFrame, old_shard, shards: int, root: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, size, text_crc32, shard, slot) of every row after the affected shards are written below ``root``: theirs as read from the files."""
+    assigned, flow = reshard(docs, old_shard, shards, id_col, text_col)
+    names = ["id", "size", "text_crc32", "shard", "slot"]
+    written = rewrite_affected(docs, assigned, flow, root)
+    if not written:
+        return assigned.select(*names)
+    schema = T.StructType([f for f in docs.schema.fields if f.name.lower() not in ("shard", "slot")]).add("slot", T.LongType()).add("shard", T.IntegerType())
+    files = docs.sparkSession.read.schema(schema).parquet(root)
+    files = files.select(*_columns(F.lit(0), id_col, text_col, 1)[:3], "shard", "slot")
+    return files.unionByName(assigned.filter(~F.col("shard").isin(written)).select(*names))
+
+
 def op9_sharding(spark, sf_dir: str) -> DataFrame:
     """Documents that lie in 32 shards by source (so one is a third of all) into 40 equal ones."""
     docs = table(spark, sf_dir, "documents")
-    out, _ = reshard(docs, F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(32)), 40)
+    out = resharded(docs, F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(32)), 40, scratch_path(spark, "shards"))
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
