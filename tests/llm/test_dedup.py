@@ -227,3 +227,15 @@ def test_metric_join_against_brute_force(spark, monkeypatch):
     assert out == expected
     assert metric_join.near_duplicates(df.limit(0)).count() == 0
     assert metric_join.near_duplicates(df.filter("vec_id > 1000")).count() == len(bad)
+
+
+def test_metric_join_null_and_repeated_ids(spark):
+    near = lambda a: [float(np.cos(a)), float(np.sin(a))]
+    rows = [(7, near(0.0)), (7, near(0.1)), (9, near(0.2)), (None, near(0.3)), (None, near(0.3)),  # one group, two vectors of id 7
+            (None, near(2.0)), (None, near(2.1)),  # a group without an id
+            (7, near(-2.0)), (3, near(-2.1)),  # id 7 again, in another group
+            (None, near(3.5)), (None, None)]
+    out = metric_join.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    expected = [(7, 4, 7, True), (7, 4, 7, True), (9, 4, 7, False), (None, 4, 7, False), (None, 4, 7, False),
+                (None, 1, None, True), (None, 1, None, True), (7, 1, 3, False), (3, 1, 3, True), (None, 0, None, True), (None, 0, None, True)]
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, expected))

@@ -10,7 +10,7 @@ link of its homes.
 
 A cell's homes and guests are dealt in chunks, so no task holds more than a
 pair of chunks, however hot a cell is.  Equal vectors are one row with a
-multiplicity.  A pair of chunks puts out one count per home and a spanning
+multiplicity and a key of its own; the ids come in at the end.  A pair of chunks puts out one count per home and a spanning
 forest of its links, never the pairs.  Where vectors have no clusters every
 cell borders on every other; the join is then exact and quadratic.
 """
@@ -44,7 +44,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def choose_pivots(vectors: DataFrame, n: int) -> np.ndarray:
     """Pivots far from each other, from a bounded sample by hash."""
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).select("v").collect()
+    rows = vectors.orderBy(F.xxhash64("v"), "key").limit(PIVOT_SAMPLE).select("v").collect()
     x = _unit(np.array([r["v"] for r in rows], float))
     picked, far = [0], np.full(len(x), np.inf)
     while len(picked) < min(max(1, math.ceil(n / PER_PIVOT)), MAX_PIVOTS, len(x)):
@@ -97,7 +97,7 @@ def _join(cosine: float, dim: int):
     def run(rows: pa.Table) -> pa.Table:
         home = rows.column("home").to_numpy()
         x = _unit(matrix(rows.column("v").combine_chunks(), dim))
-        ids, mult = rows.column("id").to_numpy(), rows.column("mult").to_numpy()
+        ids, mult = rows.column("key").to_numpy(), rows.column("mult").to_numpy()
         hx, hid, gx, gid, gm = x[home], ids[home], x[~home], ids[~home], mult[~home]
         h32, g32 = hx.astype(np.float32), gx.astype(np.float32)
         out_id, out_n, out_to = [], [], []
@@ -118,7 +118,7 @@ def _join(cosine: float, dim: int):
             out_n += [count[found], *(np.zeros(len(u), np.int64) for u in fa)]
             out_to += [hid[a + found], *fb]
         one = lambda parts: np.concatenate([np.zeros(0, np.int64), *parts]).astype(np.int64)
-        return pa.table({"id": one(out_id), "links": one(out_n), "to": one(out_to)})
+        return pa.table({"key": one(out_id), "links": one(out_n), "to": one(out_to)})
 
     return run
 
@@ -129,14 +129,19 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     Links are pairs of rows of cosine >= ``cosine`` in double precision.
     Unusable vectors (see ``split_vectors``) link with nothing.  ``component``
     is the smallest id reachable, ``kept`` marks it.  Equal vectors are linked;
-    repeated rows (equal ids too) count as other vectors of their group; an
-    empty table gives no rows; extra columns are ignored.
+    repeated rows (equal ids too) count as other vectors of their group, and so
+    do different vectors of one id.  Null ids link like others: ``component`` is
+    the smallest id that is not null, or null if the group has none, and a null
+    id is kept only there; rows of an id in several groups keep their own
+    group's values.  ``kept`` marks all rows of a group with its smallest id.
+    An empty table gives no rows; extra columns are ignored.
     """
     spark = df.sparkSession
     scratch = Scratch(spark)
     usable, rest, dim = split_vectors(df, id_col, vec_col, scratch)
     alone = rest.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"), F.lit(True).alias("kept"))
-    distinct = scratch.put("distinct", usable.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("mult")))
+    distinct = usable.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("mult"))
+    distinct = scratch.put("distinct", distinct.withColumn("key", F.monotonically_increasing_id()))  # written once, so the keys stay
     n = distinct.count()
     if not n:
         return alone
@@ -164,7 +169,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
             if not b.num_rows:
                 continue
             raw = matrix(b.column("v"), dim)
-            ids, mult = b.column("id").to_numpy(), b.column("mult").to_numpy()
+            ids, mult = b.column("key").to_numpy(), b.column("mult").to_numpy()
             d = _distances(_unit(raw), pivots)
             own, chunk = d.argmin(axis=1), (pd.util.hash_array(ids) >> np.uint64(1)).astype(np.int64)
             for c in range(len(pivots)):
@@ -176,16 +181,18 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
                             pa.array(np.full(len(rows), c, np.int32)), pa.array((m if home else np.full(len(rows), k)).astype(np.int32)),
                             pa.array((np.full(len(rows), k) if home else m).astype(np.int32)), pa.array(np.full(len(rows), home)),
                             pa.array(ids[rows]), pa.array(mult[rows]), vector_array(raw[rows])],
-                            names=["cell", "a", "b", "home", "id", "mult", "v"])
-
-    dealt = distinct.mapInArrow(deal, "cell int, a int, b int, home boolean, id long, mult long, v array<double>")
-    found = scratch.put("found", dealt.groupBy("cell", "a", "b").applyInArrow(_join(cosine, dim), "id long, links long, to long"))
-    counts = scratch.put("counts", found.groupBy(F.col("id").alias("cid")).agg(F.sum("links").alias("links")))
-    comp = scratch.put("components", connected_components(found.filter("id <> to"), "id", "to"))
-    classes = (distinct.join(counts, F.col("id") == F.col("cid"), "left").join(comp, F.col("id") == F.col("node"), "left")
-               .select(F.col("v").alias("w"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("root", "id").alias("component")))
+                            names=["cell", "a", "b", "home", "key", "mult", "v"])
+
+    dealt = distinct.select("key", "mult", "v").mapInArrow(deal, "cell int, a int, b int, home boolean, key long, mult long, v array<double>")
+    found = scratch.put("found", dealt.groupBy("cell", "a", "b").applyInArrow(_join(cosine, dim), "key long, links long, to long"))
+    counts = scratch.put("counts", found.groupBy(F.col("key").alias("ckey")).agg(F.sum("links").alias("links")))
+    comp = scratch.put("components", connected_components(found.filter("key <> to"), "key", "to"))
+    classes = (distinct.join(counts, F.col("key") == F.col("ckey"), "left").join(comp, F.col("key") == F.col("node"), "left")
+               .select(F.col("v").alias("w"), "id", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("root", "key").alias("root")))
     classes = scratch.put("classes", classes)
-    out = usable.join(classes, F.col("v") == F.col("w")).select("id", "n_links", "component", (F.col("id") == F.col("component")).alias("kept"))
+    least = scratch.put("least", classes.groupBy(F.col("root").alias("top")).agg(F.min("id").alias("component")))
+    named = scratch.put("named", classes.join(least, F.col("root") == F.col("top")).select("w", "n_links", "component"))
+    out = usable.join(named, F.col("v") == F.col("w")).select("id", "n_links", "component", F.col("id").eqNullSafe(F.col("component")).alias("kept"))
     return out.unionByName(alone)
 
 
