@@ -24,13 +24,14 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group the document with the smallest id, once; documents without an id stay."""
-    groups = simhash.simhash_groups(docs)
-    first = groups.filter("id = component").select(F.col("id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("_first"), "left_semi")
-    # rows that repeat an id are one document (the join has dealt the rows by id already)
-    same = Window.partitionBy("doc_id").orderBy(*[c for c in docs.columns if c != "doc_id"])
-    kept = kept.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1").drop("_nth")
+    """Of each SimHash group the document with the smallest id (of several texts with it the least by hash), once; documents without an id stay."""
+    groups = simhash.simhash_groups(docs, traced=True).filter("id = component")
+    first = groups.groupBy("root").agg(F.min("id").alias("_first"), F.min("digest").alias("_text"))
+    kept = docs.withColumn("_digest", simhash.text_digest("text"))
+    kept = kept.join(first, (F.col("doc_id") == F.col("_first")) & (F.col("_digest") == F.col("_text")), "left_semi")
+    # rows that repeat an id and its text are one document (the join has dealt the rows by both already)
+    same = Window.partitionBy("doc_id", "_digest").orderBy(*[c for c in docs.columns if c != "doc_id"])
+    kept = kept.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1").drop("_nth", "_digest")
     return kept.unionByName(docs.filter("doc_id is null"))
 
 

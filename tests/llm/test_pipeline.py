@@ -1,6 +1,7 @@
 """The registered queries of this subpackage, and the pipeline against a brute-force version of its stages."""
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -79,3 +80,12 @@ def test_stages_keep_columns_and_handle_odd_rows(spark):
         if name in ("simhash_near_duplicates", "suffix_array_dedup"):
             assert out.filter(F.col("doc_id").isNull()).count() == 2
     assert corpus_pipeline.STAGES[-1][1](spark, rows, SF).count() == rows.count()
+
+
+def test_other_texts_of_a_repeated_id_stay(spark):
+    rng = random.Random(3)
+    a, b, c = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(60)) for _ in range(3))
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 1), (1, a, "en", "s", 1), (2, a, "en", "s", 1), (3, b, "en", "s", 1), (4, c, "en", "s", 1), (None, c, "en", "s", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    out = corpus_pipeline.keep_one_of_each_group(spark, spark.createDataFrame(rows, schema), SF).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in out) == sorted([("1", a), ("1", b), ("4", c), ("None", c)])

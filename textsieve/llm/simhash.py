@@ -72,15 +72,23 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """(id, fp long) of every row; fp holds the 64 bits as a signed long."""
+def text_digest(text_col: str):
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, traced: bool = False) -> DataFrame:
+    """(id, fp long) of every row, and on request digest, a hash of the text; fp holds the 64 bits as a signed long."""
+    more = ["digest"] if traced else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), words) for t in b.column("text")), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fps.view(np.int64)), *map(b.column, more)], names=["id", "fp", *more])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "id long, fp long")
+    rows = id_and_text(docs, id_col, text_col)
+    if traced:
+        rows = rows.withColumn("digest", text_digest("text"))
+    return rows.mapInArrow(run, "id long, fp long" + ", digest long" * traced)
 
 
 # ---------------------------------------------------------------- partitions and thresholds
@@ -320,27 +328,30 @@ def hamming_links(fps: DataFrame, max_bits: int = 3, partitions: tuple[int, ...]
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
-                   max_bits: int = 3) -> DataFrame:
+                   max_bits: int = 3, traced: bool = False) -> DataFrame:
     """(id, fp, component): component = smallest id reachable over links, itself included.
 
+    On request also digest, a hash of the text, and root, the group's smallest
+    fingerprint (ids that repeat can be the smallest of several groups).
+
     Null and empty texts and texts without words have fingerprint zero and are
     linked like any other; equal rows each get a row; rows with a null id are
     kept and get the smallest id of their group that is not null; an empty
     table gives no rows.  Extra columns are ignored.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.put("fingerprints", fingerprints(docs, id_col, text_col, words))
+    rows = scratch.put("fingerprints", fingerprints(docs, id_col, text_col, words, traced))
     classes = scratch.put("classes", rows.groupBy("fp").agg(F.min("id").alias("low")))
     links = hamming_links(classes.select("fp"), max_bits)
     comp = scratch.put("components", connected_components(links, "a", "b"))
     low = (classes.join(comp, classes["fp"] == comp["node"])
            .groupBy(F.col("root").alias("r")).agg(F.min("low").alias("component")))
     low = scratch.put("lowest", low)
-    named = scratch.put("named", comp.join(low, F.col("root") == F.col("r")).select("node", "component"))
+    named = scratch.put("named", comp.join(low, F.col("root") == F.col("r")).select("node", "component", "root"))
     found = scratch.put("found", classes.join(named, classes["fp"] == named["node"], "left")
-                        .select(F.col("fp").alias("f"), F.coalesce("component", "low").alias("component")))
+                        .select(F.col("fp").alias("f"), F.coalesce("component", "low").alias("component"), F.coalesce("root", "fp").alias("root")))
     scratch.drop("classes", "components", "lowest", "named")
-    return rows.join(found, rows["fp"] == found["f"]).select("id", "fp", "component")
+    return rows.join(found, rows["fp"] == found["f"]).select("id", "fp", "component", *(["digest", "root"] if traced else []))
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
