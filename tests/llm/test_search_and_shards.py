@@ -272,3 +272,9 @@ def test_tables_rake_as_the_driver_does(spark, monkeypatch, targets):
     monkeypatch.setattr(mixing, "DRIVER_CELLS", 0)
     many = {r["id"]: r["probability"] for r in mixing.mix(df, targets=targets, keep=0.1).collect()}
     assert set(few) == set(many) == set(range(400)) and all(np.isclose(few[i], many[i], atol=1e-7) for i in few)
+
+
+def test_documents_without_an_id_have_draws_of_their_own(spark):
+    rows = [(None, f"{i} w", "s", "en") for i in range(2000)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"), keep=0.5).collect()
+    assert len({r["draw"] for r in out}) == 2000 and abs(sum(r["kept"] for r in out) - 1000) < 120

@@ -160,18 +160,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic=N
     request row (all input columns).  A dimension without targets aims at its
     natural shares to the power ``temper``; target categories that do not occur
     are ignored and occurring ones without a target get none.  Null categories
-    are the category "(none)".  Cells without tokens are kept whole, and so are
+    are the category "(none)".  The draw is a hash of the id, or of the text
+    where the id is null.  Cells without tokens are kept whole, and so are
     documents without words in them; repeated rows share one draw; an empty
     table gives no rows.
     """
     own = [F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if carry else []
     given = [topic.cast("string").alias("given")] if topic is not None else []
     rows = counted(docs.select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+        F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))).alias("drawn"),
+        F.col(text_col).cast("string").alias("text"),
         *[F.coalesce(F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string"), F.lit(NONE)).alias(c) for c in ("source", "lang")],
         *given, *own))
     rows = rows.withColumn("topic", F.coalesce(F.col("given") if given else form_topic(), F.lit(NONE)))
-    rows = rows.select("id", "n_tokens", *DIMENSIONS, *(["row"] if carry else []))
+    rows = rows.select("id", "drawn", "n_tokens", *DIMENSIONS, *(["row"] if carry else []))
     scratch = Scratch(docs.sparkSession)
     counts = scratch.put("counted", rows.drop("row"))  # every text is read once for its counts
     cells = scratch.put("cells", counts.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")))
@@ -179,7 +181,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic=N
         cell = F.broadcast(_by_driver(cells, targets, keep, temper))
     else:
         cell = _by_tables(cells, targets, keep, temper, scratch)
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("drawn")), F.lit(1 << 53)) / F.lit(float(1 << 53))
     out = (rows if carry else counts).join(cell, (F.col("source") == F.col("s")) & (F.col("lang") == F.col("l")) & (F.col("topic") == F.col("t")))
     return _shown(out, counts, scratch).select(
         "id", *DIMENSIONS, "n_tokens", "probability", draw.alias("draw"), (draw < F.col("probability")).alias("kept"), *(["row"] if carry else []))
