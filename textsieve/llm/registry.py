@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op5_bpe
 from .chat import OP7_SQL, op7_chat
+from .lexical import OP11_SQL, op11_lexical
 from .metric_join import op4_embeddings
 from .mixing import op10_mixing
 from .sharding import op9_sharding
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
+    "op11_lexical": op11_lexical,
 }
 
 ORACLE_SQL = {
     "op1_urls": OP1_SQL,
     "op7_chat": OP7_SQL,
+    "op11_lexical": OP11_SQL,
 }
