@@ -13,6 +13,7 @@ from .suffixes import op2_suffixes
 from .toxicity import op8_toxicity
 from .urls import OP1_SQL, op1_urls
 from .vptree import op6_nearest
+from .warc import OP13_SQL, op13_warc
 
 QUERIES = {
     "op1_urls": op1_urls,
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
     "op11_lexical": op11_lexical,
+    "op13_warc": op13_warc,
 }
 
 ORACLE_SQL = {
     "op1_urls": OP1_SQL,
     "op7_chat": OP7_SQL,
     "op11_lexical": OP11_SQL,
+    "op13_warc": OP13_SQL,
 }
