@@ -11,6 +11,7 @@ from .sharding import op9_sharding
 from .simhash import op3_simhash
 from .suffixes import op2_suffixes
 from .toxicity import op8_toxicity
+from .trie import OP12_SQL, op12_trie
 from .urls import OP1_SQL, op1_urls
 from .vptree import op6_nearest
 from .warc import OP13_SQL, op13_warc
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
     "op11_lexical": op11_lexical,
+    "op12_trie": op12_trie,
     "op13_warc": op13_warc,
 }
 
@@ -34,5 +36,6 @@ ORACLE_SQL = {
     "op1_urls": OP1_SQL,
     "op7_chat": OP7_SQL,
     "op11_lexical": OP11_SQL,
+    "op12_trie": OP12_SQL,
     "op13_warc": OP13_SQL,
 }
