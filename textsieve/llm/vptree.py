@@ -124,13 +124,13 @@ def _search(dim: int, top_norm: float, k: int, factor: float):
     def run(rows: pa.Table) -> pa.Table:
         is_query = rows.column("query").to_numpy()
         v = matrix(rows.column("v").combine_chunks(), dim)
-        ids = rows.column("id").to_numpy()
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        ids, keys = rows.column("id").to_numpy(), rows.column("key").to_numpy()[~is_query]
+        empty = pa.table({**{c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "key")}, "score": pa.array([], pa.float64())})
         if is_query.all() or not is_query.any():
             return empty
         s = Search(v[is_query], ids[is_query], v[~is_query], ids[~is_query], top_norm, k, factor)
         q, n = np.nonzero(s.row >= 0)
-        return pa.table({"query_id": s.q_ids[q], "vec_id": s.x_ids[s.row[q, n]], "score": s.score[q, n]})
+        return pa.table({"query_id": s.q_ids[q], "vec_id": s.x_ids[s.row[q, n]], "key": keys[s.row[q, n]], "score": s.score[q, n]})
 
     return run
 
@@ -141,13 +141,15 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "emb
 
     ``is_query`` is a condition on the column ``id``; a query's own id is no
     candidate.  Unusable vectors (see ``split_vectors``) take no part, nor do
-    rows with a null id; repeated rows are indexed once; fewer than k
-    candidates give fewer rows; an empty table gives none; extra columns are ignored.
+    rows with a null id; repeated rows are indexed once; other vectors of one id
+    are candidates of their own, and a query with several vectors gives each
+    candidate its best score over them; fewer than k candidates give fewer rows;
+    an empty table gives none; extra columns are ignored.
     """
     spark = df.sparkSession
     scratch = Scratch(spark)
     usable, _, dim = split_vectors(df.filter(F.col(id_col).isNotNull()), id_col, vec_col, scratch)
-    usable = scratch.put("indexed", usable.dropDuplicates(["id"]))
+    usable = scratch.put("indexed", usable.distinct().withColumn("key", F.monotonically_increasing_id()))
     queries = usable.filter(is_query)
     n, m = usable.count(), queries.count()
     schema = "query_id long, rank int, vec_id long, score double"
@@ -156,13 +158,15 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "emb
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     top_norm = math.sqrt(usable.agg(F.max(norm)).first()[0]) * (1 + 1e-12)
     shards, blocks = math.ceil(n / shard_rows), math.ceil(m / query_rows)
-    turn = lambda parts: F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
+    turn = lambda parts: F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     # queries in blocks against all shards
-    rows = (usable.select(turn(shards).alias("shard"), every(blocks).alias("block"), F.lit(False).alias("query"), "id", "v")
-            .unionByName(queries.select(every(shards).alias("shard"), turn(blocks).alias("block"), F.lit(True).alias("query"), "id", "v")))
-    found = (rows.groupBy("shard", "block").applyInArrow(_search(dim, top_norm, k, factor), "query_id long, vec_id long, score double"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    rows = (usable.select(turn(shards).alias("shard"), every(blocks).alias("block"), F.lit(False).alias("query"), "id", "key", "v")
+            .unionByName(queries.select(every(shards).alias("shard"), turn(blocks).alias("block"), F.lit(True).alias("query"), "id", "key", "v")))
+    found = (rows.groupBy("shard", "block").applyInArrow(_search(dim, top_norm, k, factor), "query_id long, vec_id long, key long, score double"))
+    # a query with several vectors: of each candidate the best score
+    found = found.groupBy("query_id", "vec_id", "key").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "key")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
