@@ -19,9 +19,9 @@ from textsieve.llm.registry import QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_the_operators_and_the_pipeline_are_registered():
     names = E.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) <= set(names) and "pipeline" in names
     assert [s for s, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash_near_duplicates", "suffix_array_dedup", "mixing", "bpe_tokens"]
 
@@ -89,3 +89,23 @@ def test_other_texts_of_a_repeated_id_stay(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     out = corpus_pipeline.keep_one_of_each_group(spark, spark.createDataFrame(rows, schema), SF).collect()
     assert sorted((str(r["doc_id"]), r["text"]) for r in out) == sorted([("1", a), ("1", b), ("4", c), ("None", c)])
+
+
+def test_stages_keep_any_other_columns(spark):
+    base = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
+    names = ["_digest", "_nth", "my col", "a.b", "row", "kept", "n_removed", "id", "digest", "score", "topic", "probability", "tick`ed"]
+    rows = base.select("*", *[F.concat(F.lit(f"{n}-"), F.col("doc_id").cast("string")).alias(n) for n in names],
+                       F.create_map(F.lit("k"), F.col("doc_id")).alias("a map"), F.struct(F.col("lang").alias("x y"), F.col("doc_id").alias("z.w")).alias("st.ruct"))
+    rows = rows.unionByName(rows.limit(1)).unionByName(rows.limit(1).withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.lit(9999).cast("long")))
+    want = {r["doc_id"]: r for r in rows.filter("text is not null").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rows, SF)
+        assert out.columns == rows.columns and [f.dataType for f in out.schema] == [f.dataType for f in rows.schema], name
+        got = out.collect()
+        assert got, name
+        for r in got:
+            if r["text"] is not None:
+                assert [r[c] for c in rows.columns if c not in ("text", "n_chars")] == [want[r["doc_id"]][c] for c in rows.columns if c not in ("text", "n_chars")], name
+        if name == "simhash_near_duplicates":
+            assert sum(r["doc_id"] == 9999 for r in got) == 1
+    assert corpus_pipeline.STAGES[-1][1](spark, rows, SF).count() == rows.count()

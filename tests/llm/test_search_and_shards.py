@@ -278,3 +278,10 @@ def test_documents_without_an_id_have_draws_of_their_own(spark):
     rows = [(None, f"{i} w", "s", "en") for i in range(2000)]
     out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"), keep=0.5).collect()
     assert len({r["draw"] for r in out}) == 2000 and abs(sum(r["kept"] for r in out) - 1000) < 120
+
+
+def test_other_vectors_of_one_id_are_candidates(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 5.0]), (1, [0.0, 5.0]), (3, [0.5, 0.5]), (20, [0.0, 1.0]), (20, [1.0, 0.0]), (7, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in vptree.nearest(df, F.col("id") % 20 == 0, k=9, shard_rows=2).orderBy("rank").collect()]
+    assert got == [(1, 1, 5.0), (2, 1, 1.0), (3, 3, 0.5), (4, 7, 0.0)]

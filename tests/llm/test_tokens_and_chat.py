@@ -137,3 +137,11 @@ def test_toxicity_without_labels(judged):
         scores = {r["score"] for r in toxicity.score(docs, toxicity.fit(docs, part)).collect()}
         assert len(scores) == 1 and 0 <= scores.pop() <= 0.5
     assert toxicity.fit(docs.limit(0), labels).sure == {}
+
+
+def test_repeated_labelled_ids_reach_the_driver_once(spark):
+    docs = [(1, f"fine word{i}") for i in range(300)] + [(2, "awful nasty")] * 20 + [(i, "plain text here") for i in range(3, 40)]
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 0), (None, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), labels)
+    scored = {r["id"]: r["score"] for r in toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()}
+    assert set(scored) == set(range(1, 40)) and all(0 <= s <= 1 for s in scored.values())

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import Scratch, table
+from .shared import Scratch, column, table, whole_row
 
 DIMENSIONS = ("source", "lang", "topic")
 #: names to show, by dimension: only so many of the largest, the other values are raked by themselves too but returned as OTHER
@@ -165,11 +165,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic=N
     documents without words in them; repeated rows share one draw; an empty
     table gives no rows.
     """
-    own = [F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if carry else []
+    own = [whole_row(docs).alias("row")] if carry else []
     given = [topic.cast("string").alias("given")] if topic is not None else []
     rows = counted(docs.select(
-        F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))).alias("drawn"),
-        F.col(text_col).cast("string").alias("text"),
+        column(id_col).cast("long").alias("id"), F.coalesce(column(id_col).cast("long"), F.xxhash64(column(text_col).cast("string"))).alias("drawn"),
+        column(text_col).cast("string").alias("text"),
         *[F.coalesce(F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string"), F.lit(NONE)).alias(c) for c in ("source", "lang")],
         *given, *own))
     rows = rows.withColumn("topic", F.coalesce(F.col("given") if given else form_topic(), F.lit(NONE)))

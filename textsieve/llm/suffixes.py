@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch, table
+from .shared import Scratch, column, fields, table, whole_row
 
 LENGTH = 200
 GRAM = 40
@@ -355,15 +355,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other and lose every byte that a LENGTH-byte string covers; a null id is an id like
     any other; an empty table gives no rows.
     """
-    text = F.col(text_col).cast("string")
-    own = F.struct(*[F.col(c) for c in docs.columns]) if carry else F.struct(text.alias(text_col))
+    text = column(text_col).cast("string")
+    own = whole_row(docs) if carry else F.struct(text.alias(text_col))
     # the key holds the text's hash, so that two rows with one id stay apart
-    full = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("rk"), own.alias("row"))
+    full = docs.select(column(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("rk"), own.alias("row"))
     of_row = F.col("row").getField(text_col).cast("string").alias("text")
     spans = repeated_spans(full.select("id", "rk", of_row), block_rows)
-    kind = full.schema["row"].dataType.simpleString()
-    schema = ("id long, n_bytes long, n_removed long, n_spans long" + ", kept string" * keep_text
-              + ", kept_sha256 string" * digests + f", row {kind}" * carry)
+    schema = fields("id long, n_bytes long, n_removed long, n_spans long" + ", kept string" * keep_text + ", kept_sha256 string" * digests,
+                    **({"row": full.schema["row"].dataType} if carry else {}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch, id_and_text, table
+from .shared import Scratch, column, fields, id_and_text, table, whole_row
 
 MAX_FEATURES = 1 << 16
 MAX_LABELLED = 20_000
@@ -232,7 +232,12 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         max_labelled: int = MAX_LABELLED) -> Model:
-    """Log-odds, extreme-value parameters and score curve.  Without both labels every score is the smoothed base rate."""
+    """Log-odds, extreme-value parameters and score curve.  Without both labels every score is the smoothed base rate.
+
+    An id with several labels has the largest; all rows of a labelled id count
+    for the log-odds, and the curve sees their least evidence.  Rows and
+    labels without an id are not labelled; null texts hold no words.
+    """
     scratch = Scratch(docs.sparkSession)
     drawn = scratch.put("labels", _bounded_labels(labels, id_col, label_col, max_labelled))
     rows = id_and_text(docs, id_col, text_col)
@@ -278,9 +283,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         m = sent.value
         for b in batches:
             x = [m.evidence(words_of(t.as_py())) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), b.column("y")], names=["x", "y"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(x, pa.float64()), b.column("y")], names=["id", "x", "y"])
 
-    seen = ys.select("text", "y").mapInArrow(evidence, "x double, y int").toPandas()  # <= max_labelled rows and their copies
+    # rows of one id are one labelled text, of the least evidence: at most max_labelled rows reach the driver
+    seen = ys.select("id", "text", "y").mapInArrow(evidence, "id long, x double, y int").groupBy("id", "y").agg(F.min("x").alias("x")).toPandas()
     x, y = seen["x"].to_numpy(float), seen["y"].to_numpy(float)
     if len(y):
         model.slope, model.offset = _logistic(x, y)
@@ -301,10 +307,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     extra columns are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    own = F.struct(*[F.col(c) for c in docs.columns]) if carry else F.lit(None).cast("int")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), own.alias("row"))
-    schema = ("id long, score double" + ", passages array<struct<first:int,end:int,score:double,e_value:double>>" * passages
-              + f", row {rows.schema['row'].dataType.simpleString()}" * carry)
+    rows = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("string").alias("text"), *([whole_row(docs).alias("row")] if carry else []))
+    schema = fields("id long, score double" + ", passages array<struct<first:int,end:int,score:double,e_value:double>>" * passages,
+                    **({"row": rows.schema["row"].dataType} if carry else {}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
@@ -323,7 +328,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 cols["row"] = b.column("row")
             yield pa.RecordBatch.from_pydict(cols)
 
-    return (rows if carry else rows.drop("row")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def held_out(col) -> "F.Column":
