@@ -3,6 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from textsieve import patterns as P
+from textsieve.operators import candidates as C
 from textsieve.plans import lifecycles as L
 
 TE_WORDS = ["అమ్మ", "నాన్న", "ప్రేమ", "పాట", "మనసు", "వెన్నెల", "చిలుక", "గాలి", "నది", "కల"]
@@ -129,3 +130,27 @@ def test_write_lyrics_files_and_requests(spark, tmpdir_path):
     req = L.search_requests(res.select("song_name", F.col("movie").alias("movie_album"))).first()
     assert req["query"] == "site:lyricstape.com Song A Movie X lyrics"
     assert req["search_url"] == "https://duckduckgo.com/?q=lyricstape.com+Song+A+Movie+X+lyrics&t=h_&ia=web"
+
+
+def test_one_row_per_song_when_a_page_landed_twice(spark):
+    te = " ".join(TE_WORDS * 2)
+    catalog = spark.createDataFrame([(1, "Song A", "Movie")], "song_id long, song_name string, movie string")
+    cands = spark.createDataFrame([(1, 1, "https://lyricstape.com/a")], "song_id long, rank int, url string")
+    pages = spark.createDataFrame([("https://lyricstape.com/a", "<div>nothing</div>"), ("https://lyricstape.com/a", f"<p>{te}</p>"), ("https://lyricstape.com/a", f"<p>{te}</p>")],
+                                  "url string, html string")
+    for kind in ({"version": "v1"}, {"version": "v2"}, {"version": "v1", "by_rounds": True}):
+        assert [(r["outcome"], r["lyrics"]) for r in L.pages_to_lyrics(catalog, cands, pages, **kind).collect()] == [("found", te)], kind
+
+
+def test_rounds_parse_fewer_pages_for_the_same_rows(spark):
+    te = " ".join(TE_WORDS * 2)
+    cands = spark.createDataFrame([(s, r, f"https://lyricstape.com/{s}/{r}") for s in range(30) for r in range(1, 5)], "song_id long, rank int, url string")
+    catalog = cands.select("song_id").distinct()
+    # a third of the songs have a text on their first page, a third on the third, the others none in the top three
+    pages = cands.select("url", F.when(((F.col("song_id") % 3 == 0) & (F.col("rank") == 1)) | ((F.col("song_id") % 3 == 1) & (F.col("rank") >= 3)), f"<p>{te}</p>")
+                         .otherwise("<p>no</p>").alias("html"))
+    whole = sorted(map(repr, L.pages_to_lyrics(catalog, cands, pages).collect()))
+    assert sorted(map(repr, L.pages_to_lyrics(catalog, cands, pages, by_rounds=True).collect())) == whole
+    ranked = C.top_candidates(cands, "song_id", "rank", 3)
+    solved, parsed = L.first_usable_by_rounds(ranked, pages, 3)
+    assert parsed == [30, 20, 20] and solved.count() == 20  # instead of 90 pages

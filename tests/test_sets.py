@@ -76,3 +76,22 @@ def test_result_links(spark):
 def test_derived_audio_path(spark):
     df = spark.createDataFrame([("O Papa Lali", "Solo / Lullaby")], "s string, c string")
     assert df.select(C.derived_audio_path("c", "s", "raw")).first()[0] == "raw/Solo_-_Lullaby/O_Papa_Lali.wav"
+
+
+def test_keep_first_keeps_one_of_repeated_rows(spark):
+    rows = [(1, "A", {"k": 1}), (1, "A", {"k": 1}), (1, "a", {"k": 2}), (2, "B", None), (None, "c", None), (None, "C", None), (None, "C", None)]
+    df = spark.createDataFrame(rows, "seq int, name string, `m.x y` map<string,int>")
+    out = S.keep_first(df, "name", "seq")
+    assert out.columns == df.columns
+    got = sorted((r["name"].lower(), r["seq"]) for r in out.collect())
+    assert got == [("a", 1), ("b", 2), ("c", None)]
+    again = sorted(map(repr, S.keep_first(df.repartition(3), "name", "seq").collect()))
+    assert again == sorted(map(repr, out.collect()))
+
+
+def test_one_per_key_moves_no_texts_for_the_choice(spark):
+    df = spark.createDataFrame([(1, "k", "t" * 50), (2, "k", "u"), (2, "k", "u")], "seq int, name string, text string")
+    out = S.one_per_key(df, S.key_digest(F.col("name")), F.col("seq"), last=True)
+    assert [tuple(r) for r in out.collect()] == [(2, "k", "u")]
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in p.splitlines() if ("Exchange" in x or "Sort [" in x or "SortAggregate" in x) and "text" in x]

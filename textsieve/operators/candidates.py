@@ -17,7 +17,7 @@ from textsieve import patterns as P
 from textsieve.functions import text as T
 
 
-def top_candidates(cands: DataFrame, group_col: str, order_col: str, n: int, rank_col: str = "_rank") -> DataFrame:
+def top_candidates(cands: DataFrame, group_col: str, order_col: str | Column, n: int, rank_col: str = "_rank") -> DataFrame:
     """The first ``n`` candidates of each group, with their rank from 1."""
     w = Window.partitionBy(group_col).orderBy(order_col)
     return cands.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
@@ -30,7 +30,7 @@ def first_within_top(cands: DataFrame, group_col: str, order_col: str, qualifies
     return first_of_group(top, group_col, order_col).select(group_col, order_col, *payload)
 
 
-def first_of_group(cands: DataFrame, group_col: str, order_col: str) -> DataFrame:
+def first_of_group(cands: DataFrame, group_col: str, order_col: str | Column) -> DataFrame:
     """The first row of each group."""
     return top_candidates(cands, group_col, order_col, 1).drop("_rank")
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textsieve import patterns as P
@@ -59,17 +59,45 @@ def anti_lower(right: DataFrame, right_col: str, matched: DataFrame, matched_col
     return right.join(keys, right[right_col] == keys["_m"], "left_anti")
 
 
+def key_digest(*cols: Column) -> Column:
+    """256 bits of a key of any columns; nulls are equal to each other."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)]), {"ignoreNullFields": "false"}), 256))
+
+
+def row_digest(df: DataFrame) -> Column:
+    """128 bits of a whole row (maps as JSON)."""
+    cols = [F.col("`" + f.name.replace("`", "``") + "`") for f in df.schema.fields]
+    cols = [F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c for f, c in zip(df.schema.fields, cols)]
+    return F.concat(F.hex(F.xxhash64(F.lit(1), *cols)), F.lit("-"), F.hex(F.xxhash64(F.lit(2), *cols)))
+
+
+def one_per_key(df: DataFrame, key: Column, order: Column | None = None, last: bool = False) -> DataFrame:
+    """One row per ``key`` (a digest): the first in ``order`` (or the last), of equal ones the least by a digest of the row.
+
+    The choice is made on fixed-width rows and joined back, so texts are neither
+    sort nor shuffle keys; rows that repeat as a whole count once.
+    """
+    keyed = df.withColumns({"_d": key, "_row": row_digest(df)})
+    best = (F.max if last else F.min)(F.struct(*([order.alias("o")] if order is not None else []), "_row"))
+    small = keyed.groupBy("_d").agg(best.alias("_w")).select(F.col("_d").alias("_k"), F.col("_w._row").alias("_r"))
+    kept = keyed.join(small, (F.col("_d") == F.col("_k")) & (F.col("_row") == F.col("_r")), "left_semi")
+    copies = Window.partitionBy("_d", "_row").orderBy("_row")  # as the join has dealt the rows
+    return kept.withColumn("_nth", F.row_number().over(copies)).filter("_nth = 1").drop("_d", "_row", "_nth")
+
+
 def keep_first(df: DataFrame, key_col: str, order_col: str, key_fn: Callable[[Column], Column] | None = F.lower,
-               drop_empty: bool = True) -> DataFrame:
+               drop_empty: bool = True, unique_order: bool = False) -> DataFrame:
     """One row per key: the row with the smallest ``order_col``; the survivor keeps
     its own casing and columns.  Empty / NULL keys are dropped (without
-    ``drop_empty`` NULL is a key).  ``order_col`` must be unique within a key."""
+    ``drop_empty`` NULL is a key).  Of rows equal in key and order the least by a
+    digest stays, once; a caller that knows that no two rows of a key are equal
+    in ``order_col`` may say ``unique_order`` and saves that step."""
     k = key_fn(F.col(key_col)) if key_fn is not None else F.col(key_col)
-    keyed = df.withColumn("_k", k)
-    if drop_empty:
-        keyed = keyed.where(T.non_empty(F.col("_k")))
-    digest = F.coalesce(F.unhex(F.sha2(F.col("_k").cast("string"), 256)), F.lit(b""))
-    keyed = keyed.withColumn("_d", digest).drop("_k")
+    rows = df.where(T.non_empty(k)) if drop_empty else df
+    digest = F.coalesce(F.unhex(F.sha2(k.cast("string"), 256)), F.lit(b""))
+    if not unique_order:
+        return one_per_key(rows, digest, F.col(order_col))
+    keyed = rows.withColumn("_d", digest)
     first = keyed.groupBy("_d").agg(F.min(order_col).alias("_o")).select(F.col("_d").alias("_w"), "_o")
     return keyed.join(first, (F.col("_d") == F.col("_w")) & F.col(order_col).eqNullSafe(F.col("_o")), "left_semi").drop("_d")
 

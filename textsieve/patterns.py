@@ -75,6 +75,10 @@ SEARCH_URL_V2 = "https://duckduckgo.com/?q={q}&t=h_&ia=web"
 SEARCH_GL = "in"
 SEARCH_HL = "en"
 
+# Outcomes of a file upload.
+OUTCOME_UPLOADED = "uploaded"
+OUTCOME_MISSING = "missing"
+OUTCOME_FAILED = "failed"
 # Outcome reasons of the page-selection step.
 REASON_NO_RESULTS = "No search results found"
 REASON_NOT_IN_TOP = "Lyricstape not found in top {n} results"

@@ -30,6 +30,7 @@ from textsieve.operators import sets as SETS
 from textsieve.operators import stats as S
 from textsieve.session import write_scratch
 from textsieve.sources import files as IO
+from textsieve.sources import trees as TR
 
 
 def clean_and_publish(spark: SparkSession, docs: DataFrame, out_dir: str, id_col: str = "song_name",
@@ -67,14 +68,19 @@ def clean_and_publish(spark: SparkSession, docs: DataFrame, out_dir: str, id_col
 
 
 def pages_to_lyrics(catalog: DataFrame, candidates: DataFrame, pages: DataFrame, domain: str = P.SEARCH_DOMAIN,
-                    version: str = "v1", script: P.Script = P.TELUGU, status_col: str | None = None) -> DataFrame:
+                    version: str = "v1", script: P.Script = P.TELUGU, status_col: str | None = None, by_rounds: bool = False) -> DataFrame:
     """Lifecycle B for ``catalog(song_id, song_name, movie)``,
     ``candidates(song_id, rank, url)`` and ``pages(url, html[, status])``.
 
     v1: the first candidate among the top 3 whose URL contains ``domain``
     and whose page yields text.  v2: the first candidate in the top 7 whose
     URL contains ``domain``, then that page only.  Returns one row per song
-    with ``outcome`` and (when found) ``lyrics`` and ``url``.
+    with ``outcome`` and (when found) ``lyrics`` and ``url``.  Of several pages
+    with one URL that with a text counts, then the least text.
+
+    ``by_rounds`` (v1) parses only what it must: the pages of rank 1, then for the
+    songs still without a text those of rank 2, and so on; each round's result
+    is a written table.
     """
     n = P.V1_SEARCH_RESULTS if version == "v1" else P.V2_MAX_RESULTS
     # rank and domain are cut first, so only pages that can win reach the parser
@@ -86,12 +92,17 @@ def pages_to_lyrics(catalog: DataFrame, candidates: DataFrame, pages: DataFrame,
     wanted = pg.select("url", "html").join(top.select(F.col("url").alias("_u")), F.col("url") == F.col("_u"), "left_semi")
     extracted = B.extract_main_text(wanted, "html", version, script).select(
         F.col("url").alias("_u"), "main_text", F.lit(True).alias("_loaded"))
-    if version == "v1":
+    if version == "v1" and by_rounds:
+        ranked = C.top_candidates(candidates.select("song_id", "rank", "url"), "song_id", "rank", n).where(F.contains("url", F.lit(domain)))
+        usable, _ = first_usable_by_rounds(ranked, pg, n, script)
+        out = catalog.join(usable, "song_id", "left")
+        outcome = F.when(F.col("main_text").isNull(), F.lit("missing")).otherwise(F.lit("found"))
+    elif version == "v1":
         usable = top.join(extracted.where(B.found("main_text")), F.col("url") == F.col("_u")).drop("_u", "_loaded")
-        out = catalog.join(C.first_of_group(usable, "song_id", "rank"), "song_id", "left")
+        out = catalog.join(C.first_of_group(usable, "song_id", _best_page()), "song_id", "left")
         outcome = F.when(F.col("main_text").isNull(), F.lit("missing")).otherwise(F.lit("found"))
     else:
-        chosen = top.join(extracted, F.col("url") == F.col("_u"), "left").drop("_u")
+        chosen = C.first_of_group(top.join(extracted, F.col("url") == F.col("_u"), "left").drop("_u"), "song_id", _best_page())
         has = candidates.groupBy("song_id").agg(F.lit(True).alias("_has"))
         out = catalog.join(has, "song_id", "left").join(chosen, "song_id", "left")
         outcome = (
@@ -104,18 +115,50 @@ def pages_to_lyrics(catalog: DataFrame, candidates: DataFrame, pages: DataFrame,
     return out.withColumn("outcome", outcome).drop("_has", "_loaded").withColumnRenamed("main_text", "lyrics")
 
 
+def _best_page():
+    """Order of the pages of one song: by candidate, one with a text first, then the least text."""
+    return F.struct(F.col("rank"), F.coalesce(~B.found("main_text"), F.lit(True)).alias("none"), F.col("main_text"))
+
+
+def first_usable_by_rounds(ranked: DataFrame, pages: DataFrame, n: int, script: P.Script = P.TELUGU) -> tuple[DataFrame, list[int]]:
+    """(song_id, rank, url, main_text) of each song's first candidate with a text, and the number of pages parsed per round.
+
+    ``ranked`` is (song_id, rank, url, _rank); round i parses the pages of the
+    i-th candidates of songs that no earlier round has solved.
+    """
+    todo = write_scratch(ranked, "candidates")
+    solved, parsed = None, []
+    for i in range(1, n + 1):
+        mine = todo.where(F.col("_rank") == i).drop("_rank")
+        if solved is not None:
+            mine = mine.join(solved.select("song_id"), "song_id", "left_anti")
+        wanted = pages.select(F.col("url").alias("_u"), "html").join(mine.select("url").distinct(), F.col("_u") == F.col("url"), "left_semi")
+        texts = write_scratch(B.extract_main_text(wanted, "html", "v1", script).select("_u", "main_text"), f"round{i}")
+        parsed.append(texts.count())
+        usable = mine.join(texts.where(B.found("main_text")), F.col("url") == F.col("_u")).drop("_u")
+        usable = write_scratch(C.first_of_group(usable, "song_id", _best_page()), f"solved{i}")
+        solved = usable if solved is None else solved.unionByName(usable)
+    return solved, parsed
+
+
 def outcome_counts(results: DataFrame) -> DataFrame:
     return results.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 def write_lyrics_files(results: DataFrame, base: str, version: str = "v1", source: str | None = None, song_col: str = "song_name",
-                       movie_col: str = "movie", order_col: str = "song_id", per_song: bool = True) -> None:
-    """One file per found song; the second version's header has no URL line and another source."""
+                       movie_col: str = "movie", order_col: str = "song_id", per_song: bool = True, exact: bool = False) -> None:
+    """One file per found song; the second version's header has no URL line and another source.
+
+    With ``exact`` the files are ``<movie>/<song>.txt`` (slugs) and hold just the body."""
     found = results.where(F.col("outcome") == "found")
     source = source or (P.SOURCE_V1 if version == "v1" else P.SOURCE_V2)
     url = F.col("url") if version == "v1" else None
     body = IO.lyrics_file_body(F.col(song_col), F.col(movie_col), F.lit(source), url, F.col("lyrics"))
-    IO.write_text_tree(found, base, movie_col, song_col, body, order_col, per_song=per_song)
+    if exact:
+        path = IO.song_file_path(IO.folder_slug(movie_col), IO.folder_slug(song_col))
+        TR.write_named_files(found, base, path, body, order_col)
+    else:
+        IO.write_text_tree(found, base, movie_col, song_col, body, order_col, per_song=per_song)
 
 
 def _append(spark: SparkSession, rows: DataFrame, table_path: str, only_new: bool) -> None:
@@ -129,13 +172,13 @@ def ingest_text_tree(spark: SparkSession, base: str, table_path: str, only_new:
     """Text tree with a ``...`` marker before the lyrics -> (movie_name, song_name, lyrics), appended.
 
     With ``only_new`` a (movie, song) that the table has is not added again."""
-    tree = IO.read_text_tree(spark, base)
+    tree = TR.read_text_files(spark, base)
     _append(spark, tree.select("movie_name", "song_name", ST.after_marker("content").alias("lyrics")), table_path, only_new)
 
 
 def ingest_scraped_tree(spark: SparkSession, base: str, table_path: str, script: P.Script = P.TELUGU, only_new: bool = False) -> None:
     """Scraped page bodies -> song name from the body (``song:`` line) + script lyrics, appended."""
-    tree = IO.read_text_tree(spark, base)
+    tree = TR.read_text_files(spark, base)
     parsed = tree.select("movie_name", ST.extract_song("content", script).alias("s"))
     _append(spark, parsed.select("movie_name", "s.song_name", "s.lyrics"), table_path, only_new)
 

@@ -315,6 +315,28 @@ FROM part"""
     q["append_new"] = f"""WITH {TITLED}
 SELECT coalesce(min(doc_id) FILTER (doc_id IN (SELECT doc_id FROM labels)), min(doc_id)) AS doc_id, source, title
 FROM titled GROUP BY source, title"""
+    # '...' begins the text, but a later one in it cuts again
+    q["song_tree_ingest"] = f"""WITH {TITLED},
+f AS (SELECT source || ' +%41 పాట' AS movie_name, '100% ' || replace(title[1:40], '/', '_') AS song_name, max(doc_id) AS doc_id
+      FROM titled GROUP BY ALL),
+t AS (SELECT movie_name, song_name, '...' || replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS t
+      FROM f JOIN titled USING (doc_id))
+SELECT movie_name, song_name, md5({lstrip("list_last(string_split(t, '...'))")}) AS lyrics_md5 FROM t"""
+    q["scraped_tree_ingest"] = f"WITH songs AS ({q['extract_song']}) SELECT source AS movie_name, song_name, md5(lyrics) AS lyrics_md5 FROM songs JOIN documents USING (doc_id)"
+    q["csv_row_index"] = """SELECT row_number() OVER (ORDER BY lang NULLS FIRST, doc_id DESC) - 1 AS row_id, doc_id, lang, source,
+       'No' AS downloaded, 'No' AS vocals_extracted, 'No' AS dereverbed, NULL::VARCHAR AS notes FROM documents"""
+    audio = """c AS (SELECT *, replace(replace(p_type, ' ', '_'), '/', '-') || '/' || replace(p_name, ' ', '_') AS path FROM part),
+f AS (SELECT path, arg_max(repeat(p_brand || '|' || p_name || chr(10), p_size), p_partkey) AS body FROM c WHERE p_size < 25 GROUP BY path)"""
+    q["attach_files"] = f"""WITH {audio}
+SELECT p_partkey, CASE WHEN body IS NULL THEN 'missing' ELSE 'uploaded' END AS outcome, length(body)::BIGINT AS length, md5(body) AS content_md5
+FROM c LEFT JOIN f USING (path)"""
+    q["upload_files"] = f"""WITH {audio}
+SELECT CASE WHEN body IS NULL THEN 'missing' ELSE 'uploaded' END AS outcome, count(*) AS n,
+       CASE WHEN count(body) > 0 THEN count(body) END AS held, sum(length(body))::BIGINT AS bytes
+FROM c LEFT JOIN f USING (path) GROUP BY 1"""
+    q["semi_titles"] = f"""WITH {TITLED},
+r AS (SELECT CASE WHEN lang = 'en' THEN lower(title) ELSE upper(title) END AS name FROM titled)
+SELECT DISTINCT title AS value FROM titled WHERE doc_id IN (SELECT doc_id FROM labels) AND lower(title) IN (SELECT name FROM r)"""
     q["attach_report"] = """WITH c AS (SELECT replace(replace(p_type, ' ', '_'), '/', '-') || '/' || replace(p_name, ' ', '_') AS path, p_size FROM part)
 SELECT CASE WHEN path IN (SELECT path FROM c WHERE p_size < 25) THEN 'uploaded' ELSE 'missing' END AS status, count(*) AS n
 FROM c GROUP BY 1"""
@@ -369,7 +391,15 @@ res AS (
               WHEN coalesce(b.main_text, '') = '' THEN '{P.REASON_NO_SCRIPT}' ELSE 'found' END AS outcome
   FROM shelf LEFT JOIN want w USING (song_id) LEFT JOIN best b ON b.page_id = w.rank)
 SELECT outcome, count(*) AS n FROM res GROUP BY outcome"""
+    q["page_lyrics_rounds"] = q["page_lyrics"]
     item = '<li><a href="/[^"]+">([^<]+)</a></li>'
+    q["catalog_markdown"] = f"""WITH n AS (SELECT page_id, regexp_extract_all(html, '{item}', 1) AS w FROM pages),
+l AS (SELECT page_id, i, {strip("w[i] || ' ' || w[i + 1]")} AS song_name, {strip('w[i + 2]')} AS movie_album, {strip('w[i + 1]')} AS singers
+      FROM n, unnest(range(1, len(w) - 1)) AS u(i) WHERE len(w) >= 3),
+a AS (SELECT 0 AS part, n_nationkey AS seq, 0 AS pos, {strip('n_name')} AS song_name, 'Atlas' AS movie_album, '' AS singers FROM nation
+      UNION ALL SELECT 1, page_id, i, song_name, movie_album, singers FROM l WHERE song_name <> '' AND song_name NOT IN (SELECT {strip('n_name')} FROM nation)),
+f AS (SELECT *, row_number() OVER (PARTITION BY lower(song_name) ORDER BY part, seq, pos) AS rn FROM a)
+SELECT song_name, movie_album, singers FROM f WHERE rn = 1"""
     q["catalog_from_html"] = f"""WITH n AS (SELECT page_id, regexp_extract_all(html, '{item}', 1) AS w FROM pages),
 c AS (SELECT page_id, {strip('w[1]')} AS song_name, {strip('w[2]')} AS movie_album, w[3] || ', ' || w[4] AS singers FROM n WHERE len(w) >= 4),
 f AS (SELECT *, row_number() OVER (PARTITION BY lower(song_name) ORDER BY page_id) AS rn FROM c WHERE song_name <> '')

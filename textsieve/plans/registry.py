@@ -26,6 +26,7 @@ from textsieve.plans import lifecycles as L
 from textsieve.plans.oracle_sql import DENSITY_CHARS, SCRIPT
 from textsieve.session import scratch_path
 from textsieve.sources import files as IO
+from textsieve.sources import trees as TR
 from textsieve.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,7 +188,7 @@ def q_anti_lower(spark, sf):
 
 def q_dedupe_keep_first(spark, sf):
     d = table(spark, sf, "documents", ["doc_id", "lang", "source", "text"])
-    return SETS.keep_first(d, "text", "doc_id").select("doc_id", "lang", "source")
+    return SETS.keep_first(d, "text", "doc_id", unique_order=True).select("doc_id", "lang", "source")
 
 
 def q_union_all(spark, sf):
@@ -397,7 +398,7 @@ def q_append_new(spark, sf):
     d = titled_documents(spark, sf).select("doc_id", "source", "title")
     path = scratch_path(spark, "appended")
     for batch in (d.join(table(spark, sf, "labels", ["doc_id"]), "doc_id", "left_semi"), d, d):
-        IO.append_new(spark, batch, path, ["source", "title"])
+        IO.append_new(spark, batch, path, ["source", "title"], order_col="doc_id")
     return spark.read.parquet(path).select("doc_id", "source", "title")
 
 
@@ -409,7 +410,108 @@ def q_attach_report(spark, sf):
     return IO.upload_report(IO.attach_audio(p, files, "audio", "p_name", "p_type"))
 
 
+# Folder and file names that only an exact writer and reader keep: '%', '+', spaces and another script.
+ODD_MOVIE, ODD_SONG = " +%41 పాట", "100% "
+
+
+def song_files(spark, sf):
+    """All documents as song files: (doc_id, movie, song, text); several documents may share a name."""
+    return titled_documents(spark, sf).select(
+        "doc_id", F.concat("source", F.lit(ODD_MOVIE)).alias("movie"), F.concat(F.lit(ODD_SONG), F.left("title", F.lit(40))).alias("song"), "text", "lang")
+
+
+def q_song_tree_ingest(spark, sf):
+    """All documents written as ``<movie>/<song>.txt`` (the last of one name stays), scanned, cut at the marker and appended to a table."""
+    d, path = song_files(spark, sf), scratch_path(spark, "song-tree")
+    body = IO.lyrics_file_body("song", "movie", F.lit("documents"), F.lit("u"), F.concat(F.lit("..."), F.coalesce("text", F.lit(""))))
+    TR.write_named_files(d, path, IO.song_file_path(F.col("movie"), F.col("song")), body, "doc_id")
+    out = scratch_path(spark, "songs")
+    L.ingest_text_tree(spark, path, out)
+    return spark.read.parquet(out).select("movie_name", "song_name", F.md5(F.col("lyrics").cast("binary")).alias("lyrics_md5"))
+
+
+def q_scraped_tree_ingest(spark, sf):
+    """All documents as scraped pages in one file each; the song's name comes from the body."""
+    d, path = titled_documents(spark, sf), scratch_path(spark, "scraped-tree")
+    body = F.concat(F.lit("song:\n"), "title", F.lit("\n"), F.when(F.col("lang") != "fr", "telugu\n").otherwise(""), "text", F.lit("\n---\nEnd: x"))
+    TR.write_named_files(d, path, IO.song_file_path(F.col("source"), F.col("doc_id").cast("string")), body, "doc_id")
+    out = scratch_path(spark, "scraped")
+    L.ingest_scraped_tree(spark, path, out, SCRIPT)
+    return spark.read.parquet(out).select("movie_name", "song_name", F.md5(F.col("lyrics").cast("binary")).alias("lyrics_md5"))
+
+
+def q_csv_row_index(spark, sf):
+    """Documents with training flags, written with a row index (by language, then id) in a given field order, read back with it."""
+    d = IO.with_training_flags(table(spark, sf, "documents", ["doc_id", "lang", "source"]))
+    path = scratch_path(spark, "csv-index")
+    IO.write_csv(d, path, columns=["source", "doc_id", *P.TRAINING_FLAGS, "lang"], index_order=["lang", F.desc("doc_id")])
+    schema = "_c0 long, doc_id long, lang string, source string, " + ", ".join(f"{c} string" for c in P.TRAINING_FLAGS)
+    return IO.read_csv(spark, path, schema, index_col="row_id").withColumnsRenamed({c: c.lower() for c in P.TRAINING_FLAGS})
+
+
+def audio_tree(spark, sf):
+    """Files of the small parts, named by category and song: (base, catalog)."""
+    p = table(spark, sf, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"])
+    path = scratch_path(spark, "audio")
+    body = F.repeat(F.concat("p_brand", F.lit("|"), "p_name", F.lit("\n")), F.col("p_size"))
+    TR.write_named_files(p.where("p_size < 25"), path, C.derived_audio_path("p_type", "p_name"), body, "p_partkey")
+    return path, p
+
+
+def q_attach_files(spark, sf):
+    """Every part with the audio file that exists for it: listed first, read where a part names it."""
+    base, p = audio_tree(spark, sf)
+    out = IO.attach_files(p.select("p_partkey", "p_type", "p_name"), base, C.derived_audio_path("p_type", "p_name"))
+    return out.select("p_partkey", "outcome", "length", F.md5("content").alias("content_md5"))
+
+
+def q_upload_files(spark, sf):
+    """Outcomes of appending the parts with their files to a table, and the rows that the table holds."""
+    base, p = audio_tree(spark, sf)
+    path = scratch_path(spark, "uploaded")
+    report = IO.upload_files(p.select("p_partkey", "p_type", "p_name"), base, C.derived_audio_path("p_type", "p_name"), path)
+    held = spark.read.parquet(path).agg(F.count("content").alias("held"), F.sum(F.octet_length("content")).alias("bytes"))
+    return report.join(held).select("outcome", "n", F.when(F.col("outcome") == P.OUTCOME_UPLOADED, F.col("held")).alias("held"),
+                                    F.when(F.col("outcome") == P.OUTCOME_UPLOADED, F.col("bytes")).alias("bytes"))
+
+
+def q_page_lyrics_rounds(spark, sf):
+    """``page_lyrics`` by rounds: the next candidate's page is parsed only for shelves without a text so far."""
+    c = candidate_pages(spark, sf)
+    pages = c.select("url", "html", F.when(F.startswith("url", F.lit("https")), 200).otherwise(404).alias("status"))
+    res = L.pages_to_lyrics(shelves(spark, sf), c.select("song_id", "rank", "url"), pages, CANDIDATE_DOMAIN, "v1", SCRIPT, "status", by_rounds=True)
+    return res.where("outcome = 'found'").select("song_id", "rank", "url", "lyrics")
+
+
+def q_catalog_markdown(spark, sf):
+    """Few rendered rows (the nations), so song links in the pages' markdown are added: each page's first words by threes."""
+    rows = table(spark, sf, "nation", ["n_nationkey", "n_name"]).select(
+        F.col("n_nationkey").alias("seq"), F.concat(F.lit('<a href="/song/1">'), "n_name", F.lit('</a><a href="/album/1">Atlas</a>')).alias("html"))
+    w = F.regexp_extract_all("html", F.lit('<li><a href="/[^"]+">([^<]+)</a></li>'), 1)
+    links = F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.concat(
+        F.lit("* ["), F.get("w", i), F.lit(" "), F.get("w", i + 1), F.lit("](/song/"), i.cast("string"), F.lit(") by ["), F.get("w", i + 1), F.lit("] on ["),
+        F.get("w", i + 2), F.lit("]\n")))
+    pages = table(spark, sf, "pages", ["page_id", "html"]).select("page_id", w.alias("w")).where(F.size("w") >= 3)
+    return L.catalog_from_html(rows, pages.select(F.col("page_id").alias("seq"), F.array_join(links, "").alias("html")))
+
+
+def q_semi_titles(spark, sf):
+    """Distinct titles of labelled documents that, in lower case, are among the upper- or lower-case titles of all."""
+    d = titled_documents(spark, sf)
+    left = d.join(table(spark, sf, "labels", ["doc_id"]), "doc_id", "left_semi")
+    right = d.select(F.when(F.col("lang") == "en", F.lower("title")).otherwise(F.upper("title")).alias("name"))
+    return SETS.semi_lower(left, "title", right, "name")
+
+
 QUERIES.update({
+    "song_tree_ingest": q_song_tree_ingest,
+    "scraped_tree_ingest": q_scraped_tree_ingest,
+    "csv_row_index": q_csv_row_index,
+    "attach_files": q_attach_files,
+    "upload_files": q_upload_files,
+    "page_lyrics_rounds": q_page_lyrics_rounds,
+    "catalog_markdown": q_catalog_markdown,
+    "semi_titles": q_semi_titles,
     "pending_by_name": q_pending_by_name,
     "pending_by_slug": q_pending_by_slug,
     "semi_lower": q_semi_lower,

@@ -13,10 +13,12 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,32 +26,68 @@ from pyspark.sql import types as T
 from textsieve import patterns as P
 from textsieve.functions import text as TX
 from textsieve.operators.candidates import derived_audio_path
+from textsieve.operators.numbering import with_row_index
+from textsieve.operators.sets import key_digest, one_per_key, union_all
 from textsieve.session import write_scratch
+from textsieve.sources import trees as TR
 from textsieve.sources.tables import read_table  # noqa: F401  (re-exported: S7/S8 scans)
 
-CSV_READ = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "FAILFAST"}
+CSV_READ = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "FAILFAST", "enforceSchema": "false"}
 CSV_WRITE = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, index_col: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, index_col: str | None = None, mixed_headers: bool = False) -> DataFrame:
     """CSV with a header row, columns taken by header name and cast to ``schema``.
 
     The order of the file's columns does not matter; a column that the header
     lacks is an error.  ``index_col`` names an unnamed leading index column
-    (written by a writer that kept its row index), which ``schema`` calls _c0."""
+    (written by a writer that kept its row index), which ``schema`` calls _c0.
+
+    Files of one folder must have one header (another order is an error, not
+    swapped values); with ``mixed_headers`` the files are grouped by their own
+    headers, each group is bound by name, and the groups are put together."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
+    if mixed_headers:
+        groups = csv_headers(spark, path).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+        frames = [read_csv(spark, sorted(g["paths"]), schema, index_col) for g in sorted(groups, key=lambda g: g["header"])]
+        return union_all(*frames) if frames else spark.createDataFrame([], schema)
     raw = spark.read.options(**CSV_READ).csv(path)
     if index_col and "_c0" in raw.columns:
+        first = spark.read.options(**{**CSV_READ, "header": "false"}).csv(path).first()
+        if first is not None and not first[0]:  # the header itself has no name there, and must match in every file
+            names = [T.StructField("" if c == "_c0" else c, T.StringType()) for c in raw.columns]
+            raw = spark.read.options(**CSV_READ).schema(T.StructType(names)).csv(path).toDF(*raw.columns)
         raw = raw.withColumnRenamed("_c0", index_col)
     named = [(index_col if index_col and f.name == "_c0" else f.name, f.dataType) for f in schema.fields]
     return raw.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in named])
 
 
-def write_csv(df: DataFrame, path: str, columns=None, mode: str = "overwrite") -> None:
-    """CSV with a header, fields in ``columns`` order, spaces preserved."""
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(path, header): the first record of every ``.csv`` file below ``path``; only the heads of the files are read."""
+    def run(batches):
+        fs, _ = TR.open_fs(path)
+        for b in batches:
+            found = []
+            for p in b.column("path").to_pylist():
+                with fs.open_input_stream(p) as f, io.TextIOWrapper(f, encoding="utf-8", newline="") as t:
+                    found.append(next(csv.reader(t), []))
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(found, pa.list_(pa.string()))], names=["path", "header"])
+
+    return TR.list_files(spark, path, ".csv").select("path").mapInArrow(run, "path string, header array<string>").filter("size(header) > 0")
+
+
+def write_csv(df: DataFrame, path: str, columns=None, mode: str = "overwrite", index_order=None) -> None:
+    """CSV with a header, fields in ``columns`` order, spaces preserved.
+
+    With ``index_order`` (columns) rows are numbered 0, 1, ... in that order and
+    the number is a leading column without a name, as a writer that keeps its
+    row index does; ``read_csv(index_col=...)`` reads it."""
     out = df.select(*columns) if columns else df
+    if index_order:
+        numbered = with_row_index(df.withColumn("_out", F.struct(*out.columns)), *index_order, name="_row_id")
+        out = numbered.select(F.col("_row_id").alias(""), "_out.*")
     out.write.mode(mode).options(**CSV_WRITE).csv(path)
 
 
@@ -93,12 +131,21 @@ def lyrics_file_body(song, movie, source, url, lyrics) -> Column:
                     *link, F.lit("\n\n"), part(lyrics))
 
 
-def _folder_slug(col) -> Column:
+def folder_slug(col) -> Column:
     """The slug, or a name of its own for an empty one (a folder must have a name)."""
     s = F.coalesce(TX.slug(col), F.lit(""))
     return F.when(s == "", F.lit(EMPTY_SLUG)).otherwise(s)
 
 
+def song_file_path(movie: Column, song: Column, suffix: str = ".txt") -> Column:
+    """``<movie>/<song>.txt`` of names as they are; only what no file name may hold ('/' and NUL) becomes '_', an empty name ``EMPTY_SLUG``."""
+    def part(c: Column) -> Column:
+        name = F.translate(F.coalesce(c, F.lit("")), "/\0", "__")
+        return F.when(name.isin("", ".", ".."), F.lit(EMPTY_SLUG)).otherwise(name)
+
+    return F.concat(part(movie), F.lit("/"), part(song), F.lit(suffix))
+
+
 def write_text_tree(df: DataFrame, base: str, movie_col: str, song_col: str, body: Column, order_col: str,
                     mode: str = "overwrite", per_song: bool = True) -> None:
     """One text file per record under ``movie_slug=<m>/song_slug=<s>/``.
@@ -112,7 +159,7 @@ def write_text_tree(df: DataFrame, base: str, movie_col: str, song_col: str, bod
     file with one '\\n' (Spark does not allow an empty record separator); the
     parsers strip trailing whitespace, so re-reading is unaffected."""
     keyed = df.select(
-        _folder_slug(movie_col).alias("movie_slug"), _folder_slug(song_col).alias("song_slug"),
+        folder_slug(movie_col).alias("movie_slug"), folder_slug(song_col).alias("song_slug"),
         body.alias("value"), F.col(order_col).alias("_o"),
     )
     last = keyed.groupBy("movie_slug", "song_slug").agg(F.max_by("value", "_o").alias("value"))
@@ -175,16 +222,16 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def append_new(spark: SparkSession, df: DataFrame, path: str, keys) -> int:
+def append_new(spark: SparkSession, df: DataFrame, path: str, keys, order_col: str | None = None) -> int:
     """Append rows whose key is not yet in the table at ``path``; returns the
     number of rows appended.  Creates the table when it does not exist.
 
     NULL keys are equal to each other.  Of the batch's rows with one key the
-    least by the other columns is taken, so a replay adds nothing.  Only key
-    columns of the table are read; an unreadable table raises and stays as it is."""
+    first by ``order_col`` is taken (of equal ones, or without an order, the least
+    by a digest of the row), so a replay adds nothing.  Only key columns of the
+    table are read; an unreadable table raises and stays as it is."""
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    one = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*") if rest else df.distinct()
+    one = one_per_key(df, key_digest(*[F.col(k) for k in keys]), F.col(order_col) if order_col else None)
     if table_exists(spark, path):
         old = spark.read.parquet(path).select(*[F.col(k).alias(f"_old_{k}") for k in keys])
         same = F.lit(True)
@@ -211,6 +258,39 @@ def attach_audio(catalog: DataFrame, files: DataFrame, base: str, song_col: str
     return cat.join(files.select("path", "content"), "path", "left")
 
 
+def attach_files(catalog: DataFrame, base: str, relative_path: Column) -> DataFrame:
+    """Catalog rows with the files that exist for them, read in two phases.
+
+    Adds file_path, length, content, error and outcome.  The files below
+    ``base`` are listed without their contents and joined to the rows on
+    ``relative_path``; only files that a row names are read.  Outcome is
+    ``missing`` (no such file, or a null path), ``uploaded`` (read) or
+    ``failed`` (listed, but reading it raised ``error``).  Rows that name one
+    file each get its content.
+    """
+    spark = catalog.sparkSession
+    root = TR.open_fs(base)[1].rstrip("/")
+    row = F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in catalog.columns])
+    wanted = catalog.select(row.alias("_row"), F.concat(F.lit(f"{root}/"), relative_path).alias("_wanted"))
+    listed = TR.list_files(spark, base).select(F.col("path"), F.col("length"))
+    rows = wanted.join(listed, F.col("_wanted") == F.col("path"), "left")
+    read = TR.read_files(rows.filter("path is not null"), base)
+    none = rows.filter("path is null").withColumns({"content": F.lit(None).cast("binary"), "error": F.lit(None).cast("string")})
+    outcome = (F.when(F.col("path").isNull(), P.OUTCOME_MISSING).when(F.col("error").isNull(), P.OUTCOME_UPLOADED).otherwise(P.OUTCOME_FAILED))
+    return read.unionByName(none).select("_row.*", F.col("path").alias("file_path"), "length", "content", "error", outcome.alias("outcome"))
+
+
+def upload_files(catalog: DataFrame, base: str, relative_path: Column, table_path: str) -> DataFrame:
+    """Append the rows whose file could be read, with its content, to the table; returns (outcome, n) of all rows.
+
+    The outcomes are written first: the table gets exactly the rows that the
+    report counts as uploaded, and each file is read once.
+    """
+    staged = write_scratch(attach_files(catalog, base, relative_path), "staged")
+    append_rows(staged.filter(F.col("outcome") == P.OUTCOME_UPLOADED).drop("outcome", "error", "file_path", "length"), table_path)
+    return staged.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 def upload_report(attached: DataFrame) -> DataFrame:
     """(status, n): uploaded vs skipped-missing counts."""
     status = F.when(F.col("content").isNull(), F.lit("missing")).otherwise(F.lit("uploaded"))
