@@ -470,9 +470,9 @@ def q_upload_files(spark, sf):
     base, p = audio_tree(spark, sf)
     path = scratch_path(spark, "uploaded")
     report = IO.upload_files(p.select("p_partkey", "p_type", "p_name"), base, C.derived_audio_path("p_type", "p_name"), path)
-    held = spark.read.parquet(path).agg(F.count("content").alias("held"), F.sum(F.octet_length("content")).alias("bytes"))
-    return report.join(held).select("outcome", "n", F.when(F.col("outcome") == P.OUTCOME_UPLOADED, F.col("held")).alias("held"),
-                                    F.when(F.col("outcome") == P.OUTCOME_UPLOADED, F.col("bytes")).alias("bytes"))
+    held = spark.read.parquet(path).agg(F.struct(F.count("content").alias("n"), F.sum(F.octet_length("content")).alias("bytes"))).scalar()
+    in_table = F.when(F.col("outcome") == P.OUTCOME_UPLOADED, held)
+    return report.withColumn("held", in_table).select("outcome", "n", F.col("held.n").alias("held"), F.col("held.bytes").alias("bytes"))
 
 
 def q_page_lyrics_rounds(spark, sf):
