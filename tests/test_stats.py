@@ -134,3 +134,37 @@ def test_top_ngrams_first_seen_matches_vectorizer_order(spark):
     for k in (1, 3, 5, 8):
         got = [(r["ngram"], r["freq"]) for r in NG.top_ngrams_first_seen(df, "t", "d", 2, k).collect()]
         assert got == py_top_first_seen(texts, k), k
+
+
+def test_radix_selection_over_every_kind_of_double(spark):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(size=400), -np.exp(rng.uniform(-300, 300, 200)), np.exp(rng.uniform(-300, 300, 200)), [0.0, -0.0, 5e-324, -5e-324, np.inf, -np.inf], np.repeat(1.5, 300)])
+    vc = S.value_counts(frame(spark, values.tolist()), ["v"])
+    ordered = np.sort(values + 0.0)
+    want = list(range(0, len(values), 37)) + [len(values) - 1]
+    for bits, most in ((16, 4096), (16, 1), (9, 1)):
+        got = S.order_statistics(vc, {"v": want}, S._buckets(vc, 0, bits, None), bits, most)
+        assert [got["v", k] for k in want] == ordered[want].tolist()
+
+
+
+def bigram_texts(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(4)
+
+
+def test_bounded_ngrams_are_proven_or_counted_in_full(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(["aa bb cc"] * 30 + list(rng.choice(words, 30))) for _ in range(40)] + ["", None]
+    df = bigram_texts(spark, texts)
+    want = [tuple(r) for r in NG.top_ngrams(df, "text", 2, 3).collect()]
+    counts, proven = NG.heavy_ngrams(df, "text", 2, 3)
+    assert proven and [tuple(r) for r in NG.top_ngrams_bounded(df, "text", 2, 3).collect()] == want
+    assert counts.count() <= 16 * 3
+    # summaries too small to prove anything; frequencies all alike, more n-grams than tracked, and fewer
+    alike = bigram_texts(spark, [f"a{i} b{i} c{i}" for i in range(300)])
+    for frame_, k, tracked, sure in ((df, 3, 16, False), (df, 200, 1000, False), (alike, 15, 400, False), (alike, 15, 100_000, True)):
+        counts, proven = NG.heavy_ngrams(frame_, "text", 2, k, tracked=tracked)
+        assert proven == sure
+        assert [tuple(r) for r in NG.top_ngrams_bounded(frame_, "text", 2, k, tracked=tracked).collect()] == [tuple(r) for r in NG.top_ngrams(frame_, "text", 2, k).collect()]
+    assert NG.top_ngrams_bounded(df.limit(0), "text").count() == 0

@@ -3,17 +3,26 @@
 Plan: per-row token array -> n-gram array -> explode -> partial hash
 aggregate (map-side combine, so a hot n-gram is one row per task) -> final
 aggregate -> TakeOrderedAndProject (each task keeps its own top k).
+
+That shuffles every distinct n-gram, which on a large corpus is most of it.
+``heavy_ngrams`` does not: a mergeable heavy-hitter summary of bounded size per
+task names candidates, a second pass counts these exactly, and the summary's
+error bound proves that no other n-gram can be as frequent.  Where it proves
+nothing, all are counted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textsieve import patterns as P
 from textsieve.functions import text as T
 from textsieve.session import write_scratch
 
+#: n-grams that a task's summary tracks, and its error: at most SUMMARY_ERROR / TRACKED of all n-grams
+TRACKED, SUMMARY_ERROR = 100_000, 3.5
+
 
 def ngram_counts(df: DataFrame, text_col: str, n: int = P.NGRAM_N, tokenizer: str = "compat") -> DataFrame:
     """(ngram, freq) over the whole corpus."""
@@ -25,6 +34,54 @@ def ngram_counts(df: DataFrame, text_col: str, n: int = P.NGRAM_N, tokenizer: st
     )
 
 
+def _gram_rows(df: DataFrame, text_col: str, n: int, tokenizer: str, *keep: Column) -> DataFrame:
+    return df.select(*keep, F.explode(T.ngrams(T.ngram_tokens(text_col, tokenizer), n)).alias("ngram"))
+
+
+def heavy_ngrams(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int = P.NGRAM_TOP_K, tokenizer: str = "compat",
+                 order_col: str | None = None, tracked: int = TRACKED) -> tuple[DataFrame, bool]:
+    """(ngram, freq) of at least all n-grams as frequent as the ``top_k``-th, exact; and whether the summary proved it.
+
+    With ``order_col`` also ``first``, the least value of it among the rows that hold the n-gram.
+
+    The summary tracks ``tracked`` n-grams.  It returns the n-grams whose
+    frequency is surely above its error, each with an upper bound, so an n-gram
+    that it does not return has at most twice the error: 2 * 3.5 * N / tracked
+    for N n-grams.  All returned ones whose bound reaches the k-th exact count
+    are counted, so what is left out is less frequent if that count is above
+    both.  The candidates, at most ``tracked`` strings, pass the driver; the
+    second pass shuffles one row per candidate and task.
+    """
+    rows = write_scratch(df.select(F.col(text_col).alias("text"), *([F.col(order_col).alias("order")] if order_col else [])), "texts")
+    keep, of = ([F.col("order")], [F.min("order").alias("first")]) if order_col else ([], [])
+    grams = _gram_rows(rows, "text", n, tokenizer, *keep)
+    count = [F.count(F.lit(1)).alias("freq"), *of]
+    summary = grams.agg(F.expr(f"approx_top_k(ngram, {tracked}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    bounds = [(r["item"], r["count"]) for r in summary["top"] or []]  # most frequent first
+    missed = 2 * SUMMARY_ERROR * (summary["n"] or 0) / tracked
+    size, counts = min(len(bounds), 16 * top_k), None
+    while size:
+        names = df.sparkSession.createDataFrame([(g,) for g, _ in bounds[:size]], "candidate string")
+        found = grams.join(F.broadcast(names), F.col("ngram") == F.col("candidate"), "left_semi")
+        counts = write_scratch(found.groupBy("ngram").agg(*count), "candidate-counts")
+        exact = [r["freq"] for r in counts.orderBy(F.desc("freq")).limit(top_k).select("freq").collect()]
+        least = exact[-1] if len(exact) == top_k else 0
+        reach = sum(b >= least for _, b in bounds)  # returned n-grams that might be as frequent as the k-th
+        if reach <= size:
+            if least > missed:
+                return counts, True
+            break
+        size = reach
+    return write_scratch(grams.groupBy("ngram").agg(*count), "ngram-counts"), False
+
+
+def top_ngrams_bounded(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int = P.NGRAM_TOP_K, tokenizer: str = "compat",
+                       tracked: int = TRACKED) -> DataFrame:
+    """``top_ngrams`` with a shuffle that does not grow with the number of distinct n-grams (see ``heavy_ngrams``); runs when called."""
+    counts, _ = heavy_ngrams(df, text_col, n, top_k, tokenizer, tracked=tracked)
+    return counts.orderBy(F.desc("freq"), F.asc("ngram")).limit(top_k)
+
+
 def top_ngrams(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int = P.NGRAM_TOP_K,
                tokenizer: str = "compat") -> DataFrame:
     """The ``top_k`` most frequent n-grams; ties broken by n-gram ascending."""
@@ -42,8 +99,8 @@ def top_ngrams_first_seen(df: DataFrame, text_col: str, order_col: str, n: int =
     ``order_col`` order, then position in the document (the vocabulary order
     of a count vectorizer fitted on the corpus in that order).
 
-    Exact and bounded: (1) frequency and first document per n-gram (hash
-    aggregates, written as Parquet); (2) the k-th (frequency, first document) key
+    Exact and bounded: (1) frequency and first document of the n-grams that can
+    be among them (``heavy_ngrams``); (2) the k-th (frequency, first document) key
     (at most k rows reach the driver); (3) candidates ranked at or before that
     key - at most k plus the n-grams of one document; (4) first positions read
     only from the <= k+1 documents the candidates first appear in.
@@ -54,8 +111,8 @@ def top_ngrams_first_seen(df: DataFrame, text_col: str, order_col: str, n: int =
             F.posexplode(T.ngrams(T.ngram_tokens(text_col, tokenizer), n)).alias("_p", "ngram"),
         )
 
-    counts = grams_of(df).groupBy("ngram").agg(F.count(F.lit(1)).alias("freq"), F.min("_d").alias("_d0"))
-    counts = write_scratch(counts, "ngram-counts")
+    counts, _ = heavy_ngrams(df, text_col, n, top_k, tokenizer, order_col)
+    counts = counts.withColumnRenamed("first", "_d0")
     head = counts.orderBy(F.desc("freq"), F.asc("_d0")).limit(top_k).collect()
     if not head:
         return counts.select("ngram", "freq").limit(0)

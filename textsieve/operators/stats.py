@@ -5,14 +5,13 @@ Scale notes
 * Every statistic first collapses rows to ``(column, value, count)`` with a
   partial + final hash aggregate, so a value that holds a third of all rows is
   one row after the map-side combine.
-* Exact quantiles never sort the whole column in one task: a bounded sketch
-  (``percentile_approx``) splits the distinct values into ``buckets`` ranges,
-  bucket totals give each bucket's rank offset, buckets that contain a
-  requested rank are split again while they are large, and only the last ones
-  are ordered (``Window`` per bucket).  The sketch only affects balance, never
-  the result.
-* Small per-column tables (bucket bounds, bucket totals, target ranks) are
-  bounded by ``len(cols) * buckets`` rows, so broadcasting them is safe.
+* Exact quantiles are found by radix selection.  A double's bits, with the lower
+  ones of negative numbers flipped, sort as the doubles do; a pass is one hash
+  aggregate over all columns that counts the values by their next ``BITS`` bits,
+  below the prefixes that hold a requested rank.  Four passes fix all 64 bits,
+  and a prefix with few distinct values is read at once instead.  Nothing is
+  sorted, joined or windowed, and the driver sees at most 2^BITS counts per
+  requested rank and pass.
 * Multi-pass statistics read the source once: the value-count table is written
   as Parquet in ``spark.checkpoint.dir`` (when the statistic is called, lineage
   cut) and every later pass scans that table instead of re-running the
@@ -22,15 +21,20 @@ Scale notes
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textsieve import patterns as P
 from textsieve.session import write_scratch
 
+#: bits that a pass of the selection tells apart, and distinct values that are read at once
+BITS, READ_VALUES = 16, 4096
 DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 
 
@@ -41,74 +45,89 @@ def _long_values(df: DataFrame, cols) -> DataFrame:
 
 
 def value_counts(df: DataFrame, cols, materialize: bool = True) -> DataFrame:
-    """(name, v, cnt): distinct values per column with multiplicity.
+    """(name, v, cnt): distinct values per column with multiplicity (written: and key, see ``sort_key``).
 
     With ``materialize`` the table is written below the checkpoint directory
     so the several passes of a statistic do not recompute the source."""
     vc = _long_values(df, cols).groupBy("name", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    return write_scratch(vc, "value-counts") if materialize else vc
-
-
-def quantiles_from_counts(vc: DataFrame, probs, buckets: int = 128, accuracy: int = 10000,
-                          most: int = 200_000) -> DataFrame:
-    """(name, p, value) linear-interpolated quantiles from a value-count table.
-
-    Position h = (n-1)*p, value = x[floor h] + (x[ceil h] - x[floor h]) * (h - floor h).
-
-    The buckets that contain a requested rank are refined, level by level, until
-    one is expected to hold at most ``most`` distinct values; only those are
-    ordered.  A level: sketch bounds per bucket (``buckets`` values) -> bucket id
-    per distinct value -> bucket totals -> rank offsets -> ranks attached to the
-    buckets that contain them (at most 2 per probability).
-    """
-    sizes = vc.groupBy("name").agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()  # a row per column
-    levels, left = 1, max((r["distinct"] for r in sizes), default=0) / buckets
-    while left > most:
-        levels, left = levels + 1, left / buckets
-    fractions = [i / buckets for i in range(1, buckets)]
-    # the requested ranks, at first in one bucket per column
-    ranks = []
-    for r in sizes:
-        for p in map(float, probs):
-            h = float(r["n"] - 1) * p
-            ranks += [(r["name"], p, h, math.floor(h), k) for k in sorted({math.floor(h), math.ceil(h)})]
-    fields = ("name string", "p double", "h double", "k_lo bigint", "k bigint")
-    rows = [F.struct(*[F.lit(x).cast(f.split()[1]).alias(f.split()[0]) for x, f in zip(r, fields)]) for r in ranks or [(None,) * 5]]
-    zero = F.lit(0).cast("long")
-    targets = vc.sparkSession.range(1).select(F.inline(F.array(*rows)), zero.alias("b"), zero.alias("off")).where("name is not null")
-    vb = vc.select("name", "v", "cnt", F.lit(0).cast("long").alias("b"))
-    for level in range(levels):
-        bounds = vb.groupBy("name", "b").agg(F.percentile_approx("v", fractions, accuracy).alias("bounds"))
-        vb = vb.join(F.broadcast(bounds), ["name", "b"]).select(
-            "name", "v", "cnt", F.col("b").alias("up"),
-            (F.col("b") * buckets + F.size(F.filter("bounds", lambda x: x < F.col("v")))).alias("b"))
-        inside = Window.partitionBy("name", "up").orderBy("b")
-        totals = (vb.groupBy("name", "up", "b").agg(F.sum("cnt").alias("tot"))
-                  .withColumn("in", F.sum("tot").over(inside) - F.col("tot")))
-        targets = (
-            totals.join(F.broadcast(targets.withColumnRenamed("b", "up")), ["name", "up"])  # two per probability and column
-            .withColumn("off", F.col("off") + F.col("in"))
-            .where((F.col("k") >= F.col("off")) & (F.col("k") < F.col("off") + F.col("tot")))
-            .select("name", "b", "off", "p", "h", "k_lo", "k")
-        )
-        vb = vb.drop("up")
-        if level + 1 < levels:  # the next level only looks at buckets with a rank in them
-            vb = vb.join(F.broadcast(targets.select("name", "b").distinct()), ["name", "b"], "left_semi")
-    per_target = Window.partitionBy("name", "b", "p", "k").orderBy("v")
-    picked = (
-        vb.join(F.broadcast(targets), ["name", "b"])
-        .withColumn("end", F.col("off") + F.sum("cnt").over(per_target))
-        .where((F.col("k") >= F.col("end") - F.col("cnt")) & (F.col("k") < F.col("end")))
-        .groupBy("name", "p", "h", "k_lo")
-        .agg(F.min_by("v", "k").alias("v_lo"), F.max_by("v", "k").alias("v_hi"))
-    )
-    return picked.select(
-        "name", "p",
-        (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("k_lo"))).alias("value"),
-    )
-
-
-def exact_quantiles(df: DataFrame, cols, probs, buckets: int = 128) -> DataFrame:
+    return write_scratch(_keyed(vc), "value-counts") if materialize else vc
+
+
+def sort_key(v: Column) -> Column:
+    """A long that orders as the double does (-0.0 as 0.0, NaN last)."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), v + F.lit(0.0)).cast("long")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits)
+
+
+def _buckets(vc: DataFrame, done: int, bits: int, prefixes: list[tuple[str, int]] | None) -> pd.DataFrame:
+    """Counts of the values by their first ``done + bits`` bits, of all or of those with one of the prefixes (name, first ``done`` bits)."""
+    rows = vc
+    if prefixes is not None:
+        rows = rows.where(reduce(Column.__or__, [(F.col("name") == n) & (F.shiftright("key", 64 - done) == p) for n, p in prefixes]))
+    out = (rows.groupBy("name", F.shiftright("key", 64 - done - bits).alias("prefix"))
+           .agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("distinct"), F.sum(F.col("v") * F.col("cnt")).alias("sum"), F.min("v").alias("lo"), F.max("v").alias("hi")))
+    return out.toPandas().sort_values(["name", "prefix"], ignore_index=True)
+
+
+def _keyed(vc: DataFrame) -> DataFrame:
+    return vc if "key" in vc.columns else vc.withColumn("key", sort_key(F.col("v")))
+
+
+def order_statistics(vc: DataFrame, ranks: dict[str, list[int]], first: pd.DataFrame, bits: int = BITS, most: int = READ_VALUES) -> dict[tuple[str, int], float]:
+    """The values at the given ranks (from 0) of each column; ``first`` is the first pass over the value-count table."""
+    out: dict[tuple[str, int], float] = {}
+    todo = [(name, k, k, None) for name, ks in ranks.items() for k in ks]  # column, rank, rank in the prefix, prefix
+    done, step, table = 0, min(bits, 64), first
+    while todo:
+        small, open_ = [], []
+        for (name, up), part in _by_parent(table, step, done):
+            ends = part["n"].cumsum().to_numpy()
+            for t in [t for t in todo if t[0] == name and (t[3] is None or t[3] == up)]:
+                i = int(np.searchsorted(ends, t[2], "right"))
+                row, within = part.iloc[i], t[2] - (int(ends[i - 1]) if i else 0)
+                if row["lo"] == row["hi"] or row["distinct"] == 1:
+                    out[t[0], t[1]] = float(row["lo"])
+                else:
+                    (small if row["distinct"] <= most else open_).append((name, t[1], within, int(row["prefix"])))
+        done += step
+        if small:  # a bounded number of values per rank
+            found = vc.where(reduce(Column.__or__, [(F.col("name") == n) & (F.shiftright("key", 64 - done) == p) for n, p in {(t[0], t[3]) for t in small}]))
+            values = found.select("name", F.shiftright("key", 64 - done).alias("prefix"), "key", "v", "cnt").toPandas().sort_values("key")
+            for (name, up), part in values.groupby(["name", "prefix"]):
+                ends = part["cnt"].cumsum().to_numpy()
+                for t in [t for t in small if t[0] == name and t[3] == up]:
+                    out[name, t[1]] = float(part["v"].iloc[int(np.searchsorted(ends, t[2], "right"))])
+        todo = open_
+        if todo:
+            step = min(bits, 64 - done)
+            table = _buckets(vc, done, step, sorted({(t[0], t[3]) for t in todo}))
+    return out
+
+
+def _by_parent(table: pd.DataFrame, step: int, done: int):
+    """The rows of a pass by column and the prefix that they refine."""
+    up = table["prefix"] // (1 << step) if done else table["prefix"] * 0
+    return ((key, part.reset_index(drop=True)) for key, part in table.groupby([table["name"], up.rename("up")]))
+
+
+def _quantiles(vc: DataFrame, probs, first: pd.DataFrame, bits: int = BITS, most: int = READ_VALUES) -> list[tuple[str, float, float]]:
+    """(column, p, value): x[floor h] + (x[ceil h] - x[floor h]) * (h - floor h) at h = (n - 1) * p."""
+    at = {(name, p): (int(n) - 1) * p for name, n in first.groupby("name")["n"].sum().items() for p in map(float, probs)}
+    ranks: dict[str, set[int]] = {}
+    for (name, _), h in at.items():
+        ranks.setdefault(name, set()).update((math.floor(h), math.ceil(h)))
+    x = order_statistics(vc, {n: sorted(k) for n, k in ranks.items()}, first, bits, most)
+    return [(name, p, x[name, math.floor(h)] + (x[name, math.ceil(h)] - x[name, math.floor(h)]) * (h - math.floor(h))) for (name, p), h in at.items()]
+
+
+def quantiles_from_counts(vc: DataFrame, probs, buckets: int = 1 << BITS, most: int = READ_VALUES) -> DataFrame:
+    """(name, p, value) linear-interpolated quantiles from a value-count table; a pass tells ``buckets`` (a power of two) apart."""
+    bits, keyed = max(1, math.ceil(math.log2(buckets))), _keyed(vc)
+    rows = _quantiles(keyed, probs, _buckets(keyed, 0, bits, None), bits, most)
+    return vc.sparkSession.createDataFrame(rows, "name string, p double, value double")
+
+
+def exact_quantiles(df: DataFrame, cols, probs, buckets: int = 1 << BITS) -> DataFrame:
     return quantiles_from_counts(value_counts(df, cols), probs, buckets)
 
 
@@ -136,32 +155,19 @@ def profile(df: DataFrame, cols, digits: int | None = None) -> DataFrame:
     """``describe()``-style profile: one row per statistic, one column per input
     column (count, mean, sample std, min, 25/50/75 % linear, max).  Columns
     without values have count 0 and NULL statistics.  ``digits`` rounds."""
-    spark = df.sparkSession
     vc = value_counts(df, cols)
-    mom = moments_from_counts(vc)
-    basic = mom.select(
-        "name",
-        F.explode(F.array(*[
-            F.struct(F.lit(s).alias("stat"), F.col(c).cast("double").alias("value"))
-            for s, c in [("count", "n"), ("mean", "mean"), ("std", "std"), ("min", "min"), ("max", "max")]
-        ])).alias("_s"),
-    ).select("name", "_s.stat", "_s.value")
-    q = quantiles_from_counts(vc, [0.25, 0.5, 0.75]).select(
-        "name",
-        F.concat((F.col("p") * 100).cast("int").cast("string"), F.lit("%")).alias("stat"),
-        "value",
-    )
-    value = F.first("value")
-    if digits is not None:
-        value = F.round(value, digits)
-    # one row per statistic even where no column has a value
-    empty = spark.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.lit(s).alias("stat"), F.lit(0.0 if s == "count" else None).cast("double").alias("value"))
-        for s in DESCRIBE_STATS for c in cols])))
-    found = basic.unionByName(q).withColumn("_r", F.lit(0)).unionByName(empty.withColumn("_r", F.lit(1)))
-    found = found.groupBy("name", "stat").agg(F.min_by("value", "_r").alias("value"))
-    order = F.array_position(F.array(*[F.lit(x) for x in DESCRIBE_STATS]), F.col("stat"))
-    return found.groupBy("stat").pivot("name", list(cols)).agg(value).orderBy(order)
+    first = _buckets(vc, 0, BITS, None)
+    by = first.groupby("name").agg(n=("n", "sum"), sum=("sum", "sum"), lo=("lo", "min"), hi=("hi", "max"))
+    stats = {(name, stat): float(v) for name, r in by.iterrows() for stat, v in (("count", r["n"]), ("mean", r["sum"] / r["n"]), ("min", r["lo"]), ("max", r["hi"]))}
+    # two-pass sample variance
+    mean = reduce(lambda e, n: F.when(F.col("name") == n, F.lit(stats[n, "mean"])).otherwise(e), by.index, F.lit(0.0))
+    squares = vc.groupBy("name").agg(F.sum(F.col("cnt") * (F.col("v") - mean) * (F.col("v") - mean)).alias("ss")).collect()
+    stats |= {(r["name"], "std"): math.sqrt(r["ss"] / (by["n"][r["name"]] - 1)) for r in squares if by["n"][r["name"]] > 1}
+    stats |= {(name, f"{int(p * 100)}%"): v for name, p, v in _quantiles(vc, [0.25, 0.5, 0.75], first)}
+    rows = [(s, *[stats.get((c, s), 0.0 if s == "count" else None) for c in cols]) for s in DESCRIBE_STATS]
+    schema = T.StructType([T.StructField("stat", T.StringType()), *[T.StructField(c, T.DoubleType()) for c in cols]])
+    out = df.sparkSession.createDataFrame(rows, schema).coalesce(1)
+    return out if digits is None else out.select("stat", *[F.round(F.col(f"`{c}`"), digits).alias(c) for c in cols])
 
 
 def with_bin_index(df: DataFrame, v: Column, lo: Column, hi: Column, n: Column, out: str = "bin",
@@ -238,14 +244,13 @@ def auto_bin_count(df: DataFrame, col: str) -> int:
 
 
 def _auto_bins(vc: DataFrame) -> int:
-    mom = moments_from_counts(vc)
-    q = quantiles_from_counts(vc, [0.25, 0.75]).groupBy("name").agg(
-        (F.max_by("value", "p") - F.min_by("value", "p")).alias("iqr")
-    )
-    row = mom.join(q, "name", "left").select("n", "min", "max", "iqr").first()
-    if row is None or row["n"] == 0:
+    vc = _keyed(vc)
+    first = _buckets(vc, 0, BITS, None)
+    if first.empty:
         return 1
-    n, mn, mx, iqr = row["n"], row["min"], row["max"], row["iqr"] or 0.0
+    n, mn, mx = int(first["n"].sum()), float(first["lo"].min()), float(first["hi"].max())
+    low, high = (v for *_, v in _quantiles(vc, [0.25, 0.75], first))
+    iqr = high - low
     lo, hi = (mn - 0.5, mx + 0.5) if mn == mx else (mn, mx)
     sturges = (mx - mn) / (math.log2(n) + 1.0)
     fd = 2.0 * iqr * n ** (-1.0 / 3.0)

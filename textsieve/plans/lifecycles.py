@@ -61,7 +61,7 @@ def clean_and_publish(spark: SparkSession, docs: DataFrame, out_dir: str, id_col
         "richness_hist": S.auto_histogram(table, "richness"),
         "richness_kde": S.gaussian_kde(table, "richness"),
         "top_complex": NG.top_by(table, "complexity", [id_col, "complexity"], P.TOP_COMPLEX, id_col),
-        "top_ngrams": NG.top_ngrams(table, "final_text", P.NGRAM_N, P.NGRAM_TOP_K),
+        "top_ngrams": NG.top_ngrams_bounded(table, "final_text", P.NGRAM_N, P.NGRAM_TOP_K),
     })
     reports["clean"] = table
     return reports

@@ -88,6 +88,10 @@ def q_top_bigrams(spark, sf):
     return NG.top_ngrams(clean_documents(spark, sf), "final_text", P.NGRAM_N, P.NGRAM_TOP_K)
 
 
+def q_top_bigrams_bounded(spark, sf):
+    return NG.top_ngrams_bounded(clean_documents(spark, sf), "final_text", P.NGRAM_N, P.NGRAM_TOP_K)
+
+
 def q_top_bigrams_unicode(spark, sf):
     return NG.top_ngrams(clean_documents(spark, sf), "final_text", P.NGRAM_N, P.NGRAM_TOP_K, tokenizer="unicode")
 
@@ -129,6 +133,7 @@ QUERIES: dict[str, Query] = {
     "profile": q_profile,
     "mean_richness": q_mean_richness,
     "top_bigrams": q_top_bigrams,
+    "top_bigrams_bounded": q_top_bigrams_bounded,
     "top_bigrams_unicode": q_top_bigrams_unicode,
     "top_bigrams_first_seen": q_top_bigrams_first_seen,
     "histogram_words": q_histogram_words,
