@@ -316,6 +316,7 @@ FROM part"""
     q["append_new"] = f"""WITH {TITLED}
 SELECT coalesce(min(doc_id) FILTER (doc_id IN (SELECT doc_id FROM labels)), min(doc_id)) AS doc_id, source, title
 FROM titled GROUP BY source, title"""
+    q["table_append"] = q["append_new"]
     # '...' begins the text, but a later one in it cuts again
     q["song_tree_ingest"] = f"""WITH {TITLED},
 f AS (SELECT source || ' +%41 పాట' AS movie_name, '100% ' || replace(title[1:40], '/', '_') AS song_name, max(doc_id) AS doc_id

@@ -25,6 +25,7 @@ from textsieve.operators import stats as S
 from textsieve.plans import lifecycles as L
 from textsieve.plans.oracle_sql import DENSITY_CHARS, SCRIPT
 from textsieve.session import scratch_path
+from textsieve.sources import catalog_tables as CT
 from textsieve.sources import files as IO
 from textsieve.sources import trees as TR
 from textsieve.sources.tables import read_table
@@ -407,6 +408,21 @@ def q_append_new(spark, sf):
     return spark.read.parquet(path).select("doc_id", "source", "title")
 
 
+def q_table_append(spark, sf):
+    """``append_new`` on a bucketed table by name: created from the labelled documents, then all documents appended twice."""
+    d = titled_documents(spark, sf).select("doc_id", "source", "title")
+    path = scratch_path(spark, "database")
+    db = "db_" + path.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{path}'")
+    name, keys = f"{db}.songs", ["source", "title"]
+    labelled = d.join(table(spark, sf, "labels", ["doc_id"]), "doc_id", "left_semi")
+    CT.replace_table(d.limit(0), name, keys, 16)
+    CT.replace_table(SETS.one_per_key(labelled, SETS.key_digest(F.col("source"), F.col("title")), F.col("doc_id")), name, keys, 16)
+    for _ in range(2):
+        CT.append_new_to(d, name, keys, order_col="doc_id")
+    return CT.read_named(spark, name, ["doc_id", "source", "title"])
+
+
 def q_attach_report(spark, sf):
     """Audio files exist for small parts only; how many catalog rows find theirs."""
     p = table(spark, sf, "part", ["p_name", "p_type", "p_size"])
@@ -509,6 +525,7 @@ def q_semi_titles(spark, sf):
 
 
 QUERIES.update({
+    "table_append": q_table_append,
     "song_tree_ingest": q_song_tree_ingest,
     "scraped_tree_ingest": q_scraped_tree_ingest,
     "csv_row_index": q_csv_row_index,
