@@ -18,7 +18,6 @@ def test_every_query_has_an_oracle():
 
 def test_every_query_has_rows(spark):
     # few rows at the smallest scale: no shelf may have a candidate that qualifies
-    may_be_empty = {"first_candidate", "page_lyrics", "lang_filter", "catalog_fallback"}
+    larger = {"first_candidate", "page_lyrics", "page_lyrics_rounds", "lang_filter", "catalog_fallback"}
     for name, fn in QUERIES.items():
-        if name not in may_be_empty:
-            assert fn(spark, SF).count() > 0, name
+        assert fn(spark, SF.replace("0.001", "0.01") if name in larger else SF).count() > 0, name

@@ -1,8 +1,11 @@
 import re
 
+import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from conftest import evaluate
 from textsieve import patterns as P
 from textsieve.functions import text as T
@@ -101,3 +104,24 @@ def test_ngrams(spark):
 def test_is_label_and_contains_any(spark):
     assert evaluate(spark, ["Singer: x", "a: b c d", "no colon"], T.is_label("t")) == [True, False, False]
     assert evaluate(spark, ["Homeland", "fine"], T.contains_any("t", ["home"])) == [True, False]
+
+
+def test_exact_word_characters_over_all_code_points(spark):
+
+
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    word = re.compile(r"\w")
+    want = {c for c in points if word.match(chr(c))}
+    blocks = [points[a:a + 4096] for a in range(0, len(points), 4096)]
+    df = spark.createDataFrame([("".join(map(chr, b)),) for b in blocks], "t string")
+    one = P.word_class()
+    got = df.select(F.regexp_extract_all("t", F.lit(one.java), 0).alias("w"), F.regexp_replace("t", P.word_class(negate=True).java, "").alias("kept"),
+                    T.slug("t", exact=True).alias("slug")).collect()
+    assert {ord(c) for r in got for c in r["w"]} == want
+    assert {ord(c) for r in got for c in r["kept"]} == want
+    assert {ord(c) for r in got for c in r["slug"]} == want | {ord("-")}
+    con = duckdb.connect()
+    for b in blocks[::8]:
+        found = con.execute(f"SELECT regexp_extract_all(?, '{one.re2}')", ["".join(map(chr, b))]).fetchone()[0]
+        assert {ord(c) for c in found} == want & set(b)
+    assert P.ngram_token("exact").java.endswith("{2,}") and P.slug_drop() is P.SLUG_DROP

@@ -130,7 +130,7 @@ def char_density(col, chars: str = P.TELUGU_DENSITY_CHARS, non_ws: Column | None
 
 def ngram_tokens(col, mode: str = "compat") -> Column:
     """Lower-case, then runs of >= 2 word characters (see patterns.NGRAM_TOKEN)."""
-    return F.regexp_extract_all(F.lower(_c(col)), F.lit(P.NGRAM_TOKEN[mode].java), 0)
+    return F.regexp_extract_all(F.lower(_c(col)), F.lit(P.ngram_token(mode).java), 0)
 
 
 def ngrams(tok: Column, n: int = 2) -> Column:
@@ -157,9 +157,9 @@ def normalize_key(col, null_as: str | None = "nan") -> Column:
     return F.replace(py_strip(F.lower(c)), F.lit("_"), F.lit(" "))
 
 
-def slug(col) -> Column:
-    """File-name slug: spaces to '_', then drop all but letters, digits, '_', '-'."""
-    return F.regexp_replace(F.replace(_c(col), F.lit(" "), F.lit("_")), P.SLUG_DROP.java, "")
+def slug(col, exact: bool = False) -> Column:
+    """File-name slug: spaces to '_', then drop all but letters, digits, '_', '-' (``exact``: as one Unicode version has them)."""
+    return F.regexp_replace(F.replace(_c(col), F.lit(" "), F.lit("_")), P.slug_drop(exact).java, "")
 
 
 def contains_any(col, words) -> Column:

@@ -8,6 +8,7 @@ from the same code-point ranges so they cannot drift apart.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 # --- fixed values (must equal the studied pipeline for identical results) ---
 #
@@ -136,6 +137,44 @@ def char_class(ranges, extra: str = "", negate: bool = False) -> Pattern:
     return Pattern(java, re2)
 
 
+@lru_cache(maxsize=1)
+def word_ranges() -> tuple[tuple[int, int], ...]:
+    """Code-point ranges of the word characters of Python's regular expressions (``\\w``): letters and digits of any kind and '_'.
+
+    They follow from the Unicode version of the Python that plans the query
+    (``unicodedata.unidata_version``); the ranges travel in the pattern, so no
+    other version (Java's, DuckDB's) takes part.
+    """
+    out, low = [], None
+    for c in range(0x110001):
+        word = c < 0x110000 and (chr(c).isalnum() or c == 0x5F)
+        if word and low is None:
+            low = c
+        elif not word and low is not None:
+            out.append((low, c - 1))
+            low = None
+    return tuple(out)
+
+
+#: ranges tested together, behind one test of their span
+RANGE_GROUP = 28
+
+
+@lru_cache(maxsize=8)
+def word_class(extra: str = "", negate: bool = False) -> Pattern:
+    """The exact word characters as a class.
+
+    A Java class tests its ranges one after the other, so ranges beyond ASCII lie
+    in groups that are only looked into for characters within their span.
+    """
+    low = [r for r in word_ranges() if r[1] < 0x80]
+    high = [r for r in word_ranges() if r[1] >= 0x80]
+    groups = [high[i:i + RANGE_GROUP] for i in range(0, len(high), RANGE_GROUP)]
+    inner = "".join(f"[{_class_body([(g[0][0], g[-1][1])], _java_cp)}&&[{_class_body(g, _java_cp)}]]" for g in groups)
+    java = f"[{_class_body(low, _java_cp)}{_escape_chars(extra, _java_cp)}[[^\\x00-\\x7F]&&[{inner}]]]"
+    return Pattern(f"[^{java}]" if negate else java, char_class(word_ranges(), extra, negate).re2)
+
+
 WS = char_class(WHITESPACE_RANGES)
 NOT_WS = char_class(WHITESPACE_RANGES, negate=True)
 # One whitespace-separated token (Python str.split()).
@@ -150,6 +189,20 @@ NGRAM_TOKEN = {
     "compat": Pattern("[\\p{L}\\p{N}_]{2,}", "[\\p{L}\\p{N}_]{2,}"),
     "unicode": Pattern("[\\p{L}\\p{M}\\p{N}_]{2,}", "[\\p{L}\\p{M}\\p{N}_]{2,}"),
 }
+
+
+def ngram_token(mode: str) -> Pattern:
+    """The n-gram tokenizer of a mode; "exact" is "compat" with the exact word characters."""
+    if mode == "exact":
+        return Pattern(word_class().java + "{2,}", word_class().re2 + "{2,}")
+    return NGRAM_TOKEN[mode]
+
+
+def slug_drop(exact: bool = False) -> Pattern:
+    """What a slug drops after spaces became underscores; ``exact`` by the exact word characters."""
+    return word_class("-", negate=True) if exact else SLUG_DROP
+
+
 # Slug: characters kept after spaces became underscores.
 SLUG_DROP = Pattern("[^\\p{L}\\p{N}_\\-]", "[^\\p{L}\\p{N}_\\-]")
 

@@ -136,6 +136,8 @@ tk AS (SELECT regexp_extract_all(lower(final_text), '{NGRAM}') AS w FROM clean),
 bg AS (SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS ngram FROM tk)
 SELECT ngram, count(*) AS freq FROM bg GROUP BY ngram ORDER BY freq DESC, ngram ASC LIMIT {P.NGRAM_TOP_K}"""
     q["top_bigrams_bounded"] = q["top_bigrams"]
+    q["top_bigrams_exact"] = q["top_bigrams"].replace(f"'{NGRAM}'", f"'{P.ngram_token('exact').re2}'")
+    q["slug_exact"] = f"SELECT doc_id, md5(regexp_replace(replace(text, ' ', '_'), '{P.slug_drop(True).re2}', '', 'g')) AS slug_md5 FROM documents"
     q["top_bigrams_unicode"] = q["top_bigrams"].replace(f"'{NGRAM}'", f"'{NGRAM_UNI}'")
     q["top_bigrams_first_seen"] = f"""WITH {SCORED}, {GATED},
 tk AS (SELECT doc_id, regexp_extract_all(lower(final_text), '{NGRAM}') AS w FROM clean),

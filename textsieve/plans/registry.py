@@ -93,6 +93,15 @@ def q_top_bigrams_bounded(spark, sf):
     return NG.top_ngrams_bounded(clean_documents(spark, sf), "final_text", P.NGRAM_N, P.NGRAM_TOP_K)
 
 
+def q_top_bigrams_exact(spark, sf):
+    return NG.top_ngrams_bounded(clean_documents(spark, sf), "final_text", P.NGRAM_N, P.NGRAM_TOP_K, tokenizer="exact")
+
+
+def q_slug_exact(spark, sf):
+    """Slugs of whole texts by the exact word characters."""
+    return documents(spark, sf).select("doc_id", F.md5(TX.slug("text", exact=True).cast("binary")).alias("slug_md5"))
+
+
 def q_top_bigrams_unicode(spark, sf):
     return NG.top_ngrams(clean_documents(spark, sf), "final_text", P.NGRAM_N, P.NGRAM_TOP_K, tokenizer="unicode")
 
@@ -135,6 +144,8 @@ QUERIES: dict[str, Query] = {
     "mean_richness": q_mean_richness,
     "top_bigrams": q_top_bigrams,
     "top_bigrams_bounded": q_top_bigrams_bounded,
+    "top_bigrams_exact": q_top_bigrams_exact,
+    "slug_exact": q_slug_exact,
     "top_bigrams_unicode": q_top_bigrams_unicode,
     "top_bigrams_first_seen": q_top_bigrams_first_seen,
     "histogram_words": q_histogram_words,

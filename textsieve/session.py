@@ -68,8 +68,14 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, for clusters where it is not installed."""
+    """Send this package to the executors, once an application, for clusters where it is not installed."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    _shipped.add(spark.sparkContext.applicationId)
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     base = os.path.join(tempfile.mkdtemp(prefix="textsieve-zip-"), "textsieve")
     spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, "textsieve"))

@@ -162,7 +162,8 @@ def write_text_tree(df: DataFrame, base: str, movie_col: str, song_col: str, bod
         folder_slug(movie_col).alias("movie_slug"), folder_slug(song_col).alias("song_slug"),
         body.alias("value"), F.col(order_col).alias("_o"),
     )
-    last = keyed.groupBy("movie_slug", "song_slug").agg(F.max_by("value", "_o").alias("value"))
+    key = key_digest(F.col("movie_slug"), F.col("song_slug"))
+    last = one_per_key(keyed, key, F.col("_o"), last=True).drop("_o")
     if per_song:
         last.write.mode(mode).partitionBy("movie_slug", "song_slug").text(base)
     else:
@@ -227,11 +228,15 @@ def append_new(spark: SparkSession, df: DataFrame, path: str, keys, order_col: s
     number of rows appended.  Creates the table when it does not exist.
 
     NULL keys are equal to each other.  Of the batch's rows with one key the
-    first by ``order_col`` is taken (of equal ones, or without an order, the least
-    by a digest of the row), so a replay adds nothing.  Only key columns of the
-    table are read; an unreadable table raises and stays as it is."""
+    first by ``order_col`` is taken, without an order the least by the beginnings
+    (64 characters) of the other columns; of equal ones the least by a digest of
+    the row, so a replay adds nothing.  Only key columns of the table are read;
+    an unreadable table raises and stays as it is."""
     keys = list(keys)
-    one = one_per_key(df, key_digest(*[F.col(k) for k in keys]), F.col(order_col) if order_col else None)
+    rest = [F.left(F.col(f"`{f.name}`").cast("string"), F.lit(64)) if f.dataType == T.StringType() else F.col(f"`{f.name}`")
+            for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, T.MapType)]
+    order = F.col(order_col) if order_col else F.struct(*[c.alias(f"o{i}") for i, c in enumerate(rest)]) if rest else None
+    one = one_per_key(df, key_digest(*[F.col(k) for k in keys]), order)
     if table_exists(spark, path):
         old = spark.read.parquet(path).select(*[F.col(k).alias(f"_old_{k}") for k in keys])
         same = F.lit(True)
