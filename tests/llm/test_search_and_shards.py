@@ -188,6 +188,22 @@ def test_shard_files_hold_every_row_once_with_its_slot(spark):
     assert sorted((r["shard"], r["slot"], str(r["doc_id"]), len(r["text"]) + 16, r["old"]) for r in back) == planned
 
 
+def test_blocks_and_writing_tasks_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(sharding, "BLOCKS", 4)
+    df = spark.createDataFrame([(i, "t" * 84, i % 3 % 2) for i in range(900)], "doc_id long, text string, old int")
+    out, flow = sharding.reshard(df, F.col("old"), 4)
+    sizes = {r["shard"]: r["s"] for r in out.groupBy("shard").agg(F.sum("size").alias("s")).collect()}
+    assert flow.starts.count() > 100 and max(sizes.values()) - min(sizes.values()) <= 200
+    root = tempfile.mkdtemp(prefix="textsieve-test-") + "/shards"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sharding.rewrite_affected(df, out, flow, root, write_bytes=1000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(root)
+    rows = files.groupBy(F.input_file_name()).count().agg(F.max("count"), F.count("*")).first()
+    assert files.count() == out.filter(F.col("shard").isin(sharding.affected_shards(flow))).count() and rows[0] <= 120 and rows[1] > 40
+
+
 def test_sharding_query_returns_what_its_files_hold(spark, monkeypatch):
     roots = []
     monkeypatch.setattr(sharding, "scratch_path", lambda *a: roots.append(tempfile.mkdtemp(prefix="textsieve-test-") + "/shards") or roots[-1])

@@ -1,12 +1,13 @@
 """Resharding by minimum-cost flow: move the fewest bytes from the old shards into new capacities.
 
-The rows of an old shard fall into ``BLOCKS`` blocks by hash.  Old shard sizes
+The rows of an old shard fall into blocks by hash, ``BLOCKS`` or as many as keep
+the largest shard's blocks at about ``BLOCK_BYTES``.  Old shard sizes
 and new capacities are a transport problem whose cost is the bytes moved (a
 byte that stays in the shard of its number is free); its solution says how many
 bytes go from each old shard to each new one.  Blocks are then laid end to end
 in each old shard and cut at the solution's boundaries, so whole blocks move
 and only a block at a boundary is split between rows.  The driver sees block
-and shard totals (a fixed number), never and shard totals (a fixed number), never rows.  Only shards that lose or gain
+and shard totals (shards x BLOCKS, or one per ``BLOCK_BYTES``), never rows.  Only shards that lose or gain
 rows are written again: a row's key is its place (old shard, block, number in
 the block), so whole rows are dealt once, by new shard, and placed as planned.
 """
@@ -23,11 +24,11 @@ from textsieve.session import scratch_path
 
 from .shared import Scratch, table
 
-BLOCKS = 256
+BLOCKS, BLOCK_BYTES = 256, 256 << 20
 #: bytes of a row besides its text
 ROW_BYTES = 16
-#: tasks that write a shard
-WRITERS = 8
+#: tasks that write a shard, at least, and the bytes that one writes
+WRITERS, WRITE_BYTES = 8, 512 << 20
 
 
 class FlowNetwork:
@@ -115,7 +116,11 @@ def _columns(old_shard, id_col: str, text_col: str, blocks: int) -> list[Column]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     own, crc = F.col(id_col).cast("long"), F.crc32(text)
     return [own.alias("id"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), crc.alias("text_crc32"),
-            F.coalesce(old_shard.cast("int"), F.lit(0)).alias("old_shard"), F.pmod(F.xxhash64(own, crc), F.lit(blocks)).cast("int").alias("block")]
+            F.coalesce(old_shard.cast("int"), F.lit(0)).alias("old_shard"), _block(own, crc, blocks).alias("block")]
+
+
+def _block(own: Column, crc: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(own, crc), F.lit(blocks)).cast("int")
 
 
 def _numbered(rows: DataFrame, *dealt: str) -> DataFrame:
@@ -146,7 +151,7 @@ def _slotted(rows: DataFrame, offsets: DataFrame) -> DataFrame:
 
 
 def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", text_col: str = "text",
-            capacity: list[int] | None = None, blocks: int = BLOCKS) -> tuple[DataFrame, Transfers]:
+            capacity: list[int] | None = None, blocks: int | None = None) -> tuple[DataFrame, Transfers]:
     """(id, size, text_crc32, old_shard, shard, slot) per row, and the byte transfers that led there.
 
     ``old_shard`` is a column of small integers (null counts as shard 0).
@@ -156,9 +161,11 @@ def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", tex
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
+    sized = scratch.put("sized", docs.select(*_columns(old_shard, id_col, text_col, 1)[:-1]))
+    largest = sized.groupBy("old_shard").agg(F.sum("size").alias("b")).agg(F.max("b")).first()[0] or 0
+    blocks = blocks or max(BLOCKS, -(-largest // BLOCK_BYTES))
     columns = _columns(old_shard, id_col, text_col, blocks)
-    # a block is a small part of a shard however large that is
-    rows = scratch.put("rows", _numbered(docs.select(*columns)))
+    rows = scratch.put("rows", _numbered(sized.withColumn("block", _block(F.col("id"), F.col("text_crc32"), blocks))))
     # block totals: old shards x blocks numbers
     totals = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("size")).orderBy("old_shard", "block").collect()
     old: dict[int, int] = {}
@@ -185,7 +192,7 @@ def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", tex
     offsets = spark.createDataFrame(offset, "fj int, fs int, fb int, shift long")
     out = _slotted(placed, offsets).select("id", "size", "text_crc32", "old_shard", "shard", "slot")
     flow.columns, flow.starts, flow.bounds, flow.offsets = columns, starts, bounds, offsets
-    scratch.drop("rows")
+    scratch.drop("sized", "rows")
     return out, flow
 
 
@@ -194,13 +201,14 @@ def affected_shards(flow: dict[tuple[int, int], int]) -> list[int]:
     return sorted({x for (k, j) in flow if k != j for x in (k, j)})
 
 
-def rewrite_affected(docs: DataFrame, assigned: DataFrame, flow: Transfers, root: str) -> list[int]:
+def rewrite_affected(docs: DataFrame, assigned: DataFrame, flow: Transfers, root: str, write_bytes: int = WRITE_BYTES) -> list[int]:
     """Write the new content of the affected shards below ``root`` as shard=<n> folders; returns their numbers.
 
     ``assigned`` and ``flow`` are what ``reshard`` returned for ``docs``.  Files
     hold all columns and the slot; columns named shard or slot are replaced.
     Null and repeated ids are rows like any other.  Without affected shards
-    nothing is written.  Readers take affected shards from ``root`` and the
+    nothing is written.  A shard is written by as many tasks as keep each at
+    about ``write_bytes``, ``WRITERS`` at least.  Readers take affected shards from ``root`` and the
     other shards from where they are.
     """
     shards = affected_shards(flow)
@@ -211,7 +219,12 @@ def rewrite_affected(docs: DataFrame, assigned: DataFrame, flow: Transfers, root
     # an old shard's rows go to affected shards if it is one itself, and stay if not
     rows = _begun(rows.filter(F.col("old_shard").isin(shards)), flow.starts, flow.bounds)
     # a block's rows go together to where its first byte goes, so nearly all rows are where they are written
-    rows = rows.withColumn("dest", _shard_at("first")).withColumn("writer", F.pmod("block", F.lit(WRITERS))).repartition("dest", "writer")
+    filled: dict[int, int] = {}
+    for (_, j), amount in flow.items():
+        filled[j] = filled.get(j, 0) + amount
+    writers = max(WRITERS, -(-max(filled.values()) // write_bytes))
+    rows = rows.withColumn("dest", _shard_at("first")).withColumn("writer", F.pmod("block", F.lit(writers)))
+    rows = rows.repartition(len(shards) * writers, "dest", "writer")
     rows = _slotted(_middle(_numbered(rows, "dest", "writer")), flow.offsets)
     rows.select("row.*", "slot", "shard").write.mode("overwrite").partitionBy("shard").parquet(root)
     written, due = docs.sparkSession.read.parquet(root).count(), assigned.filter(F.col("shard").isin(shards)).count()
