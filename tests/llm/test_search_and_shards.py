@@ -1,6 +1,7 @@
 """Nearest neighbours, URL filter, sharding and mixing."""
 
 import random
+import re
 import tempfile
 
 import duckdb
@@ -257,11 +258,58 @@ def test_mix_samples_to_targets(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
-def test_small_categories_are_pooled(spark, monkeypatch):
-    monkeypatch.setitem(mixing.CATEGORIES, "source", 2)
-    rows = [(i, "w " * (10 if i % 5 < 2 else 1), f"s{i % 5}", "en") for i in range(100)]
-    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()
-    assert {r["source"] for r in out} == {"s0", "s1", mixing.OTHER} and len(out) == 100
+def test_what_full_values_cannot_take_goes_to_the_others():
+    got = mixing.capped(np.array([5.0, 3, 1, 1, 0]), np.array([10.0, 100, 100, 5, 50]), 100)
+    assert np.allclose(got, [10, 63.75, 21.25, 5, 0])
+    assert np.allclose(mixing.capped(np.array([1.0, 1]), np.array([10.0, 20]), 500), [10, 20])
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        shares, have = rng.integers(0, 5, 6).astype(float), rng.integers(0, 40, 6).astype(float)
+        total = rng.uniform(0, have[shares > 0].sum())
+        got = mixing.capped(shares, have, total)
+        assert np.all(got <= have + 1e-9) and np.all(got[shares == 0] == 0)
+        if shares.sum():
+            assert np.isclose(got.sum(), total)
+            open_ = (got < have - 1e-9) & (shares > 0)
+            assert np.allclose(got[open_] / shares[open_], (got[open_] / shares[open_])[:1])
+
+
+def test_query_meets_what_the_cells_can_give_and_reports_the_rest(spark):
+    """The whole query against raking by brute force, and its report."""
+    sf = "/root/testdata/sf0.001"
+    out = mixing.op10_mixing(spark, sf).cache()
+    rows = out.collect()
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    cells = {}
+    for r in rows:
+        assert r["n_tokens"] == len([w for w in re.split("[ \t\n\v\f\r]+", docs[r["doc_id"]]["text"] or "") if w])
+        c = cells.setdefault((r["source"], r["lang"], r["topic"]), [0, r["probability"]])
+        c[0] += r["n_tokens"]
+        assert r["kept"] == (r["draw"] < r["probability"]) and c[1] == r["probability"]
+    have = {k: t for k, (t, _) in cells.items()}
+    total, w = 0.8 * sum(have.values()), {k: 0.8 * t for k, t in have.items()}
+    of = [{v: sum(t for k, t in have.items() if k[d] == v) for v in {k[d] for k in have}} for d in range(3)]
+    goals = []
+    for values in of:
+        names = sorted(values)
+        g = mixing.capped(np.array([values[n] ** 0.7 for n in names]), np.array([float(values[n]) for n in names]), total)
+        goals.append(dict(zip(names, g)))
+    for _ in range(2000):
+        for d in range(3):
+            for v, g in goals[d].items():
+                got = sum(x for k, x in w.items() if k[d] == v)
+                for k in w:
+                    if k[d] == v and got > 0:
+                        w[k] = min(have[k], w[k] * g / got)
+    assert all(abs(w[k] - p * t) <= 1e-3 * max(t, 1) for k, (t, p) in cells.items() if t)
+    rep = {(r["dimension"], r["value"]): r for r in mixing.report(out.withColumnRenamed("doc_id", "id")).collect()}
+    for d, name in enumerate(mixing.DIMENSIONS):
+        assert np.isclose(sum(r["asked"] for (n, _), r in rep.items() if n == name), total)
+        for v in of[d]:
+            r = rep[name, v]
+            assert r["available"] == of[d][v] and r["kept"] <= r["available"] and r["expected"] <= r["available"] * (1 + 1e-9)
+            assert np.isclose(r["expected"], sum(x for k, x in w.items() if k[d] == v), rtol=1e-3, atol=1)
+    print({k: (round(r["asked"]), r["available"], round(r["expected"])) for k, r in rep.items()})
 
 
 def test_every_category_is_raked_by_itself(spark):

@@ -1,8 +1,10 @@
 """Mixing sources to target weights: iterative proportional fitting, then sampling by calibrated probabilities.
 
 Token counts of (source, language, topic) cells are raked until the marginals
-of every dimension meet their targets; no cell is given more tokens than it
-has.  A document is kept with the probability that its cell's raked tokens
+of every dimension meet their targets as far as the cells can: no cell is given
+more tokens than it has, a value that is asked for more than it has gives all it
+has, and the rest is spread over the dimension's other values by their targets.
+``report`` returns what was asked for, there and reached.  A document is kept with the probability that its cell's raked tokens
 imply, by a hash of its id, so a run repeats exactly and lost tasks draw the
 same again.
 
@@ -25,12 +27,9 @@ from pyspark.sql import types as T
 from .shared import Scratch, column, table, whole_row
 
 DIMENSIONS = ("source", "lang", "topic")
-#: names to show, by dimension: only so many of the largest, the other values are raked by themselves too but returned as OTHER
-CATEGORIES: dict[str, int] = {}
 #: cells that the driver rakes at most
 DRIVER_CELLS = 50_000
 ROUNDS, TOLERANCE = 500, 1e-9
-OTHER = "(other)"
 NONE = "(none)"
 #: share of all tokens to keep, and the exponent that tempers natural shares where no targets are given
 KEEP, TEMPER = 0.8, 0.7
@@ -62,6 +61,21 @@ def counted(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def capped(shares: np.ndarray, have: np.ndarray, total: float) -> np.ndarray:
+    """``total`` dealt by shares, none over what it has: what full values cannot take goes to the others by their shares."""
+    out, full = np.zeros(len(shares)), np.zeros(len(shares), bool)
+    while True:
+        open_ = np.where(full, 0.0, shares)
+        if not open_.sum():
+            return out
+        out = np.where(full, have, open_ / open_.sum() * (total - have[full].sum()))
+        over = ~full & (shares > 0) & (out >= have)
+        if not over.any():
+            return out
+        full |= over
+        out = np.where(full, have, 0.0)
+
+
 def rake(tokens: np.ndarray, codes: np.ndarray, targets: list[np.ndarray], total: float, rounds: int = ROUNDS,
          tolerance: float = TOLERANCE) -> np.ndarray:
     """Tokens to take of each cell: marginals proportional to the targets as far as the cells' tokens allow.
@@ -69,7 +83,7 @@ def rake(tokens: np.ndarray, codes: np.ndarray, targets: list[np.ndarray], total
     tokens: of each cell; codes[d]: the cells' category in dimension d;
     targets[d]: shares of its categories; total: tokens to take.
     """
-    want = [t / t.sum() * total for t in targets]
+    want = [capped(t, np.bincount(c, tokens, len(t)), total) for t, c in zip(targets, codes)]
     w = tokens.astype(float) * (total / max(tokens.sum(), 1))
     for _ in range(rounds):
         last = w
@@ -132,24 +146,29 @@ def _by_tables(cells: DataFrame, targets, keep: float, temper: float, scratch: S
         values = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").cast("double").alias("n"))
         if targets and d in targets:
             asked = cells.sparkSession.createDataFrame([(k, float(v)) for k, v in targets[d].items()], "name string, share double")
-            values = values.join(asked, F.col("value") == F.col("name"), "left").select("value", F.coalesce("share", F.lit(0.0)).alias("goal"))
+            values = values.join(asked, F.col("value") == F.col("name"), "left").select("value", "n", F.coalesce("share", F.lit(0.0)).alias("share"))
         else:
-            values = values.select("value", F.pow("n", F.lit(float(temper))).alias("goal"))
-        values = scratch.put(f"goals-{d}", values)
-        whole, n = values.agg(F.sum("goal"), F.count("*")).first()
-        goals[d] = values.select("value", (F.col("goal") * F.lit(total / whole) if whole and whole > 0 else F.lit(total / max(n, 1))).alias("goal"))
+            values = values.select("value", "n", F.pow("n", F.lit(float(temper))).alias("share"))
+        values = scratch.put(f"shares-{d}", values)
+        whole = values.agg(F.sum("share")).first()[0]
+        goals[d] = _capped_goals(values if whole else values.withColumn("share", F.lit(1.0)), total, f"goals-{d}", scratch)
     share = F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(1.0)
     return rake_table(cells, goals, total).select(*[F.col(d).alias(x) for d, x in zip(DIMENSIONS, "slt")], share.alias("probability"))
 
 
-def _shown(rows: DataFrame, counts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Values outside a dimension's largest under one name, where ``CATEGORIES`` has an entry."""
-    for d, limit in CATEGORIES.items():
-        top = (counts.groupBy(F.col(d).alias("value")).agg(F.sum("n_tokens").alias("t")).orderBy(F.desc("t"), "value")
-               .limit(limit).select(F.col("value").alias(f"kept_{d}")))
-        rows = (rows.join(F.broadcast(scratch.put(f"largest-{d}", top)), F.col(d) == F.col(f"kept_{d}"), "left")
-                .withColumn(d, F.coalesce(f"kept_{d}", F.lit(OTHER))).drop(f"kept_{d}"))
-    return rows
+def _capped_goals(values: DataFrame, total: float, name: str, scratch: Scratch) -> DataFrame:
+    """``capped`` for any number of values: (value, goal) of a table (value, share, n); each step is one aggregate and a written table."""
+    values, last = scratch.put(f"{name}-0", values.withColumn("full", F.lit(False))), f"{name}-0"
+    for i in range(1, 100):
+        row = values.agg(F.sum(F.when(~F.col("full"), F.col("share"))), F.sum(F.when(F.col("full"), F.col("n")))).first()
+        factor = (total - (row[1] or 0.0)) / row[0] if row[0] else 0.0
+        over = ~F.col("full") & (F.col("share") > 0) & (F.col("share") * factor >= F.col("n"))
+        if not row[0] or not values.filter(over).limit(1).count():
+            break
+        values = scratch.put(f"{name}-{i}", values.withColumn("full", F.col("full") | over))
+        scratch.drop(last)
+        last = f"{name}-{i}"
+    return values.select("value", F.when(F.col("full"), F.col("n")).otherwise(F.col("share") * factor).alias("goal"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic=None, targets: dict[str, dict[str, float]] | None = None,
@@ -183,9 +202,28 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", topic=N
         cell = _by_tables(cells, targets, keep, temper, scratch)
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("drawn")), F.lit(1 << 53)) / F.lit(float(1 << 53))
     out = (rows if carry else counts).join(cell, (F.col("source") == F.col("s")) & (F.col("lang") == F.col("l")) & (F.col("topic") == F.col("t")))
-    return _shown(out, counts, scratch).select(
+    return out.select(
         "id", *DIMENSIONS, "n_tokens", "probability", draw.alias("draw"), (draw < F.col("probability")).alias("kept"), *(["row"] if carry else []))
 
 
+def report(mixed: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP, temper: float = TEMPER) -> DataFrame:
+    """(dimension, value, asked, available, expected, kept): tokens per value of what ``mix`` returned with these parameters.
+
+    ``expected`` is what the probabilities give, ``kept`` what the draw kept; a
+    value that has less than it was asked for shows in ``available``.
+    """
+    values = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in DIMENSIONS])).alias("v")
+    rows = (mixed.select(values, "n_tokens", "probability", "kept").groupBy("v.dimension", "v.value")
+            .agg(F.sum("n_tokens").alias("available"), F.sum(F.col("n_tokens") * F.col("probability")).alias("expected"),
+                 F.sum(F.when(F.col("kept"), F.col("n_tokens")).otherwise(0)).alias("kept")))
+    given = [(d, v, float(x)) for d, of in (targets or {}).items() for v, x in of.items()]
+    asked = mixed.sparkSession.createDataFrame(given, "d string, x string, share double")
+    rows = rows.join(asked, (F.col("dimension") == F.col("d")) & (F.col("value") == F.col("x")), "left")
+    share = F.when(F.col("dimension").isin(list(targets or {})), F.coalesce("share", F.lit(0.0))).otherwise(F.pow(F.col("available").cast("double"), F.lit(float(temper))))
+    whole = rows.groupBy("dimension").agg(F.sum(share).alias("shares"), (F.sum("available") * F.lit(keep)).alias("total"))
+    return rows.join(F.broadcast(whole), "dimension").select(  # three rows
+        "dimension", "value", (share / F.col("shares") * F.col("total")).alias("asked"), "available", "expected", "kept")
+
+
 def op10_mixing(spark, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
