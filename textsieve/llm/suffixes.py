@@ -22,9 +22,9 @@ that depth.  The steps:
 4. Blocks over ``BLOCK_ROWS`` contexts (a passage that very many texts share)
    are dealt again suffix by suffix and counted, so no task gets a large one.
 
-Hashes of 64 bits only deal out work, except for whole contexts (equal when the
-anchor's hash and an independent hash of the context agree: 128 bits) and for
-the suffixes of step 4 (128 bits).
+Hashes of 64 bits only deal out work.  Whole contexts (step 2) and the suffixes
+of step 4 are equal when two independent 64-bit hashes of their bytes agree
+(other byte tables and other bases): 128 bits, and no bytes are compared there.
 """
 
 from __future__ import annotations
@@ -89,7 +89,7 @@ class Hashes:
 
 
 def runs_of(a: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
-    """Runs of the suffixes of texts that lie end to end in ``a``: first suffix, anchor, number, and the two hashes."""
+    """Runs of the suffixes of texts that lie end to end in ``a``: first suffix, anchor, number, the anchor's hash and two of the context."""
     n = len(a) - LENGTH + 1
     if n <= 0:
         return {}
@@ -114,7 +114,8 @@ def runs_of(a: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
     new = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
     s, e, p = at[new], at[np.concatenate([new[1:], [len(at)]]) - 1], p[new]
     shape = (p - s).astype(np.uint64) * U(0xC2B2AE3D27D4EB4F) + (e - s).astype(np.uint64) * U(0x165667B19E3779F9)
-    return {"s": s, "p": p, "n": e - s + 1, "h1": g[p], "h2": _mix(h.of(s, e + LENGTH) + shape)}
+    other = Hashes(a, BYTE2, BASE2)
+    return {"s": s, "p": p, "n": e - s + 1, "h1": g[p], "h2": _mix(h.of(s, e + LENGTH) + shape), "h3": _mix(other.of(s, e + LENGTH) ^ shape)}
 
 
 def _pieces(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -136,7 +137,7 @@ def _pieces(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray,
         i = j
 
 
-RUN = "id long, rk long, s int, d int, n int, h1 long, h2 long"
+RUN = "id long, rk long, s int, d int, n int, h1 long, h2 long, h3 long"
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +152,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([
                     ids.take(take), rks.take(take), pa.array((r["s"] - begin + offs[k]).astype(np.int32)),
                     pa.array((r["p"] - r["s"]).astype(np.int32)), pa.array(r["n"].astype(np.int32)),
-                    pa.array(r["h1"].view(np.int64)), pa.array(r["h2"].view(np.int64))],
-                    names=["id", "rk", "s", "d", "n", "h1", "h2"])
+                    *[pa.array(r[h].view(np.int64)) for h in ("h1", "h2", "h3")]],
+                    names=["id", "rk", "s", "d", "n", "h1", "h2", "h3"])
 
 
 # ---------------------------------------------------------------- sorting
@@ -307,12 +308,12 @@ def repeated_spans(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     shared = scratch.put("buckets", runs.groupBy("h1").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("h1").alias("g1")))
     runs = scratch.put("shared-runs", runs.join(shared, F.col("h1") == F.col("g1")).drop("g1"))
     scratch.drop("runs", "buckets")
-    contexts = scratch.put("contexts", runs.groupBy("h1", "h2").agg(
+    contexts = scratch.put("contexts", runs.groupBy("h1", "h2", "h3").agg(
         F.count("*").alias("c"), F.min(F.struct("id", "rk", "s", "d", "n")).alias("one")))
     mixed = scratch.put("mixed", contexts.groupBy("h1").agg(F.count("*").alias("k")).filter("k > 1").select(F.col("h1").alias("g1")))
     # whole contexts that occur more than once
-    twice = contexts.filter("c > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"))
-    copies = (runs.join(twice, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")))
+    twice = contexts.filter("c > 1").select(F.col("h2").alias("g2"), F.col("h3").alias("g3"))
+    copies = (runs.join(twice, (F.col("h2") == F.col("g2")) & (F.col("h3") == F.col("g3")))
               .select("id", "rk", F.col("s").alias("a"), (F.col("s") + F.col("n") + F.lit(LENGTH - 1)).alias("b")))
     # one of each context of buckets with several, as blocks of suffixes
     todo = (contexts.join(mixed, F.col("h1") == F.col("g1")).select("one.*", "h1")
