@@ -1,7 +1,9 @@
 """BPE against the library, chat round trips, toxicity segments."""
 
 import hashlib
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -145,3 +147,58 @@ def test_repeated_labelled_ids_reach_the_driver_once(spark):
     model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), labels)
     scored = {r["id"]: r["score"] for r in toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()}
     assert set(scored) == set(range(1, 40)) and all(0 <= s <= 1 for s in scored.values())
+
+
+def test_held_out_accuracy_on_little_data(spark):
+    """Held-out rows of the smaller table: ranked well, and few of the others flagged."""
+    sf = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [(labels[r["doc_id"]], r["score"], r["predicted"]) for r in toxicity.op8_toxicity(spark, sf).collect() if r["held_out"] and r["doc_id"] in labels]
+    bad, good = [s for y, s, _ in rows if y], [s for y, s, _ in rows if not y]
+    auc = sum((a > b) + (a == b) / 2 for a in bad for b in good) / (len(bad) * len(good))
+    assert auc >= 0.9 and sum(p for y, _, p in rows if y) >= len(bad) / 2 and sum(p for y, _, p in rows if not y) <= 1
+
+
+def test_score_against_brute_force(spark):
+    """The whole query again from plain counts: features, log-odds, segments, calibration and curve."""
+    rng = random.Random(4)
+    clean, rude = [f"w{i}" for i in range(60)], ["nasty", "nastier", "awful"]
+    docs = [(i, " ".join(rng.choice(clean) for _ in range(40)) + (" " + " ".join(rng.choice(rude) for _ in range(6)) if i % 4 == 0 else "")) for i in range(160)]
+    labels = [(i, int(i % 4 == 0)) for i in range(120)]
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    n, tox, oth = Counter(), Counter(), Counter()
+    y = dict(labels)
+    for i, t in docs:
+        for w in set(t.split()):
+            n[w] += 1
+            (tox if y.get(i) == 1 else oth if y.get(i) == 0 else Counter())[w] += 1
+    feats = {}
+    for w in n:
+        for f in ["w" + w, *("s" + w[:k] for k in (4, 5, 6, 7) if len(w) >= k)]:
+            c = feats.setdefault(f, [0, 0, 0])
+            c[0], c[1], c[2] = c[0] + n[w], c[1] + tox[w], c[2] + oth[w]
+    big_n, big_t, big_o = sum(n.values()), sum(tox.values()), sum(oth.values())
+    strength = toxicity.PRIOR * big_t
+    want = {}
+    for f, (a, b, c) in feats.items():
+        prior = a * strength / big_n
+        odds = math.log((b + prior) / (big_t + strength - b - prior)) - math.log((c + prior) / (big_o + strength - c - prior))
+        z = odds / math.sqrt(1 / (b + prior) + 1 / (c + prior))
+        if b + c and abs(z) >= 1:
+            want[f] = (odds * z * z / (z * z + 9), z)
+    assert set(model.sure) == set(want) and all(np.allclose(model.sure[f], want[f]) for f in want)
+    for i, t in docs[:40]:
+        words = t.split()
+        w = [max((want[f] for f in toxicity.features(x) if f in want), key=lambda p: abs(p[1]), default=(0.0, 0))[0] - toxicity.DRIFT for x in words]
+        assert np.allclose(w, model.scores(words))
+        # every maximal segment by the recursive definition
+        def parts(a, b):
+            sums = [(sum(w[p:q]), -p, q) for p in range(a, b) for q in range(p + 1, b + 1) if sum(w[p:q]) > 1e-12]
+            if not sums:
+                return []
+            s, p, q = max(sums, key=lambda x: (round(x[0], 9), -(x[2] + x[1])))
+            return parts(a, -p) + [(s, q)] + parts(q, b)
+        tail = sum(-math.log(-math.expm1(-e)) for s, _ in parts(0, len(w)) if (e := model.k * len(w) * math.exp(-model.lam * s)) < toxicity.SIGNIFICANT)
+        assert np.isclose(math.log1p(tail), model.evidence(words), atol=1e-6)
+    scored = {r["id"]: r["score"] for r in toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()}
+    assert min(scored[i] for i, _ in docs if i % 4 == 0) > max(scored[i] for i, _ in docs if i % 4)

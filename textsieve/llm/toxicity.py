@@ -3,9 +3,10 @@
 1. Log-odds of tokens between toxic and other labelled texts, with an
    informative Dirichlet prior from the counts of the whole corpus.  A token's
    features are the word and its stems, counted once a text by Spark.  A
-   feature enters the model only if its log-odds is ``MIN_Z`` standard
-   deviations from zero, and at most ``MAX_FEATURES`` (the surest) do, so the
-   model that is broadcast has a bounded size.
+   log-odds z standard deviations from zero is shrunk to z^2 / (z^2 + SHRINK)
+   of itself, so little data gives small scores and not an empty model.  At most
+   ``MAX_FEATURES`` features (the surest, beyond ``MIN_Z``) are kept, so the model
+   that is broadcast has a bounded size.
 2. A text is a sequence of token scores (log-odds less a drift, so that the
    expected score is negative).  One linear scan finds all disjoint
    maximum-scoring segments.
@@ -38,7 +39,9 @@ from .shared import Scratch, column, fields, id_and_text, table, whole_row
 MAX_FEATURES = 1 << 16
 MAX_LABELLED = 20_000
 STEMS = (4, 5, 6, 7)
-MIN_Z = 4.0
+MIN_Z = 1.0
+#: z^2 at which half of a log-odds counts
+SHRINK = 9.0
 #: strength of the corpus prior, as a share of what the toxic texts hold
 PRIOR = 0.1
 DRIFT = 0.3
@@ -192,7 +195,7 @@ def _sure_features(counts: DataFrame) -> dict[str, tuple[float, float]]:
 
     odds = logit("toxic") - logit("other")
     z = odds / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("other") + prior))
-    found = (rows.filter("toxic + other > 0").select("f", odds.alias("odds"), z.alias("z"))
+    found = (rows.filter("toxic + other > 0").select("f", (odds * z * z / (z * z + SHRINK)).alias("odds"), z.alias("z"))
              .filter(F.abs("z") >= MIN_Z).orderBy(F.abs("z").desc(), "f").limit(MAX_FEATURES).collect())
     return {r["f"]: (r["odds"], r["z"]) for r in found}
 
