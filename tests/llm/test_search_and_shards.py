@@ -43,6 +43,29 @@ def test_factor_one_is_exact_with_any_norms_and_ties(spark):
         assert [(g[1], g[2]) for g in got] == rows
 
 
+def test_recall_and_scored_pairs_over_many_shards(spark):
+    """Vectors in clusters, over eight shards: what is found, and how much of all pairs it took."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(40, 16))[rng.integers(0, 40, 3000)] * 4 + rng.normal(size=(3000, 16)) * 0.4
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    df = spark.createDataFrame(list(zip(range(3000), x.tolist())), "vec_id long, embedding array<double>")
+    want = exact_nearest(list(range(3000)), x, range(0, 3000, 20), 20)
+    q, ids = x[::20], np.arange(3000)
+    norm = float(np.sqrt((x * x).sum(axis=1).max())) * (1 + 1e-12)
+    chosen = vptree.calibrated_factor((ids, x), (ids[::20], q), norm, 20)
+    least = vptree.kth_score(q, ids[::20], x, ids, 20)
+    for factor in (1.0, None):
+        got = {}
+        for r in vptree.nearest(df, F.col("id") % 20 == 0, factor=factor, shard_rows=375).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        recall = sum(len(got[a] & {i for i, _ in rows}) for a, rows in want.items()) / (20 * len(want))
+        assert recall == 1.0 if factor else recall >= 0.95
+    scored = [sum(vptree.Search(q, ids[::20], vptree.lifted_tree(x[s::8], norm), x[s::8], ids[s::8], norm, 20, f, least).seen for s in range(8)) / (len(q) * 3000)
+              for f in (chosen, 1.0)]
+    print("factor", chosen, "pairs scored", scored)
+    assert 0.1 <= chosen < 1 and scored[0] < 0.5 and scored[0] <= scored[1], scored
+
+
 def test_recall_of_the_production_factor(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = df.collect()

@@ -3,10 +3,13 @@
 Inner product becomes a metric by one more component: with M the greatest norm,
 x' = (x, sqrt(M^2 - |x|^2)) and q' = (q, 0) have the squared distance
 |q|^2 + M^2 - 2 q.x, so nearest means largest inner product.  Rows are dealt to
-shards of bounded size; a task builds a shard's tree and searches it for a
-block of queries at once.  A subtree is skipped when the triangle inequality
-puts it farther away than ``factor`` times the query's current k-th distance:
-factor one is exact, a smaller one prunes more.  Every row is indexed.
+shards of bounded size; a task builds a shard's tree once and searches it for
+one block of queries after another.  A subtree is skipped when the triangle inequality
+puts it farther away than ``factor`` times the query's current k-th distance
+(at first that among a bounded sample of all rows, the same for every shard):
+factor one is exact, a smaller one prunes more.  How much recall a factor costs
+depends on the vectors, so unless the caller names one, the smallest that
+reaches ``TARGET`` on a bounded sample is taken.  Every row is indexed.
 
 Scores of what is found are computed again on the original vectors by one
 fixed order of summation, so equal vectors have equal scores and ties go to
@@ -16,18 +19,21 @@ the smaller id.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import Scratch, table
 from .vectors import matrix, split_vectors
 
 SHARD_ROWS, QUERY_ROWS, LEAF = 4096, 1024, 64
-#: production value; tests hold its recall against brute force
-FACTOR = 0.2
+#: factors tried, and the recall that the chosen one must reach on the sample: at most SAMPLE_ROWS rows and SAMPLE_QUERIES queries, by hash
+FACTORS, TARGET = (0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9), 0.98
+SAMPLE_ROWS, SAMPLE_QUERIES = 4096, 256
 #: points of a shard that give every query a first k-th distance
 PROBE = 512
 
@@ -55,31 +61,27 @@ class VpTree:
         return (vp, self._build(rows[near]), self._build(rows[far]), (d[near[0]], d[near[-1]]), (d[far[0]], d[far[-1]]))
 
 
+def kth_score(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> np.ndarray:
+    """Each query's k-th best score among some rows, a lower bound of that among more rows; -inf with fewer than k."""
+    s = q @ x.T
+    s[q_ids[:, None] == x_ids[None, :]] = -np.inf
+    return np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] >= k else np.full(len(q), -np.inf)
+
+
 class Search:
-    """The k best rows of a shard for a block of queries."""
+    """The k best rows of a shard, whose tree is given, for a block of queries."""
 
-    def __init__(self, q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, top_norm: float, k: int, factor: float):
-        self.q, self.q_ids, self.x, self.x_ids, self.k, self.factor = q, q_ids, x, x_ids, k, factor
+    def __init__(self, q: np.ndarray, q_ids: np.ndarray, tree: VpTree, x: np.ndarray, x_ids: np.ndarray, top_norm: float, k: int, factor: float,
+                 least: np.ndarray | None = None):
+        self.q, self.q_ids, self.tree, self.x, self.x_ids, self.k, self.factor = q, q_ids, tree, x, x_ids, k, factor
         self.bound = (q * q).sum(axis=1) + top_norm * top_norm
-        lift = np.sqrt(np.maximum(top_norm * top_norm - (x * x).sum(axis=1), 0))
-        self.tree = VpTree(np.concatenate([x, lift[:, None]], axis=1))
         self.lifted = np.concatenate([q, np.zeros((len(q), 1))], axis=1)
         self.score = np.full((len(q), k), -np.inf)
         self.row = np.full((len(q), k), -1)
         self.seen = 0
-        probe = np.arange(0, len(x), max(1, len(x) // PROBE))
-        self._first(probe)
+        self.least = kth_score(q, q_ids, x[::max(1, len(x) // PROBE)], x_ids[::max(1, len(x) // PROBE)], k) if least is None else least
         self._walk(self.tree.root, np.arange(len(q)))
 
-    def _first(self, rows: np.ndarray) -> None:
-        """A lower bound of each query's k-th score, from some rows (which the walk meets again)."""
-        s = self.q @ self.x[rows].T
-        s[self.q_ids[:, None] == self.x_ids[rows][None, :]] = -np.inf
-        k = min(self.k, s.shape[1])
-        self.least = np.full(len(self.q), -np.inf)
-        if k == self.k:
-            self.least = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-
     def _tau(self, at: np.ndarray) -> np.ndarray:
         kth = np.maximum(self.score[at, -1], self.least[at])
         return np.sqrt(np.maximum(self.bound[at] - 2 * kth, 0))
@@ -120,22 +122,93 @@ class Search:
         self.row[new] = row[order][keep].reshape(len(new), self.k)
 
 
-def _search(dim: int, top_norm: float, k: int, factor: float):
-    def run(rows: pa.Table) -> pa.Table:
-        is_query = rows.column("query").to_numpy()
-        v = matrix(rows.column("v").combine_chunks(), dim)
-        ids, keys = rows.column("id").to_numpy(), rows.column("key").to_numpy()[~is_query]
-        empty = pa.table({**{c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "key")}, "score": pa.array([], pa.float64())})
-        if is_query.all() or not is_query.any():
-            return empty
-        s = Search(v[is_query], ids[is_query], v[~is_query], ids[~is_query], top_norm, k, factor)
-        q, n = np.nonzero(s.row >= 0)
-        return pa.table({"query_id": s.q_ids[q], "vec_id": s.x_ids[s.row[q, n]], "key": keys[s.row[q, n]], "score": s.score[q, n]})
+def lifted_tree(x: np.ndarray, top_norm: float) -> VpTree:
+    """The tree of rows in the space where inner product is a metric."""
+    lift = np.sqrt(np.maximum(top_norm * top_norm - (x * x).sum(axis=1), 0))
+    return VpTree(np.concatenate([x, lift[:, None]], axis=1))
+
+
+def sample_of(df: DataFrame, most: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, vectors) of at most ``most`` rows, those of the least hash."""
+    rows = df.orderBy(F.xxhash64("key"), "key").limit(most).select("id", "v").collect()
+    return np.array([r["id"] for r in rows], np.int64), np.array([r["v"] for r in rows], np.float64).reshape(len(rows), dim)
+
+
+def calibrated_factor(sample: tuple, queries: tuple, top_norm: float, k: int) -> float:
+    """The smallest of ``FACTORS`` whose recall among the sample's rows is ``TARGET`` (1 if none is)."""
+    (ids, x), (q_ids, q) = sample, queries
+    tree, least = lifted_tree(x, top_norm), kth_score(q, q_ids, x, ids, k)
+    exact = Search(q, q_ids, tree, x, ids, top_norm, k, 1.0, least)
+    there = exact.row >= 0
+    for factor in FACTORS:
+        low = np.where(there, exact.score, np.inf).min(axis=1, initial=np.inf)
+        found = Search(q, q_ids, tree, x, ids, top_norm, k, factor, least)
+        if (found.score >= low[:, None]).sum() >= TARGET * there.sum():  # as good as the k-th
+            return factor
+    return 1.0
+
+
+def _bounded(sent, dim: int, k: int):
+    """Queries with the k-th best score among the sample's rows, which no shard needs to go below."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, x = sent.value
+        for b in batches:
+            if b.num_rows:
+                least = np.concatenate([kth_score(matrix(p.column("v"), dim), p.column("id").to_numpy(), x, ids, k) for p in (b.slice(a, 512) for a in range(0, b.num_rows, 512))])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(least)], names=[*b.schema.names, "least"])
+
+    return run
+
+
+FOUND = "query_id long, vec_id long, key long, score double, scored long"
+
+
+def _search(dim: int, top_norm: float, k: int, factor: float, query_rows: int):
+    """Rows sorted by shard, each shard's own before its queries: a shard's tree is built once and searched by one block of queries after another."""
+    def results(tree: VpTree | None, x: tuple, q: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ids = np.concatenate([b.column("id").to_numpy() for b in q])
+        s = Search(np.concatenate([matrix(b.column("v"), dim) for b in q]), ids, tree, x[0], x[1], top_norm, k, factor,
+                   np.concatenate([b.column("least").to_numpy(zero_copy_only=False) for b in q]))
+        i, n = np.nonzero(s.row >= 0)
+        scored = np.zeros(len(i), np.int64)
+        scored[:1] = s.seen  # of this block, once
+        return pa.RecordBatch.from_arrays([pa.array(s.q_ids[i]), pa.array(x[1][s.row[i, n]]), pa.array(x[2][s.row[i, n]]), pa.array(s.score[i, n]), pa.array(scored)],
+                                          names=["query_id", "vec_id", "key", "score", "scored"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, own, held, tree, x = None, [], [], None, None
+        for b in batches:
+            sh, is_query = b.column("shard").to_numpy(), b.column("query").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((sh[1:] != sh[:-1]) | (is_query[1:] != is_query[:-1])) + 1
+            for part in (b.slice(a, z - a) for a, z in zip([0, *cuts], [*cuts, b.num_rows])):
+                if not part.num_rows:
+                    continue
+                if part.column("shard")[0].as_py() != shard or not part.column("query")[0].as_py():
+                    if held:
+                        yield results(tree, x, held)
+                        held = []
+                    if part.column("shard")[0].as_py() != shard:
+                        shard, own, tree = part.column("shard")[0].as_py(), [], None
+                if not part.column("query")[0].as_py():
+                    own.append(part)
+                    continue
+                if not own:
+                    continue  # a shard without rows has nothing to find
+                if tree is None:
+                    x = (np.concatenate([matrix(p.column("v"), dim) for p in own]), *(np.concatenate([p.column(c).to_numpy() for p in own]) for c in ("id", "key")))
+                    tree = lifted_tree(x[0], top_norm)
+                for a in range(0, part.num_rows, query_rows):
+                    held.append(part.slice(a, query_rows))
+                    if sum(p.num_rows for p in held) >= query_rows:
+                        yield results(tree, x, held)
+                        held = []
+        if held:
+            yield results(tree, x, held)
 
     return run
 
 
-def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, factor: float = FACTOR,
+def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, factor: float | None = None,
             shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest inner product that are found for each query.
 
@@ -157,13 +230,16 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "emb
         return spark.createDataFrame([], schema)
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     top_norm = math.sqrt(usable.agg(F.max(norm)).first()[0]) * (1 + 1e-12)
-    shards, blocks = math.ceil(n / shard_rows), math.ceil(m / query_rows)
-    turn = lambda parts: F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")
-    every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    # queries in blocks against all shards
-    rows = (usable.select(turn(shards).alias("shard"), every(blocks).alias("block"), F.lit(False).alias("query"), "id", "key", "v")
-            .unionByName(queries.select(every(shards).alias("shard"), turn(blocks).alias("block"), F.lit(True).alias("query"), "id", "key", "v")))
-    found = (rows.groupBy("shard", "block").applyInArrow(_search(dim, top_norm, k, factor), "query_id long, vec_id long, key long, score double"))
+    sample = sample_of(usable, SAMPLE_ROWS, dim)
+    factor = factor or calibrated_factor(sample, sample_of(queries, SAMPLE_QUERIES, dim), top_norm, k)
+    queries = queries.mapInArrow(_bounded(spark.sparkContext.broadcast(sample), dim, k), T.StructType([*queries.schema.fields, T.StructField("least", T.DoubleType())]))
+    shards = math.ceil(n / shard_rows)
+    own = F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")
+    # all queries, in blocks, against every shard
+    rows = (usable.select(own.alias("shard"), F.lit(False).alias("query"), "id", "key", "v", F.lit(None).cast("double").alias("least"))
+            .unionByName(queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("query"), "id", "key", "v", "least")))
+    found = (rows.repartition(shards, "shard").sortWithinPartitions("shard", "query")
+             .mapInArrow(_search(dim, top_norm, k, factor, query_rows), FOUND))
     # a query with several vectors: of each candidate the best score
     found = found.groupBy("query_id", "vec_id", "key").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "key")
