@@ -1,6 +1,8 @@
 """The content-addressed archive against a brute-force version, and its exact round trip."""
 
+import gzip
 import hashlib
+import os
 import random
 
 import pyarrow as pa
@@ -90,3 +92,36 @@ def test_equal_digests_of_other_bytes_are_an_error():
         list(warc._one_of_each(iter([b])))
     same = pa.RecordBatch.from_pydict({"digest": [b"d", b"e"], "payload": [b"x", b"y"]})
     assert [r for out in warc._one_of_each(iter([same.slice(0, 1), same])) for r in out.to_pylist()] == same.to_pylist()
+
+
+def test_files_and_archives_hold_the_same_records(spark, tmpdir_path):
+    pages, df = pages_of(spark)
+    warc.archive_pages(df, f"{tmpdir_path}/a")
+    records = sorted(bytes(r["record"]) for r in warc.original_records(spark, f"{tmpdir_path}/a").collect())
+    warc.write_warc_files(warc.original_records(spark, f"{tmpdir_path}/a"), f"{tmpdir_path}/files", file_bytes=3000)
+    names = os.listdir(f"{tmpdir_path}/files")
+    assert len(names) > 5 and all(n.endswith(".warc") for n in names)
+    packed = f"{tmpdir_path}/files/{names[0]}"
+    with open(packed, "rb") as f:
+        whole = f.read()
+    with open(packed, "wb") as f:
+        f.write(gzip.compress(whole[:0]) + gzip.compress(whole))
+    warc.archive_records(warc.read_warc_files(spark, f"{tmpdir_path}/files"), f"{tmpdir_path}/b")
+    assert sorted(bytes(r["record"]) for r in warc.original_records(spark, f"{tmpdir_path}/b").collect()) == records
+    assert warc.payloads(spark, f"{tmpdir_path}/b").count() == len({h or "" for _, _, h in pages})
+    with open(packed, "wb") as f:
+        f.write(whole[:-7])
+    with pytest.raises(Exception, match="does not end where it says"):
+        warc.read_warc_files(spark, f"{tmpdir_path}/files").count()
+    assert warc.read_warc_files(spark, f"{tmpdir_path}/none").count() == 0
+
+
+def test_records_of_other_kinds():
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Type: application/warc-fields\r\nContent-Length: 9\r\n\r\na: b\r\n\r\nc\r\n\r\n"
+    bare = b"WARC/1.0\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: 4\r\n\r\nHTTP\r\n\r\n"
+    got = list(warc.split_records(info + bare))
+    assert got[0][1] == b"a: b\r\n\r\nc" and got[1][1] == b"HTTP"
+    assert b"".join(h + p + b"\r\n\r\n" for h, p in got) == info + bare
+    for bad in (b"x", info[:30], info.replace(b"Length: 9", b"Length: x"), info.replace(b"Length: 9", b"Length: 5")):
+        with pytest.raises(ValueError):
+            list(warc.split_records(bad))

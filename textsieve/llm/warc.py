@@ -15,17 +15,24 @@ by byte, and a reader hashes every stored payload again.
 Payloads are reduced to one in two steps, within each task of the scan and then
 by digest, so a payload that a third of all pages share travels once a task.
 Everything else (who comes first, the headers) works on rows without payloads.
+
+``write_warc_files`` puts an archive's records into WARC files, and
+``read_warc_files`` takes such files apart for ``archive_records``.
 """
 
 from __future__ import annotations
 
+import gzip
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsieve.session import scratch_path
+from textsieve.sources import trees
 
 from .shared import Scratch, table
 
@@ -35,6 +42,8 @@ MIN_BYTES = 100
 REMEMBERED = 1 << 18
 #: copies of one row numbered together
 COPIES = 1 << 16
+#: bytes of a WARC file
+FILE_BYTES = 64 << 20
 DATE = "1970-01-01T00:00:00Z"
 
 # --- fixed values: the archive format's own names ---
@@ -216,6 +225,78 @@ def read_pages(spark: SparkSession, base: str) -> DataFrame:
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+# ---------------------------------------------------------------- files
+
+def split_records(data: bytes) -> Iterator[tuple[bytes, bytes]]:
+    """(header, payload) of the records of a WARC file, plain or gzip; an HTTP block's own headers belong to the header."""
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)  # all members
+    at = 0
+    while at < len(data):
+        end = data.find(b"\r\n\r\n", at)
+        head = data[at:end + 4]
+        found = re.search(rb"(?im)^content-length: *([0-9]+)\r$", head)
+        if end < 0 or not head.startswith(b"WARC/") or not found:
+            raise ValueError(f"no WARC record at byte {at}")
+        start, stop = end + 4, end + 4 + int(found[1])
+        if data[stop:stop + 4] != b"\r\n\r\n":
+            raise ValueError(f"the record at byte {at} does not end where it says")
+        http = re.search(rb"(?im)^content-type: *application/http", head)
+        cut = data.find(b"\r\n\r\n", start, stop) + 4 if http else start
+        cut = cut if cut > 3 else start
+        yield data[at:cut], data[cut:stop]
+        at = stop + 4
+
+
+def read_warc_files(spark: SparkSession, base: str, suffix: str = ".warc") -> DataFrame:
+    """(header, payload) of every record in the WARC files below ``base``, as ``archive_records`` takes them; a damaged file is an error."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, data, error in zip(*(b.column(c) for c in ("path", "content", "error"))):
+                if error.is_valid:
+                    raise OSError(f"cannot read {path.as_py()}: {error.as_py()}")
+                held, size = [], 0
+                for r in split_records(data.as_py()):
+                    held.append(r)
+                    size += len(r[1])
+                    if size >= trees.BATCH_BYTES:
+                        yield _records(held)
+                        held, size = [], 0
+                if held:
+                    yield _records(held)
+
+    files = trees.read_files(trees.list_files(spark, base, suffix).select("path", "length"), base)
+    return files.mapInArrow(run, "header binary, payload binary")
+
+
+def _records(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([h for h, _ in held], pa.binary()), pa.array([p for _, p in held], pa.binary())], names=["header", "payload"])
+
+
+def write_warc_files(records: DataFrame, base: str, file_bytes: int = FILE_BYTES) -> None:
+    """Write ``original_records`` as WARC files of about ``file_bytes`` below ``base``, which is replaced when all are written."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f"records-{part:06d}-{n:06d}.warc"]), pa.array([b"".join(held)], pa.binary())], names=["path", "content"])
+
+        for b in batches:
+            for r in b.column("record").to_pylist():
+                held.append(r)
+                size += len(r)
+                if size >= file_bytes:
+                    yield out()
+                    n, held, size = n + 1, [], 0
+        if held:
+            yield out()
+
+    spark = records.sparkSession
+    spark.dataSource.register(trees.NamedFiles)
+    # a task that fails writes its files again under the same names; only a commit shows them
+    records.select("record").mapInArrow(run, "path string, content binary").write.format("named_files").mode("overwrite").save(base)
+
+
 def op13_warc(spark, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "warc")
     archive_pages(table(spark, sf_dir, "pages"), base)
