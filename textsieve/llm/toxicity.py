@@ -47,9 +47,9 @@ PRIOR = 0.1
 DRIFT = 0.3
 #: E-value under which a segment is a finding
 SIGNIFICANT = 0.05
-CACHE_WORDS = 200_000
+CACHE_WORDS = 50_000
 #: distinct words that a task counts before it puts them out
-COUNT_WORDS = 250_000
+COUNT_WORDS = 125_000
 WORD = re.compile(r"\w+")
 
 
