@@ -39,8 +39,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     groups = simhash.simhash_groups(docs, traced=True).filter("id = component")
     first = groups.groupBy("root").agg(F.min("id").alias("first"), F.min("digest").alias("least")).drop("root")
     rows = docs.select(column("doc_id").cast("long").alias("id"), simhash.text_digest("text").alias("digest"), whole_row(docs).alias("row"))
-    # rows without a text have no digest
-    kept = rows.join(first, (F.col("id") == F.col("first")) & F.col("digest").eqNullSafe(F.col("least")), "left_semi")
+    kept = rows.join(first, (F.col("id") == F.col("first")) & (F.col("digest") == F.col("least")), "left_semi")
     # rows that repeat an id and its text are one document (the join has dealt the rows by both already)
     same = Window.partitionBy("id", "digest").orderBy(F.xxhash64(F.to_json("row")))
     kept = kept.withColumn("nth", F.row_number().over(same)).filter("nth = 1")
