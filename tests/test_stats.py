@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -168,3 +169,10 @@ def test_bounded_ngrams_are_proven_or_counted_in_full(spark):
         assert proven == sure
         assert [tuple(r) for r in NG.top_ngrams_bounded(frame_, "text", 2, k, tracked=tracked).collect()] == [tuple(r) for r in NG.top_ngrams(frame_, "text", 2, k).collect()]
     assert NG.top_ngrams_bounded(df.limit(0), "text").count() == 0
+
+
+def test_ngrams_tokenize_each_text_once(spark):
+    df = bigram_texts(spark, ["aa bb cc"])
+    for tokenizer in ("compat", "unicode", "exact"):
+        plan = NG.ngram_counts(df, "text", 2, tokenizer)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1

@@ -1,18 +1,17 @@
 """Corpus-wide top-k word n-grams.
 
-Plan: per-row token array -> n-gram array -> explode -> partial hash
-aggregate (map-side combine, so a hot n-gram is one row per task) -> final
-aggregate -> TakeOrderedAndProject (each task keeps its own top k).
-
-That shuffles every distinct n-gram, which on a large corpus is most of it.
-``heavy_ngrams`` does not: a mergeable heavy-hitter summary of bounded size per
-task names candidates, a second pass counts these exactly, and the summary's
-error bound proves that no other n-gram can be as frequent.  Where it proves
-nothing, all are counted.
+Counting all n-grams shuffles every distinct one, which on a large corpus is
+most of it, and sorts and spills in each task.  ``heavy_ngrams`` does not: a
+mergeable heavy-hitter summary of bounded size per task names candidates with
+bounds, and its error bound proves that no other n-gram can be as frequent.
+The candidates alone are counted: token array -> n-gram array -> explode ->
+broadcast semi join -> partial hash aggregate -> final aggregate ->
+TakeOrderedAndProject.  Where the summary proves nothing, all are counted.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,18 +23,22 @@ from textsieve.session import write_scratch
 TRACKED, SUMMARY_ERROR = 100_000, 3.5
 
 
-def ngram_counts(df: DataFrame, text_col: str, n: int = P.NGRAM_N, tokenizer: str = "compat") -> DataFrame:
-    """(ngram, freq) over the whole corpus."""
-    grams = T.ngrams(T.ngram_tokens(text_col, tokenizer), n)
-    return (
-        df.select(F.explode(grams).alias("ngram"))
-        .groupBy("ngram")
-        .agg(F.count(F.lit(1)).alias("freq"))
-    )
+def _words(df: DataFrame, text_col: str, tokenizer: str, *keep: Column) -> DataFrame:
+    """The n-gram tokens of each row as a column of their own.
 
+    A generator evaluates its input without looking for common parts, and
+    ``ngrams`` names its tokens several times: the tokenizer would run for each.
+    """
+    return df.select(*keep, T.ngram_tokens(text_col, tokenizer).alias("words"))
 
-def _gram_rows(df: DataFrame, text_col: str, n: int, tokenizer: str, *keep: Column) -> DataFrame:
-    return df.select(*keep, F.explode(T.ngrams(T.ngram_tokens(text_col, tokenizer), n)).alias("ngram"))
+
+def _gram_rows(words: DataFrame, n: int, *keep: Column) -> DataFrame:
+    return words.select(*keep, F.explode(T.ngrams(F.col("words"), n)).alias("ngram"))
+
+
+def ngram_counts(df: DataFrame, text_col: str, n: int = P.NGRAM_N, tokenizer: str = "compat") -> DataFrame:
+    """(ngram, freq) over the whole corpus."""
+    return _gram_rows(_words(df, text_col, tokenizer), n).groupBy("ngram").agg(F.count(F.lit(1)).alias("freq"))
 
 
 def heavy_ngrams(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int = P.NGRAM_TOP_K, tokenizer: str = "compat",
@@ -44,42 +47,36 @@ def heavy_ngrams(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int =
 
     With ``order_col`` also ``first``, the least value of it among the rows that hold the n-gram.
 
-    The summary tracks ``tracked`` n-grams.  It returns the n-grams whose
-    frequency is surely above its error, each with an upper bound, so an n-gram
-    that it does not return has at most twice the error: 2 * 3.5 * N / tracked
-    for N n-grams.  All returned ones whose bound reaches the k-th exact count
-    are counted, so what is left out is less frequent if that count is above
-    both.  The candidates, at most ``tracked`` strings, pass the driver; the
-    second pass shuffles one row per candidate and task.
+    Texts are tokenized once; the summary is taken when called, from the written
+    tokens, and the counts are a query over them.  The summary tracks
+    ``tracked`` n-grams with an error of at most e = 3.5 * N / tracked for N
+    n-grams.  It returns those whose frequency is surely above its error, each
+    with an upper bound less than e too high, so the k-th frequency is at least
+    the k-th bound less e, and an n-gram that it does not return has at most 2e.
+    Where the former is above the latter, the n-grams whose bound reaches it are
+    all that can be as frequent as the k-th.  The candidates, at most ``tracked``
+    strings, pass the driver; their count shuffles one row per candidate and task.
     """
-    rows = write_scratch(df.select(F.col(text_col).alias("text"), *([F.col(order_col).alias("order")] if order_col else [])), "texts")
     keep, of = ([F.col("order")], [F.min("order").alias("first")]) if order_col else ([], [])
-    grams = _gram_rows(rows, "text", n, tokenizer, *keep)
+    words = write_scratch(_words(df, text_col, tokenizer, *([F.col(order_col).alias("order")] if order_col else [])), "words")
+    grams = _gram_rows(words, n, *keep)
     count = [F.count(F.lit(1)).alias("freq"), *of]
     summary = grams.agg(F.expr(f"approx_top_k(ngram, {tracked}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n")).first()
     bounds = [(r["item"], r["count"]) for r in summary["top"] or []]  # most frequent first
-    missed = 2 * SUMMARY_ERROR * (summary["n"] or 0) / tracked
-    size, counts = min(len(bounds), 16 * top_k), None
-    while size:
-        names = df.sparkSession.createDataFrame([(g,) for g, _ in bounds[:size]], "candidate string")
-        found = grams.join(F.broadcast(names), F.col("ngram") == F.col("candidate"), "left_semi")
-        counts = write_scratch(found.groupBy("ngram").agg(*count), "candidate-counts")
-        exact = [r["freq"] for r in counts.orderBy(F.desc("freq")).limit(top_k).select("freq").collect()]
-        least = exact[-1] if len(exact) == top_k else 0
-        reach = sum(b >= least for _, b in bounds)  # returned n-grams that might be as frequent as the k-th
-        if reach <= size:
-            if least > missed:
-                return counts, True
-            break
-        size = reach
-    return write_scratch(grams.groupBy("ngram").agg(*count), "ngram-counts"), False
+    error = SUMMARY_ERROR * (summary["n"] or 0) / tracked
+    least = bounds[top_k - 1][1] - error if len(bounds) >= top_k else 0
+    if least <= 2 * error:
+        return grams.groupBy("ngram").agg(*count), False
+    names = df.sparkSession.createDataFrame(pa.table({"candidate": pa.array([g for g, b in bounds if b >= least], pa.string())}))
+    found = grams.join(F.broadcast(names), F.col("ngram") == F.col("candidate"), "left_semi")
+    return found.groupBy("ngram").agg(*count), True
 
 
 def top_ngrams_bounded(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int = P.NGRAM_TOP_K, tokenizer: str = "compat",
                        tracked: int = TRACKED) -> DataFrame:
     """``top_ngrams`` with a shuffle that does not grow with the number of distinct n-grams (see ``heavy_ngrams``); runs when called."""
     counts, _ = heavy_ngrams(df, text_col, n, top_k, tokenizer, tracked=tracked)
-    return counts.orderBy(F.desc("freq"), F.asc("ngram")).limit(top_k)
+    return write_scratch(counts, "ngram-counts").orderBy(F.desc("freq"), F.asc("ngram")).limit(top_k)
 
 
 def top_ngrams(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int = P.NGRAM_TOP_K,
@@ -112,7 +109,7 @@ def top_ngrams_first_seen(df: DataFrame, text_col: str, order_col: str, n: int =
         )
 
     counts, _ = heavy_ngrams(df, text_col, n, top_k, tokenizer, order_col)
-    counts = counts.withColumnRenamed("first", "_d0")
+    counts = write_scratch(counts, "ngram-counts").withColumnRenamed("first", "_d0")
     head = counts.orderBy(F.desc("freq"), F.asc("_d0")).limit(top_k).collect()
     if not head:
         return counts.select("ngram", "freq").limit(0)

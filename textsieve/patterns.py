@@ -156,22 +156,29 @@ def word_ranges() -> tuple[tuple[int, int], ...]:
     return tuple(out)
 
 
-#: ranges tested together, behind one test of their span
-RANGE_GROUP = 28
+#: ranges tested one after the other
+RANGE_GROUP = 4
+
+
+def _java_halves(ranges) -> str:
+    """Body of a Java class for sorted ranges: halved, each half behind one test of its span, down to a few ranges."""
+    if len(ranges) <= RANGE_GROUP:
+        return _class_body(ranges, _java_cp)
+    halves = ranges[:len(ranges) // 2], ranges[len(ranges) // 2:]
+    return "".join(f"[{_class_body([(h[0][0], h[-1][1])], _java_cp)}&&[{_java_halves(h)}]]" for h in halves)
 
 
 @lru_cache(maxsize=8)
 def word_class(extra: str = "", negate: bool = False) -> Pattern:
     """The exact word characters as a class.
 
-    A Java class tests its ranges one after the other, so ranges beyond ASCII lie
-    in groups that are only looked into for characters within their span.
+    A Java class tests its ranges one after the other, so those from U+0100 on
+    are found by halving.  Characters below it are spelled one by one, which
+    Java looks up in a bitmap; as a class of their own they are tested first.
     """
-    low = [r for r in word_ranges() if r[1] < 0x80]
-    high = [r for r in word_ranges() if r[1] >= 0x80]
-    groups = [high[i:i + RANGE_GROUP] for i in range(0, len(high), RANGE_GROUP)]
-    inner = "".join(f"[{_class_body([(g[0][0], g[-1][1])], _java_cp)}&&[{_class_body(g, _java_cp)}]]" for g in groups)
-    java = f"[{_class_body(low, _java_cp)}{_escape_chars(extra, _java_cp)}[[^\\x00-\\x7F]&&[{inner}]]]"
+    low = [(c, c) for lo, hi in word_ranges() for c in range(lo, min(hi, 0xFF) + 1)]
+    high = [(max(lo, 0x100), hi) for lo, hi in word_ranges() if hi > 0xFF]
+    java = f"[[{_class_body(low, _java_cp)}{_escape_chars(extra, _java_cp)}][\\x{{100}}-\\x{{10FFFF}}&&[{_java_halves(high)}]]]"
     return Pattern(f"[^{java}]" if negate else java, char_class(word_ranges(), extra, negate).re2)
 
 
