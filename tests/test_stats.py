@@ -176,3 +176,18 @@ def test_ngrams_tokenize_each_text_once(spark):
     for tokenizer in ("compat", "unicode", "exact"):
         plan = NG.ngram_counts(df, "text", 2, tokenizer)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("regexp_extract_all") == 1
+
+
+def test_top_ngrams_count_only_what_can_be_among_them(spark):
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(300)]
+    share = 1 / np.arange(1, 301)
+    rows = [list(rng.choice(words, 60, p=share / share.sum())) for _ in range(80)]
+    all_counts = Counter(f"{a} {b}" for r in rows for a, b in zip(r, r[1:], strict=False))
+    df = bigram_texts(spark, [" ".join(r) for r in rows])
+    for k, tracked in ((15, NG.TRACKED), (40, 3000), (5, 300), (15, 100)):
+        want = sorted(all_counts.items(), key=lambda x: (-x[1], x[0]))[:k]
+        for top in (NG.top_ngrams, NG.top_ngrams_bounded):
+            assert [tuple(r) for r in top(df, "text", 2, k, "unicode", tracked).collect()] == want
+    plan = NG.top_ngrams(df, "text", 2, 15, "unicode")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning") < plan.index("LeftSemi")  # the join is below the exchange: candidates alone are dealt

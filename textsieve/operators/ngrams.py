@@ -72,17 +72,19 @@ def heavy_ngrams(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int =
     return found.groupBy("ngram").agg(*count), True
 
 
-def top_ngrams_bounded(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int = P.NGRAM_TOP_K, tokenizer: str = "compat",
-                       tracked: int = TRACKED) -> DataFrame:
-    """``top_ngrams`` with a shuffle that does not grow with the number of distinct n-grams (see ``heavy_ngrams``); runs when called."""
+def top_ngrams(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int = P.NGRAM_TOP_K,
+               tokenizer: str = "compat", tracked: int = TRACKED) -> DataFrame:
+    """The ``top_k`` most frequent n-grams; ties broken by n-gram ascending.
+
+    The shuffle does not grow with the number of distinct n-grams (see ``heavy_ngrams``, which runs when called)."""
     counts, _ = heavy_ngrams(df, text_col, n, top_k, tokenizer, tracked=tracked)
-    return write_scratch(counts, "ngram-counts").orderBy(F.desc("freq"), F.asc("ngram")).limit(top_k)
+    return counts.orderBy(F.desc("freq"), F.asc("ngram")).limit(top_k)
 
 
-def top_ngrams(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int = P.NGRAM_TOP_K,
-               tokenizer: str = "compat") -> DataFrame:
-    """The ``top_k`` most frequent n-grams; ties broken by n-gram ascending."""
-    return ngram_counts(df, text_col, n, tokenizer).orderBy(F.desc("freq"), F.asc("ngram")).limit(top_k)
+def top_ngrams_bounded(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int = P.NGRAM_TOP_K, tokenizer: str = "compat",
+                       tracked: int = TRACKED) -> DataFrame:
+    """``top_ngrams``, counted when called and kept, for a result that is read more than once."""
+    return write_scratch(top_ngrams(df, text_col, n, top_k, tokenizer, tracked), "top-ngrams").orderBy(F.desc("freq"), F.asc("ngram"))
 
 
 def top_by(df: DataFrame, order_col: str, cols, k: int, tie_col: str) -> DataFrame:
