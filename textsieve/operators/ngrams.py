@@ -21,6 +21,8 @@ from textsieve.session import write_scratch
 
 #: n-grams that a task's summary tracks, and its error: at most SUMMARY_ERROR / TRACKED of all n-grams
 TRACKED, SUMMARY_ERROR = 100_000, 3.5
+#: tasks that merge the tasks' summaries before one merges theirs
+MERGERS = 32
 
 
 def _words(df: DataFrame, text_col: str, tokenizer: str, *keep: Column) -> DataFrame:
@@ -50,7 +52,7 @@ def heavy_ngrams(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int =
     Texts are tokenized once; the summary is taken when called, from the written
     tokens, and the counts are a query over them.  The summary tracks
     ``tracked`` n-grams with an error of at most e = 3.5 * N / tracked for N
-    n-grams.  It returns those whose frequency is surely above its error, each
+    n-grams, merged in two levels.  It returns those whose frequency is surely above its error, each
     with an upper bound less than e too high, so the k-th frequency is at least
     the k-th bound less e, and an n-gram that it does not return has at most 2e.
     Where the former is above the latter, the n-grams whose bound reaches it are
@@ -61,9 +63,12 @@ def heavy_ngrams(df: DataFrame, text_col: str, n: int = P.NGRAM_N, top_k: int =
     words = write_scratch(_words(df, text_col, tokenizer, *([F.col(order_col).alias("order")] if order_col else [])), "words")
     grams = _gram_rows(words, n, *keep)
     count = [F.count(F.lit(1)).alias("freq"), *of]
-    summary = grams.agg(F.expr(f"approx_top_k(ngram, {tracked}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n")).first()
-    bounds = [(r["item"], r["count"]) for r in summary["top"] or []]  # most frequent first
-    error = SUMMARY_ERROR * (summary["n"] or 0) / tracked
+    parts = grams.groupBy((F.spark_partition_id() % MERGERS).alias("part")).agg(
+        F.expr(f"approx_top_k_accumulate(ngram, {tracked})").alias("state"), F.count(F.lit(1)).alias("n"))
+    summary = parts.groupBy(F.lit(True)).agg(F.expr(f"approx_top_k_combine(state, {tracked})").alias("state"), F.sum("n").alias("n"))
+    summary = summary.select(F.expr(f"approx_top_k_estimate(state, {tracked})").alias("top"), "n").first()  # no row without n-grams
+    bounds = [(r["item"], r["count"]) for r in summary["top"]] if summary else []  # most frequent first
+    error = SUMMARY_ERROR * summary["n"] / tracked if summary else 0
     least = bounds[top_k - 1][1] - error if len(bounds) >= top_k else 0
     if least <= 2 * error:
         return grams.groupBy("ngram").agg(*count), False
