@@ -3,14 +3,16 @@
 import hashlib
 import random
 import re
+import threading
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from textsieve.llm import metric_join, simhash, suffixes
+from textsieve.llm import metric_join, shared, simhash, suffixes
 from textsieve.llm.components import connected_components
 from textsieve.llm.shared import Scratch
 
@@ -229,6 +231,61 @@ def test_metric_join_against_brute_force(spark, monkeypatch):
     assert metric_join.near_duplicates(df.filter("vec_id > 1000")).count() == len(bad)
 
 
+def most_on_disk(spark, of: Path, run):
+    """What run() returns, and the most bytes that its shuffle files and the tables in a folder took meanwhile."""
+    local, sizes, done = [Path(str(d)) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()], [], threading.Event()
+
+    def size(f: Path) -> int:
+        try:
+            return f.stat().st_size
+        except OSError:  # it may go meanwhile
+            return 0
+
+    def watch():
+        while not done.is_set():
+            sizes.append(sum(size(f) for d in local for f in d.glob("*/shuffle_*.data")) + sum(size(f) for f in of.glob("*/*.parquet")))
+            done.wait(0.1)
+
+    thread = threading.Thread(target=watch)
+    thread.start()
+    try:
+        return run(), max(sizes) - sizes[0]
+    finally:
+        done.set()
+        thread.join()
+
+
+def test_metric_join_writes_no_vector_for_every_cell(spark, monkeypatch, tmp_path):
+    """Vectors without clusters are near every cell; what is written and shuffled stays in proportion to them."""
+    for name, value in (("PER_PIVOT", 60), ("HOMES", 100), ("GUESTS", 128)):
+        monkeypatch.setattr(metric_join, name, value)
+    monkeypatch.setattr(metric_join, "BLOCK_BYTES", 300 * 64 * 4, raising=False)  # large cells in several blocks
+    kept = []
+    monkeypatch.setattr(shared, "scratch_path", lambda spark, name: kept.append(name) or str(tmp_path / f"{name}{len(kept)}"))
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 64))
+    x[:600] = x[0] + 0.2 * x[:600]  # one group, most of its vectors beyond each block
+    x[700:900:2] = x[701:900:2] + 0.1 * x[700:900:2]  # pairs
+    x = x.astype(np.float32)
+    x[1000:1200] = x[1000]  # equal vectors, in several partitions
+    x[1000:1200, 5] = 0.0
+    x[1000:1100, 5] = -0.0
+    x[1500:1520, 40:] = 0
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    cos = u @ u.T
+    assert (np.abs(cos - 0.9) > 1e-9).all()
+    linked = cos >= 0.9
+    np.fill_diagonal(linked, False)
+    ids = rng.permutation(len(x)).tolist()
+    low = roots(ids, [(ids[i], ids[j]) for i, j in zip(*np.nonzero(linked)) if i < j])
+    vectors = [v[:40] if 1500 <= i < 1520 else v for i, v in enumerate(x.tolist())]  # shorter ones are as if zeros followed
+    rows = [*zip(ids, vectors)]
+    df = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "vec_id long, embedding array<float>")
+    out, most = most_on_disk(spark, tmp_path, lambda: metric_join.near_duplicates(df).collect())
+    assert {r["id"]: (r["n_links"], r["component"], r["kept"]) for r in out} == {i: (int(n), low[i], low[i] == i) for i, n in zip(ids, linked.sum(axis=1))}
+    assert most < 10 * x.nbytes, most / x.nbytes
+
+
 def test_metric_join_null_and_repeated_ids(spark):
     near = lambda a: [float(np.cos(a)), float(np.sin(a))]
     rows = [(7, near(0.0)), (7, near(0.1)), (9, near(0.2)), (None, near(0.3)), (None, near(0.3)),  # one group, two vectors of id 7
