@@ -351,7 +351,10 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     classes = scratch.put("classes", classes)
     scratch.drop("blocks", "found", "counts", "components")
     least = scratch.put("least", classes.groupBy(F.col("root").alias("top")).agg(F.min("id").alias("component")))
-    named = scratch.put("named", classes.join(least, F.col("root") == F.col("top")).select(F.col("digest").alias("named"), "n_links", "component"))
+    # once each, also if rounding ever dealt copies of a vector to two blocks (they are linked then, so their values agree)
+    named = (classes.join(least, F.col("root") == F.col("top")).groupBy(F.col("digest").alias("named"))
+             .agg(F.max("n_links").alias("n_links"), F.min("component").alias("component")))
+    named = scratch.put("named", named)
     out = ids.join(named, F.col("digest") == F.col("named")).select("id", "n_links", "component", F.col("id").eqNullSafe(F.col("component")).alias("kept"))
     return out.unionByName(alone)
 
